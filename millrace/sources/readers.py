@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.session import stage
+
 CORRUPT = "_corrupt_record"
 
 
@@ -38,8 +40,8 @@ def read_csv(
     """Lazy CSV scan with header.
 
     The schema is declared; without one the types are inferred, which reads the file
-    once more. Rows that do not parse stop the job unless ``keep_corrupt`` keeps their
-    text in ``_corrupt_record``. ``null_values`` are further texts that mean missing.
+    once more. Rows that do not parse stop the job (as far as the columns in use are
+    concerned) unless ``keep_corrupt`` keeps their text in ``_corrupt_record``. ``null_values`` are further texts that mean missing.
     """
     ensure_exists(spark, path)
     _ensure_not_empty(spark, path)
@@ -78,12 +80,12 @@ def _blank_nulls(df: DataFrame, null_values: Sequence[str], skip: Sequence[str]
 def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Parsed rows, and the text of rows that did not parse.
 
-    Spark refuses a scan that reads the corrupt-record column alone, hence the second
-    frame keeps one more column in its plan.
+    The parse result is staged once: both halves then read Parquet, and Spark's rule
+    against raw scans of the corrupt-record column alone does not apply.
     """
-    others = [c for c in df.columns if c != CORRUPT]
-    bad = df.where(F.col(CORRUPT).isNotNull())
-    return df.where(F.col(CORRUPT).isNull()).drop(CORRUPT), bad.select(CORRUPT, *others)
+    parsed = stage(df, "parsed")
+    bad = F.col(CORRUPT).isNotNull()
+    return parsed.where(~bad).drop(CORRUPT), parsed.where(bad).select(CORRUPT)
 
 
 def csv_table(spark: SparkSession, path: str, view: str, schema: T.StructType | str) -> None:

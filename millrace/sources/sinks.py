@@ -52,8 +52,8 @@ def write_report(spark: SparkSession, path: str, title: str, sections: dict[str,
     for name, body in sections.items():
         parts.append(f"## {name}")
         parts.append(body if isinstance(body, str) else markdown_table(body))
-    text = "\n\n".join(parts) + "\n"
-    spark.createDataFrame([(text,)], "value string").coalesce(1).write.option("lineSep", "").text(path)
+    text = "\n\n".join(parts)
+    spark.createDataFrame([(text,)], "value string").write.text(path)
     return text
 
 
