@@ -14,10 +14,10 @@ NUMBER_TEXT = r"(?i)^\s*[+-]?(\d+(_\d+)*(\.(\d+(_\d+)*)?)?(e[+-]?\d+)?|\.\d+(e[+
 
 def missing(df: DataFrame, name: str) -> Column:
     """True for null and, in floating columns, NaN."""
-    c = F.col(name)
+    quoted = "`" + name.replace("`", "``") + "`"
     if isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType)):
-        return c.isNull() | F.isnan(c)
-    return c.isNull()
+        return F.expr(f"{quoted} is null or isnan({quoted})")
+    return F.expr(f"{quoted} is null")
 
 
 def complete(df: DataFrame, names: list[str]) -> Column:

@@ -11,52 +11,42 @@ from pyspark.sql import functions as F
 from millrace.functions.columns import beyond_tolerance, complete, missing, percent
 
 
-def _rows_per_column(one_row: DataFrame, entries: list[Column]) -> DataFrame:
-    return one_row.select(F.inline(F.array(*entries)))
+TOTAL = "_row_total"
+
+
+def _counts_by_column(df: DataFrame, conditions: dict[str, Column], name: str) -> DataFrame:
+    """Rows meeting each column's condition in long form: ``_row_total, column_name, name``.
+
+    One aggregation computes all counts; only its single row is unpivoted.
+    """
+    counts = df.agg(F.count("*").alias(TOTAL), *[F.count_if(c).alias(n) for n, c in conditions.items()])
+    return counts.unpivot(TOTAL, list(conditions), "column_name", name)
 
 
 def missing_report(df: DataFrame, columns: list[str] | None = None, only_missing: bool = True) -> DataFrame:
     """``column_name, missing_count, missing_pct``, most missing first."""
-    columns = columns or df.columns
-    counts = df.agg(
-        F.count("*").alias("_n"),
-        *[F.count_if(missing(df, c)).alias(f"_m{i}") for i, c in enumerate(columns)],
-    )
-    report = _rows_per_column(
-        counts,
-        [
-            F.struct(
-                F.lit(c).alias("column_name"),
-                F.col(f"_m{i}").alias("missing_count"),
-                percent(F.col(f"_m{i}"), F.col("_n")).alias("missing_pct"),
-            )
-            for i, c in enumerate(columns)
-        ],
-    )
+    conditions = {c: missing(df, c) for c in columns or df.columns}
+    report = _counts_by_column(df, conditions, "missing_count")
     if only_missing:
         report = report.where(F.col("missing_count") > 0)
-    return report.orderBy(F.desc("missing_count"), "column_name")
+    return report.select(
+        "column_name", "missing_count", percent(F.col("missing_count"), F.col(TOTAL)).alias("missing_pct")
+    ).orderBy(F.desc("missing_count"), "column_name")
 
 
 def schema_profile(df: DataFrame) -> DataFrame:
     """``position, column_name, data_type, non_null, row_count, column_count``."""
-    counts = df.agg(
-        F.count("*").alias("_n"),
-        *[F.count_if(~missing(df, c)).alias(f"_p{i}") for i, c in enumerate(df.columns)],
-    )
-    return _rows_per_column(
-        counts,
-        [
-            F.struct(
-                F.lit(i).alias("position"),
-                F.lit(f.name).alias("column_name"),
-                F.lit(f.dataType.simpleString()).alias("data_type"),
-                F.col(f"_p{i}").alias("non_null"),
-                F.col("_n").alias("row_count"),
-                F.lit(len(df.columns)).alias("column_count"),
-            )
-            for i, f in enumerate(df.schema.fields)
-        ],
+    present = _counts_by_column(df, {c: ~missing(df, c) for c in df.columns}, "non_null")
+    names = F.array(*[F.lit(c) for c in df.columns])
+    types = F.array(*[F.lit(f.dataType.simpleString()) for f in df.schema.fields])
+    position = (F.array_position(names, F.col("column_name")) - 1).cast("int")
+    return present.select(
+        position.alias("position"),
+        "column_name",
+        F.get(types, position).alias("data_type"),
+        "non_null",
+        F.col(TOTAL).alias("row_count"),
+        F.lit(len(df.columns)).alias("column_count"),
     ).orderBy("position")
 
 

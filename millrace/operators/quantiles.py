@@ -14,6 +14,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from millrace.functions.columns import missing
@@ -23,6 +24,7 @@ ACCURACY = 10_000  # rank error of a digest is at most n / ACCURACY
 MARGIN = 4 / ACCURACY  # bracket half-width: twice the digest error, and slack for rounding
 WHOLE_RANGE = 20_000  # groups up to this size use [min, max] as their bracket
 GRID = 1_000  # steps of the digest taken inside a bracket when narrowing
+DOUBLE_STEP = 2048  # spacing of doubles near the ends of the bigint range
 CELL_LIMIT = 250_000  # distinct values one task may sort for one rank
 
 RankOf = Callable[[Column, int], Column]
@@ -69,11 +71,20 @@ def _first_brackets(data: DataFrame, by: Sequence[str], probs: Sequence[float])
     for i, q in enumerate(probs):
         low_end = small | F.lit(q - MARGIN <= 0.0)
         high_end = small | F.lit(q + MARGIN >= 1.0)
-        ends.append(F.when(low_end, F.col("_min")).otherwise(F.col("_d")[2 * i]).alias(_lo(i)))
-        ends.append(F.when(high_end, F.col("_max")).otherwise(F.col("_d")[2 * i + 1]).alias(_hi(i)))
+        lo, hi = _widened(digest, F.col("_d")[2 * i], F.col("_d")[2 * i + 1])
+        ends.append(F.when(low_end, F.col("_min")).otherwise(F.coalesce(lo, "_min")).alias(_lo(i)))
+        ends.append(F.when(high_end, F.col("_max")).otherwise(F.coalesce(hi, "_max")).alias(_hi(i)))
     return digest.select(*by, "_n", *ends)
 
 
+def _widened(df: DataFrame, lo: Column, hi: Column) -> tuple[Column, Column]:
+    """Digests work in doubles, which round large 64-bit integers: step past that error
+    (null where the step leaves the type, to be replaced by the old end)."""
+    if isinstance(df.schema["_min" if "_min" in df.columns else _lo(0)].dataType, T.LongType):
+        return F.try_subtract(lo, F.lit(DOUBLE_STEP)), F.try_add(hi, F.lit(DOUBLE_STEP))
+    return lo, hi
+
+
 def _narrow(
     data: DataFrame, by: Sequence[str], brackets: DataFrame | Row, slots: int, rank_of: RankOf
 ) -> DataFrame:
@@ -97,9 +108,11 @@ def _narrow(
         ).cast("int")
         big = F.col(f"_in{i}") > WHOLE_RANGE
         d = F.col(f"_d{i}")
+        lo, hi = _widened(out, F.get(d, step - 3), F.get(d, step + 4))
+        old_lo, old_hi = F.col(_lo(i)), F.col(_hi(i))
         cols += [
-            F.when(big & (step - 3 > 0), F.get(d, step - 3)).otherwise(F.col(_lo(i))).alias(_lo(i)),
-            F.when(big & (step + 4 < GRID), F.get(d, step + 4)).otherwise(F.col(_hi(i))).alias(_hi(i)),
+            F.when(big & (step - 3 > 0), F.greatest(lo, old_lo)).otherwise(old_lo).alias(_lo(i)),
+            F.when(big & (step + 4 < GRID), F.least(hi, old_hi)).otherwise(old_hi).alias(_hi(i)),
             F.col(f"_in{i}"),
         ]
     return out.select(*cols)
@@ -117,12 +130,16 @@ def order_statistics(
 
     ``probs[i]`` says roughly where slot ``i`` lies; ``rank_of(n, i)`` gives its exact
     0-based rank among the ``n`` non-missing values. The result has the keys, ``n``, and
-    for each slot ``at{i}`` and its successor ``next{i}`` (the same value at the top end).
-    Null keys form a group of their own.
+    for each slot the value ``at{i}``, the value one rank up ``next{i}`` (the same at the
+    top end), and the numbers of rows ``below{i}`` and ``equal{i}`` to the value. Null
+    keys form a group of their own.
     """
     slots = len(probs)
     by = list(by)
-    data = df.where(~missing(df, value)).select(*by, F.col(value).alias("_v"))
+    v = F.col(value)
+    if isinstance(df.schema[value].dataType, T.DecimalType):
+        v = v.cast("double")
+    data = df.where(~missing(df, value)).select(*by, v.alias("_v"))
     brackets = _keep(_first_brackets(data, by, probs), by)
     largest = brackets["_n"] if isinstance(brackets, Row) else brackets.agg(F.max("_n")).first()[0]
     expected = 0 if (largest or 0) <= WHOLE_RANGE else largest * 2 * (MARGIN + 1 / ACCURACY)
@@ -162,11 +179,23 @@ def order_statistics(
         start = end - F.col(f"_in{i}")
         rank = rank_of(F.col("_n"), i)
         succ = F.least(rank + 1, F.col("_n") - 1)
+        here = (rank >= start) & (rank < end)
         outs += [
-            F.max(F.when((rank >= start) & (rank < end), F.col("_cell"))).alias(f"at{i}"),
+            F.max(F.when(here, F.col("_cell"))).alias(f"at{i}"),
             F.max(F.when((succ >= start) & (succ < end), F.col("_cell"))).alias(f"next{i}"),
+            F.max(F.when(here, start)).alias(f"below{i}"),
+            F.max(F.when(here, F.col(f"_in{i}"))).alias(f"equal{i}"),
         ]
-    return ranked.groupBy(*by).agg(F.max("_n").alias("n"), *outs)
+    result = ranked.groupBy(*by).agg(F.max("_n").alias("n"), *outs)
+    # A rank outside its bracket would contradict the digest's error bound.
+    lost = F.raise_error(F.lit("order statistic outside its bracket"))
+    return result.withColumns(
+        {
+            f"{name}{i}": F.when(F.col("n") > 0, F.coalesce(F.col(f"{name}{i}"), lost))
+            for i in range(slots)
+            for name in ("at", "next")
+        }
+    )
 
 
 def exact_quantiles(

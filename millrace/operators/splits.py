@@ -38,7 +38,8 @@ def stratified_split(
 
     Rows equal in every column share a hash. When the cut falls among such copies, the
     needed number of copies is generated for each side: copies are interchangeable, and
-    no task has to number them one by one.
+    no task has to number them one by one. The table is scanned four times before the two
+    sides are read; stage it first when it comes from a join.
     """
     spark = df.sparkSession
     sizes = {r[label]: r["n"] for r in df.groupBy(label).agg(F.count("*").alias("n")).collect()}
@@ -51,15 +52,13 @@ def stratified_split(
         lambda n, _: F.least(_per_class(label, take), n) - 1,
         by=[label],
     )
-    cut = {r[label]: r["at0"] for r in cuts.collect()}
+    found = cuts.collect()
+    cut = {r[label]: r["at0"] for r in found}
+    need = {r[label]: take[r[label]] - r["below0"] for r in found}
     h, at = F.col("_h"), _per_class(label, cut)
     below = F.coalesce(h < at, F.lit(False))
     level = F.coalesce(h == at, F.lit(False))
-    around = (
-        hashed.groupBy(label).agg(F.count_if(below).alias("below"), F.count_if(level).alias("level")).collect()
-    )
-    need = {r[label]: take[r[label]] - r["below"] for r in around if r[label] in cut}
-    if all(r["level"] == need.get(r[label], 0) for r in around):
+    if all(r["equal0"] == need[r[label]] for r in found):
         to_test = below | level
         return hashed.where(~to_test).drop("_h"), hashed.where(to_test).drop("_h")
 

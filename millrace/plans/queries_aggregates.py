@@ -14,7 +14,7 @@ from millrace.operators.metrics import positive_ratio
 from millrace.operators.modeling import label_above_mean
 from millrace.operators.quantiles import exact_quantiles
 from millrace.plans.registry import AVG_SQL, CLEAN_SQL, LABELED_SQL, PRESENT_SQL, SALES_SQL, SUM_SQL, query
-from millrace.plans.sales import REQUIRED, cleaned_sales, sales, staged_sales, table
+from millrace.plans.sales import REQUIRED, cleaned_sales, sales, staged_sales, summaries, table
 
 NAMED = f"{SUM_SQL} as total_amount, {AVG_SQL} as avg_amount, count(amount) as item_count"
 
@@ -62,6 +62,21 @@ def agg6(spark, sf):
     return agg.monthly_trend(cleaned_sales(spark, sf))
 
 
+@query("agg3_three_summaries", f"""with {CLEAN_SQL}
+select 'region_category' as summary, region as k1, category as k2, null as k3, {NAMED} from cleaned group by 1, 2, 3
+union all select 'payment_method', region, category, payment_method, {NAMED} from cleaned group by 1, 2, 3, 4
+union all select 'monthly_trend', substr(cast(order_date as varchar),1,7), null, null, {NAMED} from cleaned group by 1, 2""")
+def agg3_summaries(spark, sf):
+    parts, _ = summaries(staged_sales(spark, sf))
+    out = None
+    for name, df in parts.items():
+        keys = df.columns[:-3]
+        padded = [F.col(keys[i]) if i < len(keys) else F.lit(None).cast("string") for i in range(3)]
+        rows = df.select(F.lit(name).alias("summary"), *[c.alias(f"k{i + 1}") for i, c in enumerate(padded)], *df.columns[-3:])
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 @query("agg7_monthly_total", f"""with {CLEAN_SQL}
 select substr(cast(order_date as varchar),1,7) as order_month, {SUM_SQL} as total_amount from cleaned group by 1""")
 def agg7(spark, sf):

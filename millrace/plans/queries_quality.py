@@ -178,7 +178,7 @@ WIDE = [
     for n, _, m in WIDE)
     + ") select column_name, missing_count, round(missing_count*100.0::double/n,3) as missing_pct from counts")
 def dq10(spark, sf):
-    wide = table(spark, sf, "lineitem").select(
-        *[F.when((F.col("l_orderkey") + F.col("l_partkey")) % m != 0, F.col(c)).alias(n) for n, c, m in WIDE]
+    wide = table(spark, sf, "lineitem").selectExpr(
+        *[f"case when (l_orderkey + l_partkey) % {m} != 0 then {c} end as {n}" for n, c, m in WIDE]
     )
     return missing_report(wide, only_missing=False)

@@ -21,6 +21,10 @@ def local_session(cores: int = 8, app: str = "millrace") -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("MILLRACE_DRIVER_MEMORY", "12g"))
         .config("spark.ui.enabled", "false")
+        # small tables in several files, so that all cores take part in reading them
+        .config("spark.sql.files.maxRecordsPerFile", "75000")
+        # call sites of every column expression are costly to record and not used here
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
 
