@@ -12,12 +12,17 @@ from pyspark.sql import types as T
 NUMBER_TEXT = r"(?i)^\s*[+-]?(\d+(_\d+)*(\.(\d+(_\d+)*)?)?(e[+-]?\d+)?|\.\d+(e[+-]?\d+)?|inf|infinity|nan)\s*$"
 
 
+def quoted(name: str) -> str:
+    """A column name as an SQL identifier, whatever characters it has."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def missing(df: DataFrame, name: str) -> Column:
     """True for null and, in floating columns, NaN."""
-    quoted = "`" + name.replace("`", "``") + "`"
+    c = quoted(name)
     if isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType)):
-        return F.expr(f"{quoted} is null or isnan({quoted})")
-    return F.expr(f"{quoted} is null")
+        return F.expr(f"{c} is null or isnan({c})")
+    return F.expr(f"{c} is null")
 
 
 def complete(df: DataFrame, names: list[str]) -> Column:

@@ -28,7 +28,8 @@ class Bins:
 
 
 def auto_bins(df: DataFrame, value: str) -> Bins:
-    """Equal bins by the smaller of the Freedman-Diaconis and Sturges widths."""
+    """Equal bins of the smaller of the Freedman-Diaconis and Sturges widths, where the
+    former is at least half the square-root width (so never more than 2 sqrt(n) bins)."""
     q = exact_quantiles(df, value, {"low": 0.0, "q1": 0.25, "q3": 0.75, "high": 1.0}).first()
     lo, hi = q["low"], q["high"]
     if lo is None:
@@ -37,8 +38,8 @@ def auto_bins(df: DataFrame, value: str) -> Bins:
         return Bins(lo - 0.5, hi + 0.5, 1)
     sturges = (hi - lo) / (math.log2(q["n"]) + 1.0)
     robust = 2.0 * (q["q3"] - q["q1"]) * q["n"] ** (-1.0 / 3.0)
-    width = min(robust, sturges) if robust > 0 else sturges
-    return Bins(lo, hi, math.ceil((hi - lo) / width))
+    robust = max(robust, (hi - lo) / math.sqrt(q["n"]) / 2.0)
+    return Bins(lo, hi, math.ceil((hi - lo) / min(robust, sturges)))
 
 
 def histogram(df: DataFrame, value: str, bins: Bins | None = None) -> DataFrame:

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.columns import beyond_tolerance, complete, missing, percent
+from millrace.functions.columns import beyond_tolerance, complete, missing, percent, quoted
 
 
 TOTAL = "_row_total"
@@ -20,7 +20,7 @@ def _counts_by_column(df: DataFrame, conditions: dict[str, Column], name: str) -
     One aggregation computes all counts; only its single row is unpivoted.
     """
     counts = df.agg(F.count("*").alias(TOTAL), *[F.count_if(c).alias(n) for n, c in conditions.items()])
-    return counts.unpivot(TOTAL, list(conditions), "column_name", name)
+    return counts.unpivot(TOTAL, [F.col(quoted(n)) for n in conditions], "column_name", name)
 
 
 def missing_report(df: DataFrame, columns: list[str] | None = None, only_missing: bool = True) -> DataFrame:

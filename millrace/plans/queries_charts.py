@@ -15,7 +15,7 @@ from millrace.plans.sales import cleaned_sales
 @query("ch1_histogram", f"""with {CLEAN_SQL},
 s as (select count(*) as n, min(amount) as lo, max(amount) as hi, quantile_cont(amount,0.75)-quantile_cont(amount,0.25) as iqr
   from cleaned),
-b as (select *, cast(ceil((hi-lo)/least(2.0*iqr*pow(n,-1.0/3.0), (hi-lo)/(log2(n)+1.0))) as bigint) as bins from s),
+b as (select *, cast(ceil((hi-lo)/least(greatest(2.0*iqr*pow(n,-1.0/3.0), (hi-lo)/sqrt(n)/2.0), (hi-lo)/(log2(n)+1.0))) as bigint) as bins from s),
 c as (select least(cast(floor((amount-lo)/(hi-lo)*bins) as bigint), bins-1) as bin, count(*) as n from cleaned, b group by 1)
 select r.bin, round(lo+r.bin*((hi-lo)/bins),6) as left_edge, round(lo+(r.bin+1)*((hi-lo)/bins),6) as right_edge,
   coalesce(c.n,0) as n from b, (select unnest(range(bins)) as bin from b) r left join c on c.bin=r.bin""")
