@@ -33,6 +33,11 @@ def pipeline(df) -> None:
         result.collect()
 
 
+def staged_first(df):
+    """The chain reads its input three times: joins and text parsing should run once."""
+    return stage(df.select("region", "category", "payment_method", "order_date", "amount"), "bench-input")
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     runs = int(os.environ.get("BENCH_RUNS", "3"))
@@ -54,8 +59,8 @@ def main() -> None:
 
     queries = {
         "pipeline_staged": lambda: pipeline(staged),
-        "pipeline_csv": lambda: pipeline(read_csv(spark, csv_path, staged.schema)),
-        "pipeline_joined": lambda: pipeline(sales(spark, sf_dir)),
+        "pipeline_csv": lambda: pipeline(staged_first(read_csv(spark, csv_path, staged.schema))),
+        "pipeline_joined": lambda: pipeline(staged_first(sales(spark, sf_dir))),
         "cleaning_report": lambda: cleaning_report(staged, REQUIRED).collect(),
         "missing_report": lambda: profile.missing_report(staged).collect(),
         "consistency": lambda: profile.consistency_report(staged, "amount", ("quantity", "unit_price")).collect(),

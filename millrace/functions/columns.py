@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -37,17 +38,40 @@ def month_key(df: DataFrame, name: str) -> Column:
     return F.date_format(F.col(name), "yyyy-MM")
 
 
+LOW_BITS = 20  # a sum of low parts stays a bigint for 8e12 rows per group
+
+
+def present(c: Column) -> Column:
+    """The number, or null where it is NaN."""
+    return F.nanvl(c, F.lit(None).cast("double"))
+
+
+def fixed_parts(c: Column, scale: int) -> tuple[Column, Column]:
+    """A number as fixed-point units of ``scale`` decimals, split in a high and a low
+    integer. Sums of the parts are exact in any order and stay in primitive buffers,
+    which makes them several times faster than decimal sums."""
+    units = F.rint(present(c) * F.lit(10.0**scale)).cast("bigint")
+    return F.shiftright(units, LOW_BITS), units.bitwiseAND(F.lit((1 << LOW_BITS) - 1).cast("bigint"))
+
+
+def fixed_total(high_sum: Column, low_sum: Column, scale: int) -> Column:
+    """The double nearest to the exact total of summed parts."""
+    units = high_sum.cast("decimal(20,0)") * F.lit(Decimal(1 << LOW_BITS)) + low_sum.cast("decimal(20,0)")
+    return (units * F.lit(Decimal(1).scaleb(-scale))).cast("double")
+
+
 def total(c: Column, scale: int | None = 2) -> Column:
-    """Sum as double. With a ``scale`` the sum runs in decimals, so that the result
-    does not depend on the order in which partitions are merged."""
+    """Sum of the present values as double. With a ``scale``, values count to that many
+    decimals and the sum does not depend on the order in which partitions are merged."""
     if scale is None:
-        return F.sum(c)
-    return F.sum(c.cast(T.DecimalType(18, scale))).cast("double")
+        return F.sum(present(c))
+    high, low = fixed_parts(c, scale)
+    return fixed_total(F.sum(high), F.sum(low), scale)
 
 
 def mean(c: Column, scale: int | None = 2) -> Column:
-    """Mean of the non-null values, from the same exact sum."""
-    return F.try_divide(total(c, scale), F.count(c).cast("double"))
+    """Mean of the present values, from the same exact sum."""
+    return F.try_divide(total(c, scale), F.count(present(c)).cast("double"))
 
 
 def percent(part: Column, whole: Column, digits: int = 3) -> Column:
@@ -68,8 +92,3 @@ def lenient_double(text: Column) -> Column:
 def beyond_tolerance(a: Column, b: Column, tolerance: float) -> Column:
     """True where ``a`` and ``b`` differ by more than ``tolerance``."""
     return F.abs(a - b) > F.lit(tolerance)
-
-
-def one_row_column(df: DataFrame, name: str) -> Column:
-    """The value of a one-row result as a column, joined in by a scalar subquery."""
-    return df.select(name).scalar()

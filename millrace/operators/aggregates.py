@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.columns import mean, month_key, total
+from millrace.functions.columns import mean, month_key, present, total
 from millrace.operators.quantiles import exact_quantiles
 
 
@@ -16,13 +16,14 @@ def named_agg(
 ) -> DataFrame:
     """``total_<value>, avg_<value>, item_count`` per group, largest total first.
 
-    Null keys form groups. ``scale`` is the number of decimals of a money column, whose
-    sums then do not depend on row order; pass None for plain floating sums.
+    Null keys form groups; missing values count in none of the three. ``scale`` is the
+    number of decimals of a money column, whose sums then do not depend on row order; pass
+    None for plain floating sums.
     """
     out = df.groupBy(*keys).agg(
         total(F.col(value), scale).alias(f"total_{value}"),
         mean(F.col(value), scale).alias(f"avg_{value}"),
-        F.count(value).alias("item_count"),
+        F.count(present(F.col(value))).alias("item_count"),
     )
     return out.orderBy(F.desc(f"total_{value}"), *keys) if order else out
 
@@ -57,7 +58,7 @@ def frequency(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def compare_groups(df: DataFrame, key: str, value: str, scale: int | None = 2) -> DataFrame:
     """Count, mean and exact median of ``value`` per group."""
-    means = df.groupBy(key).agg(F.count(value).alias("n"), mean(F.col(value), scale).alias("mean"))
+    means = df.groupBy(key).agg(F.count(present(F.col(value))).alias("n"), mean(F.col(value), scale).alias("mean"))
     medians = exact_quantiles(df, value, {"median": 0.5}, by=[key]).select(
         F.col(key).alias("_key"), "median"
     )

@@ -197,8 +197,18 @@ def quarantine(checked: DataFrame, path: str, mode: str = "error") -> None:
     checked.withColumn("is_valid", F.size("errors") == 0).write.partitionBy("is_valid").mode(mode).parquet(path)
 
 
+def raise_on_error(checked: DataFrame) -> DataFrame:
+    """The good rows; the job that reads them stops at the first bad one. Nothing is read
+    ahead of that job."""
+    first = F.get("errors", F.lit(0))
+    why = F.concat_ws(": ", F.concat_ws(".", first["loc"]), first["msg"])
+    ok = F.when(F.size("errors") == 0, True).otherwise(F.raise_error(why).cast("boolean"))
+    return checked.where(ok).drop("row", "errors")
+
+
 def require_valid(checked: DataFrame) -> DataFrame:
-    """The good rows when there is no bad one; otherwise an error naming the first."""
+    """The good rows when there is no bad one; otherwise an error naming the first. Looks
+    at once, so it suits small reference records; use ``raise_on_error`` for tables."""
     bad = checked.where(F.size("errors") > 0).select("errors").first()
     if bad is not None:
         first = bad["errors"][0]

@@ -115,9 +115,9 @@ features as (select quantity, quantity*unit_price as gross, customer_age, amount
 v as (select 'quantity' as feature, (1-yz*yz)/det as vif, (select corr(quantity,amount) from features) as tr from d
 union all select 'gross', (1-xz*xz)/det, (select corr(gross,amount) from features) from d
 union all select 'customer_age', (1-xy*xy)/det, (select corr(customer_age,amount) from features) from d)
-select feature, round(vif,6) as vif, round(tr,9) as target_r,
+select feature, round(vif,3) as vif, round(tr,9) as target_r,
   vif<=5 or abs(tr)=(select max(abs(tr)) from v where vif>5) as kept from v""")
 def st8(spark, sf):
     df = cleaned_sales(spark, sf).withColumn("gross", F.col("quantity") * F.col("unit_price"))
     out = correlation.drop_collinear(df, ["quantity", "gross", "customer_age"], "amount")
-    return out.withColumns({"vif": F.round("vif", 6), "target_r": F.round("target_r", 9)})
+    return out.withColumns({"vif": F.round("vif", 3), "target_r": F.round("target_r", 9)})

@@ -10,7 +10,7 @@ from millrace.operators.aggregates import named_agg, with_month
 from millrace.operators.cleaning import drop_missing
 from millrace.operators.modeling import label_above_mean, linear_pipeline
 from millrace.operators.profile import missing_report
-from millrace.operators.validation import Field, good_rows, require_valid, validate
+from millrace.operators.validation import Field, good_rows, raise_on_error, validate
 from millrace.plans.ingest import attach_one_row, enriched_weather
 from millrace.plans.queries_quality import ERRORS_SQL, FIELDS, records
 from millrace.plans.registry import CLEAN_SQL, LABELED_SQL, PRESENT_SQL, SALES_SQL, SUM_SQL, query
@@ -74,6 +74,23 @@ def src5(spark, sf):
     return read_csv(spark, path, result.schema)
 
 
+@query("src6_missing_path", " union all ".join(
+    f"select '{t}' as table_name, true as found, count(*) as n from {t}" for t in ("lineitem", "orders", "events"))
+    + " union all select 'absent', false, null")
+def src6(spark, sf):
+    out = None
+    for name in ("lineitem", "orders", "events", "absent"):
+        try:
+            counted = read_parquet(spark, f"{sf}/{name}.parquet").agg(F.count("*").alias("n"))
+            found = True
+        except FileNotFoundError:
+            counted = spark.range(1).select(F.lit(None).cast("bigint").alias("n"))
+            found = False
+        row = counted.select(F.lit(name).alias("table_name"), F.lit(found).alias("found"), "n")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
 @query("src7_corrupt_rows", """select event_id%41=0 as corrupt, count(*) as n,
   sum(case when event_id%41<>0 then event_id else 0 end)::bigint as id_sum from events group by 1""")
 def src7(spark, sf):
@@ -130,7 +147,7 @@ def src9(spark, sf):
     checked = payloads.flat_record(
         table(spark, sf, "events"), "props", [Field("seq", "float", source="k")], ["event_id"]
     )
-    return require_valid(checked)
+    return raise_on_error(checked)
 
 
 @query("src10_two_readers", " union all ".join(

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.functions.columns import fixed_parts, fixed_total
 from millrace.operators.aggregates import with_month
 from millrace.operators.cleaning import Fence, clean
 from millrace.session import stage
@@ -67,6 +68,7 @@ def cleaned_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean(staged_sales(spark, sf_dir), REQUIRED, "amount")[0]
 
 
+CENTS = 2
 SUMMARY_KEYS = ["region", "category", "payment_method", "order_month"]
 SUMMARY_SETS = {
     "region_category": ["region", "category"],
@@ -79,17 +81,18 @@ def summaries(df: DataFrame) -> tuple[dict[str, DataFrame], Fence]:
     """Clean a sales table and aggregate it three ways in one scan.
 
     The table is grouped once by all keys together. That result is staged and rolled up
-    per summary; decimal sums make the totals equal to those of direct grouping. With the
+    per summary; exact sums make the totals equal to those of direct grouping. With the
     two scans of the fence, the table is read three times in all.
     """
     kept, fence = clean(df, REQUIRED, "amount")
+    high, low = fixed_parts(F.col("amount"), CENTS)
     base = stage(
         with_month(kept)
         .groupBy(*SUMMARY_KEYS)
-        .agg(F.sum(F.col("amount").cast("decimal(18,2)")).alias("_sum"), F.count("amount").alias("_n")),
+        .agg(F.sum(high).alias("_high"), F.sum(low).alias("_low"), F.count("amount").alias("_n")),
         "summaries",
     )
-    sums = F.sum("_sum").cast("double")
+    sums = fixed_total(F.sum("_high"), F.sum("_low"), CENTS)
     out = {}
     for name, keys in SUMMARY_SETS.items():
         rows = base.groupBy(*keys).agg(

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -14,18 +15,21 @@ from millrace.session import stage
 CORRUPT = "_corrupt_record"
 
 
-def ensure_exists(spark: SparkSession, path: str) -> None:
-    """Raise FileNotFoundError when nothing can be read at ``path``."""
+@contextmanager
+def _clear_errors(path: str) -> Iterator[None]:
+    """A path that is not there becomes a FileNotFoundError."""
     try:
-        spark.read.format("binaryFile").load(path).select("path")
+        yield
     except AnalysisException as e:
         if e.getCondition() == "PATH_NOT_FOUND":
             raise FileNotFoundError(f"no input file at {path}") from e
         raise
 
 
-def _ensure_not_empty(spark: SparkSession, path: str) -> None:
-    if spark.read.text(path).isEmpty():
+def _ensure_readable(spark: SparkSession, path: str) -> None:
+    with _clear_errors(path):
+        first_line = spark.read.text(path).limit(1)
+    if first_line.isEmpty():
         raise ValueError(f"no data to read in {path}")
 
 
@@ -43,8 +47,7 @@ def read_csv(
     once more. Rows that do not parse stop the job (as far as the columns in use are
     concerned) unless ``keep_corrupt`` keeps their text in ``_corrupt_record``. ``null_values`` are further texts that mean missing.
     """
-    ensure_exists(spark, path)
-    _ensure_not_empty(spark, path)
+    _ensure_readable(spark, path)
     reader = spark.read.option("header", True).option("enforceSchema", schema is None).options(**options)
     if schema is None:
         df = reader.option("inferSchema", True).option("mode", "FAILFAST").csv(path)
@@ -95,9 +98,5 @@ def csv_table(spark: SparkSession, path: str, view: str, schema: T.StructType |
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     """Parquet scan; a missing path is a FileNotFoundError."""
-    try:
+    with _clear_errors(path):
         return spark.read.parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() == "PATH_NOT_FOUND":
-            raise FileNotFoundError(f"no input file at {path}") from e
-        raise

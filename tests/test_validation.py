@@ -98,6 +98,13 @@ def test_require_valid(rows):
         V.require_valid(check(rows, '{"s":"a","f":101}'))
 
 
+def test_raise_on_error_is_lazy(rows):
+    bad = V.raise_on_error(check(rows, '{"s":"a","f":1}', '{"s":"a","f":101}'))
+    with pytest.raises(Exception, match="f: Input should be less than or equal to 100"):
+        bad.collect()
+    assert V.raise_on_error(check(rows, '{"s":"a","f":1}')).count() == 1
+
+
 def test_quarantine_writes_both_sides(rows, spark, tmp_path):
     path = str(tmp_path / "q")
     V.quarantine(check(rows, '{"s":"a","f":1}', '{"s":"a","f":101}').drop("row"), path)
