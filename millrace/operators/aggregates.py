@@ -4,13 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.columns import mean, month_key, present, total
+from millrace.functions.columns import mean, month_key, month_start, present, total
 from millrace.operators.quantiles import exact_quantiles
 
 
+def _named(value: str, scale: int | None) -> list[Column]:
+    return [
+        total(F.col(value), scale).alias(f"total_{value}"),
+        mean(F.col(value), scale).alias(f"avg_{value}"),
+        F.count(present(F.col(value))).alias("item_count"),
+    ]
+
+
 def named_agg(
     df: DataFrame, keys: Sequence[str], value: str = "amount", scale: int | None = 2, order: bool = True
 ) -> DataFrame:
@@ -20,11 +28,7 @@ def named_agg(
     number of decimals of a money column, whose sums then do not depend on row order; pass
     None for plain floating sums.
     """
-    out = df.groupBy(*keys).agg(
-        total(F.col(value), scale).alias(f"total_{value}"),
-        mean(F.col(value), scale).alias(f"avg_{value}"),
-        F.count(present(F.col(value))).alias("item_count"),
-    )
+    out = df.groupBy(*keys).agg(*_named(value, scale))
     return out.orderBy(F.desc(f"total_{value}"), *keys) if order else out
 
 
@@ -32,23 +36,24 @@ def with_month(df: DataFrame, date: str = "order_date", name: str = "order_month
     return df.withColumn(name, month_key(df, date))
 
 
+def by_month(df: DataFrame, date: str, name: str, aggs: Sequence[Column]) -> DataFrame:
+    """Aggregates per month, oldest first; the month becomes text after grouping."""
+    grouped = df.groupBy(month_start(df, date).alias(name)).agg(*aggs)
+    return grouped.withColumn(name, month_key(grouped, name)).orderBy(name)
+
+
 def monthly_trend(
     df: DataFrame, date: str = "order_date", value: str = "amount", scale: int | None = 2
 ) -> DataFrame:
     """Sum, mean and count by month, oldest first."""
-    return named_agg(with_month(df, date), ["order_month"], value, scale, order=False).orderBy("order_month")
+    return by_month(df, date, "order_month", _named(value, scale))
 
 
 def monthly_total(
     df: DataFrame, date: str = "order_date", value: str = "amount", scale: int | None = 2
 ) -> DataFrame:
     """Only the sum by month, oldest first."""
-    return (
-        with_month(df, date)
-        .groupBy("order_month")
-        .agg(total(F.col(value), scale).alias(f"total_{value}"))
-        .orderBy("order_month")
-    )
+    return by_month(df, date, "order_month", _named(value, scale)[:1])
 
 
 def frequency(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -68,7 +68,7 @@ def ml3(spark, sf):
 SLOTS = "region category payment_method".split()
 
 
-@query("ml4_pipeline_features", f"""with {LABELED_SQL},
+@query("ml4_feature_vectors", f"""with {LABELED_SQL},
 m as (select avg(customer_age) as mean, stddev_pop(customer_age) as sd from labeled),
 """ + ", ".join(
     f"s_{c} as (select {c} as v, cast(row_number() over (order by {c})-1 as int) as slot from (select distinct {c} from labeled))"
