@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.session import stage
+
 
 def accuracy(df: DataFrame, label: str, prediction: str) -> DataFrame:
     """Share of rows predicted right."""
@@ -36,7 +38,7 @@ def class_report(counts: DataFrame, label: str, prediction: str) -> DataFrame:
         F.struct(p.cast("string").alias("class"), F.lit(0).cast("bigint").alias("support"), n.alias("predicted"),
                  F.lit(0).cast("bigint").alias("hit")),
     )
-    per_class = (
+    per_class = stage(  # the predictions behind the counts are scored only once
         counts.select(F.inline(sides))
         .groupBy("class")
         .agg(*[F.sum(c).alias(c) for c in ("support", "predicted", "hit")])
@@ -47,7 +49,8 @@ def class_report(counts: DataFrame, label: str, prediction: str) -> DataFrame:
             _ratio(F.col("hit"), F.col("support")).alias("recall"),
             _ratio(2 * F.col("hit"), F.col("support") + F.col("predicted")).alias("f1"),
             "support",
-        )
+        ),
+        "class-report",
     )
     scores = ("precision", "recall", "f1")
     w = F.sum("support")
@@ -56,18 +59,14 @@ def class_report(counts: DataFrame, label: str, prediction: str) -> DataFrame:
         parts = [v.cast("double").alias(s) for s, v in zip(scores, values)]
         return F.struct(F.lit(name).alias("class"), *parts, w.alias("support"))
 
-    # One row per class: the list below has as many entries as there are classes.
-    entry = F.struct("class", *scores, "support")
-    return per_class.agg(
-        F.concat(
-            F.sort_array(F.collect_list(entry)),
-            F.array(
-                row("accuracy", [F.lit(None), F.lit(None), _ratio(F.sum("hit"), w)]),
-                row("macro avg", [F.avg(s) for s in scores]),
-                row("weighted avg", [_ratio(F.sum(F.col(s) * F.col("support")), w) for s in scores]),
-            ),
+    overall = per_class.agg(
+        F.array(
+            row("accuracy", [F.lit(None), F.lit(None), _ratio(F.sum("hit"), w)]),
+            row("macro avg", [F.avg(s) for s in scores]),
+            row("weighted avg", [_ratio(F.sum(F.col(s) * F.col("support")), w) for s in scores]),
         ).alias("rows")
     ).select(F.inline("rows"))
+    return per_class.select("class", *scores, "support").orderBy("class").unionByName(overall)
 
 
 def majority_baseline(df: DataFrame, label: str) -> DataFrame:

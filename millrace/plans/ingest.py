@@ -1,4 +1,4 @@
-"""Landed payloads to an enriched table: parse, validate, attach one-row references."""
+"""Landed records to tables: parse, validate, split, attach one-row references."""
 
 from __future__ import annotations
 
@@ -7,8 +7,28 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators.validation import good_rows, require_valid
+from millrace.operators.validation import Field, good_rows, require_valid, validate_json
+from millrace.session import stage
 from millrace.sources.payloads import COUNTRY_FIELDS, IP_FIELDS, flat_record, weather_rows
+from millrace.sources.sinks import write_csv, write_rejects
+
+# The fields of a small sales record, in the order they are stored.
+SALES_FIELDS = (
+    Field("month", "string", min_length=1),
+    Field("region", "string", min_length=1),
+    Field("amount", "float", gt=0),
+    Field("category", "string"),
+)
+
+
+def split_records(
+    lines: DataFrame, text: str, fields: Sequence[Field], valid_path: str, reject_path: str
+) -> None:
+    """Write the good records as CSV and the rejects, with reasons, as JSON lines. The
+    check runs once; its result is staged for the two writers."""
+    checked = stage(validate_json(lines, text, fields), "checked")
+    write_csv(good_rows(checked), valid_path)
+    write_rejects(checked, reject_path)
 
 
 def attach_one_row(df: DataFrame, reference: DataFrame, columns: dict[str, str]) -> DataFrame:

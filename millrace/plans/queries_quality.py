@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from millrace.functions.columns import total
 from millrace.operators import validation as val
 from millrace.operators.cleaning import cleaning_report, drop_missing, fence_report, iqr_fence
 from millrace.operators.profile import consistency_report, missing_report, schema_profile
 from millrace.operators.validation import Field
+from millrace.plans.ingest import SALES_FIELDS, split_records
 from millrace.plans.registry import CLEAN_SQL, FENCE_SQL, PRESENT_SQL, SALES_SQL, SUM_SQL, query
 from millrace.plans.sales import REQUIRED, cleaned_sales, sales, staged_sales, table
+from millrace.session import scratch_path
 from millrace.sources.payloads import COUNTRY_FIELDS, flat_record
+from millrace.sources.readers import read_csv
 
 FIELDS = (
     Field("kind", "string", min_length=1),
@@ -68,6 +72,37 @@ def dq2(spark, sf):
     )
 
 
+@query("dq1_split_records", """with r as (select o_orderkey as k, case when o_orderkey%50=1 then '' else
+  substr(cast(cast(o_orderdate as date) as varchar),1,7) end as month, case when o_orderkey%60=2 then '' else o_orderstatus end as region,
+  case when o_orderkey%70=3 then -o_totalprice when o_orderkey%80=4 then 0 else o_totalprice end as amount from orders),
+e as (select k, month='' as m, region='' as g, amount<=0 as a from r)
+select 'valid' as side, month as name, count(*) as n, cast(sum(cast(amount as decimal(18,2))) as double) as amount
+from r where month<>'' and region<>'' and amount>0 group by month
+union all select 'reject', 'month string_too_short', count(*), null from e where m
+union all select 'reject', 'region string_too_short', count(*), null from e where g
+union all select 'reject', 'amount greater_than', count(*), null from e where a""")
+def dq1_split(spark, sf):
+    key = F.col("o_orderkey")
+    amount = F.col("o_totalprice")
+    lines = table(spark, sf, "orders").select(F.to_json(F.struct(
+        F.when(key % 60 == 2, "").otherwise(F.col("o_orderstatus")).alias("region"),
+        F.col("o_orderpriority").alias("category"),
+        F.when(key % 70 == 3, -amount).when(key % 80 == 4, 0.0).otherwise(amount).alias("amount"),
+        F.when(key % 50 == 1, "").otherwise(F.date_format("o_orderdate", "yyyy-MM")).alias("month"),
+    )).alias("line"))
+    valid, rejects = scratch_path(spark, "valid-csv"), scratch_path(spark, "rejects-json")
+    split_records(lines, "line", SALES_FIELDS, valid, rejects)
+    good = read_csv(spark, valid, "month string, region string, amount double, category string")
+    bad = spark.read.schema("row string, error array<struct<type:string,loc:array<string>>>").json(rejects)
+    return good.groupBy(F.lit("valid").alias("side"), F.col("month").alias("name")).agg(
+        F.count("*").alias("n"), total(F.col("amount")).alias("amount")
+    ).unionByName(
+        bad.select(F.explode("error").alias("e"))
+        .groupBy(F.lit("reject").alias("side"), F.concat_ws(" ", F.col("e.loc")[0], "e.type").alias("name"))
+        .agg(F.count("*").alias("n"), F.lit(None).cast("double").alias("amount"))
+    )
+
+
 JSON_KINDS = """kinds as (select event_id,
   case when event_id%11=1 then 'string_type' end as kind_error,
   case event_id%13 when 1 then 'missing' when 2 then 'float_type' when 3 then 'float_parsing'

@@ -226,7 +226,16 @@ def snk4(spark, sf):
     return _lines(spark, sinks.markdown_table(totals, "total"))
 
 
-@query("snk6_run_report")
+@query("snk6_run_report", f"""with {SALES_SQL},
+m as (select 'region' as c, count(*) filter (region is null) as k, count(*) as n from sales
+  union all select 'category', count(*) filter (category is null), count(*) from sales
+  union all select 'amount', count(*) filter (amount is null), count(*) from sales),
+t as (select category, {SUM_SQL} as total, count(amount) as n from sales group by 1)
+select '| '||c||' | '||k||' | '||printf('%.2f', round(k*100.0::double/n,3))||' |' as line from m
+union all select '| '||coalesce(category,'')||' | '||printf('%.2f', total)||' | '||printf('%.2f', total/n)||' | '||n||' |' from t
+union all select unnest(['# Sales run', '', '## Missing values', '', '| column_name | missing_count | missing_pct |',
+  '|---|---|---|', '', '## Totals by category', '', '| category | total_amount | avg_amount | item_count |',
+  '|---|---|---|---|', '', '## Note', '', 'Amounts are sums of single sales.'])""")
 def snk6(spark, sf):
     path = scratch_path(spark, "report-md")
     raw = sales(spark, sf)
