@@ -46,6 +46,7 @@ def month_start(df: DataFrame, name: str) -> Column:
     return F.trunc(F.col(name), "MM")
 
 
+DECIMALS = 6  # decimals that count in exact sums unless told otherwise
 LOW_BITS = 20  # a sum of low parts stays a bigint for 8e12 rows per group
 
 
@@ -57,7 +58,8 @@ def present(c: Column) -> Column:
 def fixed_parts(c: Column, scale: int) -> tuple[Column, Column]:
     """A number as fixed-point units of ``scale`` decimals, split in a high and a low
     integer. Sums of the parts are exact in any order and stay in primitive buffers,
-    which makes them several times faster than decimal sums."""
+    which makes them several times faster than decimal sums. A number with more decimals
+    is rounded to ``scale``; one too large for a bigint of units is an error."""
     units = F.rint(present(c) * F.lit(10.0**scale)).cast("bigint")
     return F.shiftright(units, LOW_BITS), units.bitwiseAND(F.lit((1 << LOW_BITS) - 1).cast("bigint"))
 
@@ -68,7 +70,7 @@ def fixed_total(high_sum: Column, low_sum: Column, scale: int) -> Column:
     return (units * F.lit(Decimal(1).scaleb(-scale))).cast("double")
 
 
-def total(c: Column, scale: int | None = 2) -> Column:
+def total(c: Column, scale: int | None = DECIMALS) -> Column:
     """Sum of the present values as double. With a ``scale``, values count to that many
     decimals and the sum does not depend on the order in which partitions are merged."""
     if scale is None:
@@ -77,7 +79,7 @@ def total(c: Column, scale: int | None = 2) -> Column:
     return fixed_total(F.sum(high), F.sum(low), scale)
 
 
-def mean(c: Column, scale: int | None = 2) -> Column:
+def mean(c: Column, scale: int | None = DECIMALS) -> Column:
     """Mean of the present values, from the same exact sum."""
     return F.try_divide(total(c, scale), F.count(present(c)).cast("double"))
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.columns import mean, month_key, month_start, present, total
+from millrace.functions.columns import DECIMALS, mean, month_key, month_start, present, total
 from millrace.operators.quantiles import exact_quantiles
 
 
@@ -20,13 +20,13 @@ def _named(value: str, scale: int | None) -> list[Column]:
 
 
 def named_agg(
-    df: DataFrame, keys: Sequence[str], value: str = "amount", scale: int | None = 2, order: bool = True
+    df: DataFrame, keys: Sequence[str], value: str = "amount", scale: int | None = DECIMALS, order: bool = True
 ) -> DataFrame:
     """``total_<value>, avg_<value>, item_count`` per group, largest total first.
 
-    Null keys form groups; missing values count in none of the three. ``scale`` is the
-    number of decimals of a money column, whose sums then do not depend on row order; pass
-    None for plain floating sums.
+    Null keys form groups; missing values count in none of the three. Values count
+    to ``scale`` decimals in sums that do not depend on row order; None gives plain floating
+    sums.
     """
     out = df.groupBy(*keys).agg(*_named(value, scale))
     return out.orderBy(F.desc(f"total_{value}"), *keys) if order else out
@@ -43,14 +43,14 @@ def by_month(df: DataFrame, date: str, name: str, aggs: Sequence[Column]) -> Dat
 
 
 def monthly_trend(
-    df: DataFrame, date: str = "order_date", value: str = "amount", scale: int | None = 2
+    df: DataFrame, date: str = "order_date", value: str = "amount", scale: int | None = DECIMALS
 ) -> DataFrame:
     """Sum, mean and count by month, oldest first."""
     return by_month(df, date, "order_month", _named(value, scale))
 
 
 def monthly_total(
-    df: DataFrame, date: str = "order_date", value: str = "amount", scale: int | None = 2
+    df: DataFrame, date: str = "order_date", value: str = "amount", scale: int | None = DECIMALS
 ) -> DataFrame:
     """Only the sum by month, oldest first."""
     return by_month(df, date, "order_month", _named(value, scale)[:1])
@@ -61,7 +61,7 @@ def frequency(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias("n")).orderBy(F.desc("n"), *keys)
 
 
-def compare_groups(df: DataFrame, key: str, value: str, scale: int | None = 2) -> DataFrame:
+def compare_groups(df: DataFrame, key: str, value: str, scale: int | None = DECIMALS) -> DataFrame:
     """Count, mean and exact median of ``value`` per group."""
     means = df.groupBy(key).agg(F.count(present(F.col(value))).alias("n"), mean(F.col(value), scale).alias("mean"))
     medians = exact_quantiles(df, value, {"median": 0.5}, by=[key]).select(

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.columns import missing
+from millrace.functions.columns import DECIMALS, missing
 from millrace.operators.aggregates import named_agg
 from millrace.operators.quantiles import exact_quantiles
 from millrace.session import stage
@@ -142,13 +142,13 @@ def box_summary(df: DataFrame, group: str, value: str, k: float = 1.5) -> DataFr
     )
 
 
-def grouped_bars(df: DataFrame, x: str, color: str, value: str, scale: int | None = 2) -> DataFrame:
+def grouped_bars(df: DataFrame, x: str, color: str, value: str, scale: int | None = DECIMALS) -> DataFrame:
     """Total per pair, in chart order: one series per color, x ascending within it."""
     return named_agg(df, [x, color], value, scale, order=False).orderBy(color, x)
 
 
 def grouped_bars_wide(
-    df: DataFrame, x: str, color: str, value: str, colors: list | None = None, scale: int | None = 2
+    df: DataFrame, x: str, color: str, value: str, colors: list | None = None, scale: int | None = DECIMALS
 ) -> DataFrame:
     """One row per x, one column of totals per color."""
     pairs = named_agg(df, [x, color], value, scale, order=False)

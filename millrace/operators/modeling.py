@@ -11,12 +11,12 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.columns import mean
+from millrace.functions.columns import DECIMALS, mean
 from millrace.operators.cleaning import drop_missing
 from millrace.operators.metrics import accuracy, r_squared
 
 
-def label_above_mean(df: DataFrame, value: str, label: str, scale: int | None = 2) -> DataFrame:
+def label_above_mean(df: DataFrame, value: str, label: str, scale: int | None = DECIMALS) -> DataFrame:
     """1 where ``value`` is strictly above its mean over ``df``, else 0."""
     threshold = df.agg(mean(F.col(value), scale)).scalar()
     return df.withColumn(label, (F.col(value) > threshold).cast("int"))

@@ -34,12 +34,17 @@ def test_sum_does_not_depend_on_partitions(spark):
 def test_exact_totals(rows):
     cents = [99999999999999, -1, -250, 7, 2**40, -(2**45), 0]
     df = rows("v double, g int", [(c / 100, 1) for c in cents] + [(float("nan"), 1), (None, 1)])
-    row = A.named_agg(df, ["g"], "v").first()
+    row = A.named_agg(df, ["g"], "v", scale=2).first()
     assert row["total_v"] == sum(cents) / 100 and row["item_count"] == len(cents)
     plain = A.named_agg(df, ["g"], "v", scale=None).first()
     assert plain["total_v"] == pytest.approx(row["total_v"]) and plain["avg_v"] == pytest.approx(row["avg_v"])
 
 
+def test_decimals_beyond_cents_count(rows):
+    df = rows("v double, g int", [(0.000001, 1), (1.234567, 1), (-3.5, 1)])
+    assert A.named_agg(df, ["g"], "v").first()["total_v"] == -2.265432
+
+
 def test_overflow_is_an_error(rows):
     with pytest.raises(Exception, match="OVERFLOW"):
         A.named_agg(rows("v double, g int", [(1e300, 1)]), ["g"], "v").collect()
