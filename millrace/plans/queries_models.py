@@ -14,7 +14,7 @@ from millrace.operators import metrics, modeling
 from millrace.operators.cleaning import drop_missing
 from millrace.operators.correlation import drop_collinear
 from millrace.operators.splits import stratified_split
-from millrace.plans.registry import LABELED_SQL, PRESENT_SQL, SALES_SQL, query
+from millrace.plans.registry import LABELED_SQL, SALES_SQL, query
 from millrace.plans.sales import REQUIRED, cleaned_sales, sales, staged_sales
 from millrace.session import scratch_path, stage
 from millrace.sources.sinks import save_model

@@ -10,7 +10,7 @@ from millrace.operators.cleaning import cleaning_report, drop_missing, fence_rep
 from millrace.operators.profile import consistency_report, missing_report, schema_profile
 from millrace.operators.validation import Field
 from millrace.plans.ingest import SALES_FIELDS, split_records
-from millrace.plans.registry import CLEAN_SQL, FENCE_SQL, PRESENT_SQL, SALES_SQL, SUM_SQL, query
+from millrace.plans.registry import CLEAN_SQL, PRESENT_SQL, SALES_SQL, SUM_SQL, query
 from millrace.plans.sales import REQUIRED, cleaned_sales, sales, staged_sales, table
 from millrace.session import scratch_path
 from millrace.sources.payloads import COUNTRY_FIELDS, flat_record

@@ -11,7 +11,7 @@ from millrace.operators.cleaning import drop_missing
 from millrace.operators.modeling import label_above_mean, linear_pipeline
 from millrace.operators.profile import missing_report
 from millrace.operators.validation import Field, good_rows, raise_on_error, validate
-from millrace.plans.ingest import attach_one_row, enriched_weather
+from millrace.plans.ingest import enriched_weather
 from millrace.plans.queries_quality import ERRORS_SQL, FIELDS, records
 from millrace.plans.registry import CLEAN_SQL, LABELED_SQL, PRESENT_SQL, SALES_SQL, SUM_SQL, query
 from millrace.plans.sales import REQUIRED, cleaned_sales, sales, staged_sales, table
