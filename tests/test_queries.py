@@ -7,8 +7,8 @@ from millrace.operators.profile import missing_report
 from millrace.plans.sales import REQUIRED, cleaned_sales, sales, summaries, table
 from tests.compare import connect, differences
 
-QUERIES = entry_points.queries()
-ORACLES = entry_points.oracle_sql()
+QUERIES = entry_points.QUERIES
+ORACLES = entry_points.ORACLES
 ROWS_ONLY_SLOW = {"ml6_random_forest", "ml9_saved_model", "ml11_feature_sets", "ml12_regression", "ml13_classifier_f1"}
 
 
