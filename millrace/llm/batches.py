@@ -64,11 +64,14 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def word_spans(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and ends of the words ``[^\\x20\\x09-\\x0D]+``; a row's end also ends a word."""
+def word_spans(data: np.ndarray, bounds: np.ndarray, gaps: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the words ``[^\\x20\\x09-\\x0D]+``; a row's end also ends a word.
+
+    ``gaps`` marks the bytes between words, white space if not given.
+    """
     if not len(data):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    solid = ~SPACE[data]
+    solid = ~gaps[data]
     edge = np.zeros(len(data) + 1, dtype=bool)
     edge[bounds] = True
     first, last = solid.copy(), solid.copy()

@@ -68,7 +68,8 @@ def exact_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc
     bearers = numbered.select("row", "doc_id", "text_sha256").join(lists, "row", "left")
     bearers = stage(bearers.withColumn("list", F.coalesce("list", empty)), "lists")
     groups = bearers.groupBy("list").agg(F.min("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
-    return bearers.join(groups, "list").select(
+    # staged, so that both sides of the join are plain shuffles and a huge group can be split
+    return bearers.join(stage(groups, "groups"), "list").select(
         "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256"
     )
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
+from millrace.llm import language, quality, toxicity
 from millrace.llm.bpe import round_trip
 from millrace.llm.exact_dedup import exact_duplicates
 from millrace.llm.hamming_search import hamming_top_k, sign_codes
@@ -32,6 +33,29 @@ def op5(spark, sf_dir):
     return round_trip(docs, public_tokenizers.path(BYTE_RANKS), public_tokenizers.PATTERN)
 
 
+@register("op6_quality")
+def op6(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    ratings = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("grade"))
+    return quality.grade(docs, quality.fit(docs, ratings))
+
+
+@register("op7_toxicity")
+def op7(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    fold = F.crc32(F.col("doc_id").cast("string")) % 5
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic", fold.alias("fold")).where("fold <> 0")
+    scored = toxicity.score(docs, toxicity.fit(docs, labels))
+    return scored.select("doc_id", (fold == 0).alias("held_out"), "score", "predicted")
+
+
+@register("op8_language")
+def op8(spark, sf_dir):
+    model = language.fit(table(spark, sf_dir, "documents"))
+    found = language.identify(language.page_rows(table(spark, sf_dir, "pages")), model)
+    return found.withColumnRenamed("id", "page_id")
+
+
 EXACT_SQL = r"""
 with normal as (
   select doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') as t from documents),
