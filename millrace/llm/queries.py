@@ -11,6 +11,7 @@ from millrace.llm.exact_dedup import exact_duplicates
 from millrace.llm.hamming_search import hamming_top_k, sign_codes
 from millrace.llm.packing import pack
 from millrace.llm.registry import register, table
+from millrace.llm.substring_dedup import substring_dedup
 from millrace.llm.token_files import token_table
 
 WORD_TOKENIZER = "word_bpe_49k.json"
@@ -27,6 +28,11 @@ def op3(spark, sf_dir):
     return token_table(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_TOKENIZER))
 
 
+@register("op4_substring_dedup")
+def op4(spark, sf_dir):
+    return substring_dedup(table(spark, sf_dir, "documents"))
+
+
 @register("op5_byte_bpe")
 def op5(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
