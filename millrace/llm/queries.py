@@ -9,6 +9,7 @@ from millrace.llm import language, quality, toxicity
 from millrace.llm.bpe import round_trip
 from millrace.llm.exact_dedup import exact_duplicates
 from millrace.llm.hamming_search import hamming_top_k, sign_codes
+from millrace.llm.near_dedup import near_duplicates
 from millrace.llm.packing import pack
 from millrace.llm.registry import register, table
 from millrace.llm.substring_dedup import substring_dedup
@@ -18,6 +19,11 @@ WORD_TOKENIZER = "word_bpe_49k.json"
 BYTE_RANKS = "byte_bpe_multi_50k.tiktoken"
 
 
+@register("op1_near_dedup")
+def op1(spark, sf_dir):
+    return near_duplicates(table(spark, sf_dir, "documents"), percent=85)
+
+
 @register("op2_packing")
 def op2(spark, sf_dir):
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_TOKENIZER))
