@@ -31,10 +31,10 @@ from millrace.llm.components import components
 from millrace.session import stage
 
 WORDS = 5
-#: Coordinates of the short and the long signature, and the matches that make a pair. A pair of similarity
-#: 0.85 has 54 and 435 matches on average, with standard deviations of 2.9 and 8.1.
-SHORT, SHORT_MATCHES = 64, 44
-LONG, LONG_MATCHES = 512, 410
+#: Coordinates of the short and the long signature, and by how many standard deviations the matches of a pair
+#: may fall short of the average at the similarity asked for. At 0.85 that makes 44 of 64 and 410 of 512.
+SHORT, SHORT_SLACK = 64, 3.5
+LONG, LONG_SLACK = 512, 3.1
 #: Slots of the filter that keeps most texts without candidates out of a shuffle: its size is fixed.
 SLOTS = 1 << 18
 
@@ -43,6 +43,12 @@ MULTIPLIERS = _rng.integers(0, 1 << 32, LONG, dtype=np.uint32) | np.uint32(1)
 OFFSETS = _rng.integers(0, 1 << 32, LONG, dtype=np.uint32)
 
 
+def least_matches(size: int, percent: int, slack: float) -> int:
+    """Matches of two signatures that make a pair."""
+    p = percent / 100
+    return max(1, int(size * p - slack * (size * p * (1 - p)) ** 0.5))
+
+
 def shingle_sets(data: np.ndarray, bounds: np.ndarray) -> list[np.ndarray]:
     """Sorted hashes of the distinct word 5-grams of each row; all words as one where there are fewer."""
     words, _, _, rows = word_hashes(data, bounds)
@@ -59,12 +65,24 @@ def shingle_sets(data: np.ndarray, bounds: np.ndarray) -> list[np.ndarray]:
 
 
 def signature(shingles: np.ndarray, size: int) -> np.ndarray:
-    """The smallest value of the shingles under each of ``size`` hash functions."""
+    """For each of ``size`` hash functions, 32 bits that name the shingle with the smallest value.
+
+    The smallest value itself would lie in a narrow range for long texts, so that
+    unrelated ones agreed by chance; the name is spread evenly.
+    """
     low = np.full(size, 0xFFFFFFFF, dtype=np.uint32)
+    name = np.zeros(size, dtype=np.uint32)
     heads = (shingles >> np.uint64(32)).astype(np.uint32)
-    for i in range(0, len(heads), 4096):
-        low = np.minimum(low, (heads[i : i + 4096, None] * MULTIPLIERS[:size] + OFFSETS[:size]).min(0))
-    return low
+    tails = (shingles & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+    every = np.arange(size)
+    for i in range(0, len(heads), 2048):
+        values = MULTIPLIERS[:size, None] * heads[None, i : i + 2048] + OFFSETS[:size, None]
+        at = values.argmin(1)
+        smallest = values[every, at]
+        better = (smallest < low) | (i == 0)
+        low = np.where(better, smallest, low)
+        name = np.where(better, tails[i + at], name)
+    return name
 
 
 def packed_nibbles(values: np.ndarray) -> np.ndarray:
@@ -139,21 +157,23 @@ def similar_size(a: Column, b: Column, percent: int) -> Column:
     return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
 
-def enough_matches(a: str, b: str) -> Column:
-    """At most LONG - LONG_MATCHES nibbles differ: true for every pair with LONG_MATCHES matches."""
+def enough_matches(a: str, b: str, matches: int) -> Column:
+    """At most LONG - matches nibbles differ: true for every pair with that many matches."""
     terms = []
     for i in range(LONG // 16):
         d = f"({a}[{i}] ^ {b}[{i}])"
         y = f"({d} | shiftrightunsigned({d}, 1))"
         terms.append(f"bit_count(({y} | shiftrightunsigned({y}, 2)) & 1229782938247303441L)")  # lowest bit of each nibble
-    return F.expr(" + ".join(terms)) <= LONG - LONG_MATCHES
+    return F.expr(" + ".join(terms)) <= LONG - matches
 
 
 def confirmed(pairs: DataFrame, fine: DataFrame, percent: int) -> DataFrame:
     """Those pairs (a, b) that have enough matches and whose full sets are similar enough."""
     small = fine.select("id", "n", "nibbles")
     a, b = small.toDF("a", "na", "xa"), small.toDF("b", "nb", "xb")
-    near = pairs.join(a, "a").join(b, "b").where(similar_size(F.col("na"), F.col("nb"), percent) & enough_matches("xa", "xb"))
+    matches = least_matches(LONG, percent, LONG_SLACK)
+    near = pairs.join(a, "a").join(b, "b")
+    near = near.where(similar_size(F.col("na"), F.col("nb"), percent) & enough_matches("xa", "xb", matches))
     near = stage(near.select("a", "b"), "candidates")
     sets = fine.select("id", "shingles")
     full = near.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b")
@@ -177,12 +197,13 @@ def near_duplicates(docs: DataFrame, percent: int = 85, text_col: str = "text",
     """One row per input row: doc_id, n_shingles, component_id, kept.
 
     Two documents are linked if 100 * |intersection| >= percent * |union| of their sets
-    of word 5-grams; ``component_id`` is the smallest id reachable by links. The match
-    thresholds suit a percent of 85 or more. Null and empty texts and those without
+    of word 5-grams; ``component_id`` is the smallest id reachable by links. Null and empty texts and those without
     words have an empty set and are linked with nothing. Rows with equal ids are one
     document for links. A row with null id is never the smallest; without other rows
     in its class its component is null. An empty table gives no rows.
     """
+    short_matches = least_matches(SHORT, percent, SHORT_SLACK)
+    long_matches = least_matches(LONG, percent, LONG_SLACK)
     wanted = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     sketch = stage(sketches(wanted), "sketches")
     # all rows of a class have the same set, hence the same signature
@@ -190,7 +211,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, text_col: str = "text",
     classes = stage(classes, "classes")
     signed = classes.where("id is not null").select("id", "sig")
     counted = shared_postings(signed).groupBy("id").agg(F.count(F.lit(1)).alias("shared"))
-    active = stage(counted.where(F.col("shared") >= SHORT_MATCHES).select("id"), "active")
+    active = stage(counted.where(F.col("shared") >= short_matches).select("id"), "active")
 
     slot = lambda c: F.pmod(F.xxhash64(c), F.lit(SLOTS))
     slots = F.broadcast(active.select(slot("id").alias("slot")).distinct())  # at most SLOTS numbers
@@ -200,8 +221,8 @@ def near_duplicates(docs: DataFrame, percent: int = 85, text_col: str = "text",
 
     order = F.sort_array(F.collect_list(F.struct("n", "token")))
     ranked = shared_postings(fine).groupBy("id").agg(order.alias("tokens"), F.sum(F.log("n")).alias("weight"))
-    ranked = ranked.where(F.size("tokens") >= LONG_MATCHES)
-    length = F.size("tokens") - (LONG_MATCHES - 1)
+    ranked = ranked.where(F.size("tokens") >= long_matches)
+    length = F.size("tokens") - (long_matches - 1)
     prefixes = stage(ranked.select("id", "weight", F.slice("tokens.token", F.lit(1), length).alias("prefix")), "prefixes")
 
     posted = prefixes.select("id", "weight", F.explode("prefix").alias("token"))
@@ -226,7 +247,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, text_col: str = "text",
     across = x.join(
         y,
         (x["token"] == y["token"]) & (F.col("a") < F.col("b")) & (F.col("la") != F.col("lb"))
-        & similar_size(F.col("na"), F.col("nb"), percent) & enough_matches("xa", "xb") & first_common,
+        & similar_size(F.col("na"), F.col("nb"), percent) & enough_matches("xa", "xb", long_matches) & first_common,
     ).select("a", "b")
     more = confirmed(stage(across.distinct(), "across"), fine, percent)
     label = components(stage(links.unionByName(more), "all-links"))

@@ -107,8 +107,23 @@ def substring_dedup(docs: DataFrame, text_col: str = "text", id_col: str = "doc_
     stay alike. Null texts stay null and empty ones empty, without units. Offsets refer
     to the original text; an empty table gives no rows.
     """
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    cleaned = _cleaned(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.lit(0).alias("rest")))
+    return cleaned.drop("rest")
+
+
+def without_repeats(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
+    """The table with cleaned texts, all other columns unchanged; see ``substring_dedup``."""
+    others = [c for c in docs.columns if c not in (text_col, id_col)]
+    rest = F.struct(*[F.col(f"`{c}`") for c in others]) if others else F.lit(0)
+    cleaned = _cleaned(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), rest.alias("rest")))
+    source = {text_col: "text", id_col: "doc_id"}
+    return cleaned.select(*[F.col(source.get(c, f"rest.`{c}`")).alias(c) for c in docs.columns])
+
+
+def _cleaned(rows: DataFrame) -> DataFrame:
+    """doc_id, text, rest (unchanged), removed, n_units, n_removed of (doc_id, text, rest)."""
     id_type = rows.schema["doc_id"].dataType.simpleString()
+    rest_type = rows.schema["rest"].dataType.simpleString()
 
     def cut(batches):
         for batch in batches:
@@ -121,12 +136,12 @@ def substring_dedup(docs: DataFrame, text_col: str = "text", id_col: str = "doc_
                     names=["digest", "doc_id"],
                 )
 
-    listed = stage(rows.mapInArrow(cut, f"digest long, doc_id {id_type}"), "units")
+    listed = stage(rows.select("doc_id", "text").mapInArrow(cut, f"digest long, doc_id {id_type}"), "units")
     firsts = listed.groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("n"))
     shared = stage(firsts.where("n > 1").select("digest", "first_id"), "repeated-units")
     repeats = listed.join(shared, "digest").where(~F.col("doc_id").eqNullSafe(F.col("first_id")))
     flags = repeats.groupBy("doc_id").agg(F.collect_set("digest").alias("repeats")).withColumnRenamed("doc_id", "_flag_id")
-    marked = rows.join(flags, F.col("doc_id").eqNullSafe(F.col("_flag_id")), "left").select("doc_id", "text", "repeats")
+    marked = rows.join(flags, F.col("doc_id").eqNullSafe(F.col("_flag_id")), "left").select("doc_id", "text", "rest", "repeats")
 
     def clean(batches):
         for batch in batches:
@@ -163,13 +178,15 @@ def substring_dedup(docs: DataFrame, text_col: str = "text", id_col: str = "doc_
                     ranges.append(spans)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        part.column("doc_id"), pa.array(out, pa.string()),
+                        part.column("doc_id"), pa.array(out, pa.string()), part.column("rest"),
                         pa.array(ranges, pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64())]))),
                         pa.array(np.diff(found["first"])), pa.array(removed, pa.int64()),
                     ],
-                    names=["doc_id", "text", "removed", "n_units", "n_removed"],
+                    names=["doc_id", "text", "rest", "removed", "n_units", "n_removed"],
                 )
 
     return marked.mapInArrow(
-        clean, f"doc_id {id_type}, text string, removed array<struct<start:bigint,length:bigint>>, n_units long, n_removed long"
+        clean,
+        f"doc_id {id_type}, text string, rest {rest_type}, removed array<struct<start:bigint,length:bigint>>, "
+        "n_units long, n_removed long",
     )
