@@ -2,18 +2,20 @@
 
 A sequence of tokens is the BPE encoding of its bytes exactly if each token
 encodes to itself and each neighbouring pair is the encoding of its own bytes.
-So encoding is a walk of a non-deterministic machine over bytes: a hypothesis is
-a chain of valid tokens, and the bytes read since, which begin some token. Every
-prefix of the input has one encoding, hence at most one hypothesis ends at each
-position, and only those whose open bytes still begin a token stay alive. A
-deterministic state is the set of live hypotheses without the tokens they all
-share; those are emitted as soon as they are shared, so output lags by no more
-than the longest token. States and moves are made when first met and kept.
+So encoding is a walk of a non-deterministic machine over bytes: a hypothesis
+says which token ended at some position and which bytes, the beginning of a
+token, have been read since. Every prefix of the input has one encoding, so one
+hypothesis ends at each position, and only those whose open bytes still begin a
+token stay alive. A deterministic state is the list of live hypotheses; states and
+moves are made when first met and kept. Each move puts out the token that ends
+there if the text is cut there. What lies before the oldest live hypothesis can no
+longer change and is emitted, so output lags by no more than the longest token.
 """
 
 from __future__ import annotations
 
 import base64
+import struct
 
 import numpy as np
 import pyarrow as pa
@@ -23,9 +25,12 @@ from pyspark.sql import functions as F
 
 from millrace.llm.batches import byte_rows, slices
 
-#: States kept before the machine starts anew, and pieces remembered per worker.
-MAX_STATES = 200_000
-MAX_PIECES = 300_000
+#: Moves kept before the machine starts anew, and pieces remembered per worker.
+MAX_MOVES = 400_000
+MAX_PIECES = 500_000
+#: Positions after which settled tokens are emitted.
+FLUSH = 4096
+NEVER = 1 << 62
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -40,105 +45,180 @@ class Transducer:
     def __init__(self, ranks: dict[bytes, int]):
         self._ranks = ranks
         self._tokens = {rank: token for token, rank in ranks.items()}
-        self._begins = {token[:n] for token in ranks for n in range(1, len(token) + 1)}
-        self._whole: dict[bytes, bool] = {}
+        self._length = {rank: len(token) for token, rank in ranks.items()}
+        self._halves: dict[int, tuple[bytes, bytes] | None] = {}
         self._pairs: dict[tuple[int, int], bool] = {}
+        # the tokens as a tree: node -> {byte: node}, and the token that a node spells
+        self._next: list[dict[int, int]] = [{}]
+        self._spells: list[int] = [-1]
+        self._depth: list[int] = [0]
+        for token, rank in ranks.items():
+            node = 0
+            for byte in token:
+                step = self._next[node].get(byte)
+                if step is None:
+                    step = self._next[node][byte] = len(self._next)
+                    self._next.append({})
+                    self._spells.append(-1)
+                    self._depth.append(self._depth[node] + 1)
+                node = step
+            if len(token) == 1 or self._split(rank) is not None:
+                self._spells[node] = rank
         self._forget()
 
     def _forget(self) -> None:
-        # a state: ((chain of tokens not yet shared, open bytes), ...); the last chain token decides what may follow
-        start = (((), b""),)
-        self._states = [start]
-        self._numbers = {start: 0}
-        self._moves: dict[tuple[int, int], tuple[int, tuple[int, ...]]] = {}
-
-    def merged(self, data: bytes) -> list[int]:
-        """Encoding of a few bytes by the merge rule itself: always the leftmost pair of the lowest rank."""
+        # a state: (node, token before it) of every live hypothesis, the oldest first; -1 at the start of the text
+        self._states: list[tuple[tuple[int, int], ...]] = [((0, -1),)]
+        self._numbers = {self._states[0]: 0}
+        self._moves: dict[int, tuple[int, int]] = {}
+
+    def _merged(self, data: bytes, limit: int) -> list[bytes]:
+        """Parts of a few bytes after all merges below a rank: always the leftmost pair of the lowest rank."""
         parts = [data[i : i + 1] for i in range(len(data))]
+        get = self._ranks.get
         while len(parts) > 1:
-            best = min(
-                ((self._ranks[parts[i] + parts[i + 1]], i) for i in range(len(parts) - 1) if parts[i] + parts[i + 1] in self._ranks),
-                default=None,
-            )
-            if best is None:
+            ranks = [get(a + b, NEVER) for a, b in zip(parts, parts[1:])]
+            lowest = min(ranks)
+            if lowest >= limit:
                 break
-            i = best[1]
+            i = ranks.index(lowest)
             parts[i : i + 2] = [parts[i] + parts[i + 1]]
-        return [self._ranks[p] for p in parts]
+        return parts
 
-    def _reachable(self, token: bytes) -> bool:
-        if token not in self._whole:
-            self._whole[token] = self.merged(token) == [self._ranks[token]]
-        return self._whole[token]
+    def _split(self, rank: int) -> tuple[bytes, bytes] | None:
+        """The two parts whose merge makes a token; None if no merge reaches it."""
+        if rank not in self._halves:
+            parts = self._merged(self._tokens[rank], rank)
+            self._halves[rank] = (parts[0], parts[1]) if len(parts) == 2 else None
+        return self._halves[rank]
 
     def _follows(self, left: int, right: int) -> bool:
-        if (left, right) not in self._pairs:
-            self._pairs[left, right] = self.merged(self._tokens[left] + self._tokens[right]) == [left, right]
-        return self._pairs[left, right]
-
-    def _move(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
-        alive = []
-        for chain, open_bytes in self._states[state]:
-            read = open_bytes + bytes([byte])
-            if read in self._ranks and self._reachable(read):
-                token = self._ranks[read]
-                if not chain or self._follows(chain[-1], token):
-                    alive.append((chain + (token,), b""))
-            if read in self._begins:
-                alive.append((chain, read))
-        # all but the last shared token leave; that one is kept to judge its follower
-        shared = 0
-        shortest = min(len(chain) for chain, _ in alive)
-        while shared < shortest and len({chain[shared] for chain, _ in alive}) == 1:
-            shared += 1
-        cut = max(shared - 1, 0)
-        out = alive[0][0][:cut]
-        target = tuple(sorted((chain[cut:], read) for chain, read in alive))
-        number = self._number(target)
-        self._moves[state, byte] = number, out
-        return number, out
-
-    def _number(self, state: tuple) -> int:
-        if state not in self._numbers:
-            self._numbers[state] = len(self._states)
-            self._states.append(state)
-        return self._numbers[state]
+        """No merge across the border of two tokens comes before a merge inside them.
+
+        Time runs backwards from the finished tokens: whichever was made last is
+        taken apart, and the parts that touch must not have a merge that was due
+        earlier. Of equal merges the leftmost comes first.
+        """
+        ranks = self._ranks
+        a, b = self._tokens[left], self._tokens[right]
+        due = NEVER
+        while True:
+            if ranks.get(a + b, NEVER) < due:
+                return False
+            rank_a = ranks[a] if len(a) > 1 else -1
+            rank_b = ranks[b] if len(b) > 1 else -1
+            if rank_a < 0 and rank_b < 0:
+                return True
+            if rank_a > rank_b:
+                due, a = rank_a, self._split(rank_a)[1]
+            elif rank_a < rank_b:
+                due, b = rank_b + 1, self._split(rank_b)[0]
+            else:  # the same token twice: the right one was made last
+                due, b = rank_b + 1, self._split(rank_b)[0]
+
+    def _move(self, state: int, byte: int) -> tuple[int, int]:
+        """The next state, and the token that ends here."""
+        alive, closed = [], -1
+        pairs, steps, spells = self._pairs, self._next, self._spells
+        for node, before in self._states[state]:
+            step = steps[node].get(byte)
+            if step is None:
+                continue
+            token = spells[step]
+            if token >= 0 and closed < 0:
+                if before < 0:
+                    closed = token
+                else:
+                    fits = pairs.get((before, token))
+                    if fits is None:
+                        fits = pairs[before, token] = self._follows(before, token)
+                    if fits:
+                        closed = token
+            if steps[step]:
+                alive.append((step, before))
+        alive.append((0, closed))
+        target = tuple(alive)
+        number = self._numbers.get(target)
+        if number is None:
+            number = self._numbers[target] = len(self._states)
+            self._states.append(target)
+        self._moves[state << 8 | byte] = number, closed
+        return number, closed
+
+    def _chain(self, closed: list[int], end: int) -> list[int]:
+        """The tokens that end at a position, from the token ending at each."""
+        out = []
+        while end:
+            token = closed[end - 1]
+            out.append(token)
+            end -= self._length[token]
+        return out[::-1]
 
     def encode(self, piece: bytes) -> list[int]:
         """Ids of a piece; a piece that is itself a token is that token."""
-        if piece in self._ranks:
-            return [self._ranks[piece]]
-        state, ids = 0, []
+        whole = self._ranks.get(piece)
+        if whole is not None:
+            return [whole]
+        state, ids, closed = 0, [], []
+        moves = self._moves
         for byte in piece:
-            step = self._moves.get((state, byte))
+            step = moves.get(state << 8 | byte)
             if step is None:
-                if len(self._states) >= MAX_STATES:
+                if len(moves) >= MAX_MOVES:
                     here = self._states[state]
                     self._forget()
-                    state = self._number(here)
+                    self._pairs.clear()
+                    moves = self._moves
+                    state = self._numbers.setdefault(here, len(self._states))
+                    if state == len(self._states):
+                        self._states.append(here)
                 step = self._move(state, byte)
-            state = step[0]
-            ids += step[1]
-        for chain, open_bytes in self._states[state]:
-            if not open_bytes:
-                return ids + list(chain)
-        return ids
-
-
-class PieceTokens(dict):
-    """Packed ids of pieces, remembered within a bound."""
+            state, token = step
+            closed.append(token)
+            if len(closed) >= FLUSH and not len(closed) % 256:
+                settled = self._settled(state, closed)
+                ids += self._chain(closed, settled)
+                del closed[:settled]
+        return ids + self._chain(closed, len(closed))
+
+    def _settled(self, state: int, closed: list[int]) -> int:
+        """The last border of tokens that all live hypotheses share."""
+        shared: set[int] | None = None
+        for node, _ in self._states[state]:
+            end = len(closed) - self._depth[node]
+            borders = {end}
+            while end:
+                end -= self._length[closed[end - 1]]
+                borders.add(end)
+            shared = borders if shared is None else shared & borders
+        return max(shared)
+
+
+class PieceTokens:
+    """Packed ids of pieces; the pieces met lately are remembered within a bound."""
 
     def __init__(self, transducer: Transducer):
-        super().__init__()
         self._transducer = transducer
-
-    def __missing__(self, piece: str) -> bytes:
-        packed = np.asarray(self._transducer.encode(piece.encode()), dtype="<u4").tobytes()
-        if len(self) >= MAX_PIECES:
-            self.clear()
-        if len(piece) <= 64:
-            self[piece] = packed
-        return packed
+        self._new: dict[str, bytes] = {}
+        self._old: dict[str, bytes] = {}
+
+    def pack(self, pieces: list[str]) -> bytes:
+        new = self._new
+        try:
+            return b"".join(map(new.__getitem__, pieces))
+        except KeyError:
+            pass
+        for piece in pieces:
+            if piece not in new:
+                packed = self._old.get(piece)
+                if packed is None:
+                    ids = self._transducer.encode(piece.encode())
+                    packed = struct.pack(f"<{len(ids)}I", *ids)
+                new[piece] = packed
+        out = b"".join(map(new.__getitem__, pieces))
+        if len(new) >= MAX_PIECES:
+            self._old, self._new = new, {}
+        return out
 
 
 class Utf8Machine:
@@ -226,7 +306,7 @@ class ByteBpe:
 
     def encode(self, text: str) -> bytes:
         """Ids of a text as little-endian unsigned 32-bit integers."""
-        return b"".join(map(self._pieces.__getitem__, self._pattern.findall(text)))
+        return self._pieces.pack(self._pattern.findall(text))
 
     def decode_bytes(self, packed: bytes) -> bytes:
         return b"".join(map(self._bytes.__getitem__, np.frombuffer(packed, "<u4").tolist()))

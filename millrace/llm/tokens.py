@@ -3,49 +3,66 @@
 from __future__ import annotations
 
 import os
+import struct
 
-import numpy as np
 from tokenizers import Tokenizer
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
-#: Distinct words remembered per Python worker; beyond it the memory starts anew.
-REMEMBERED = 400_000
+#: Distinct words in one generation of the memory of a Python worker; two are kept.
+REMEMBERED = 500_000
+#: Marks that are always a piece of their own at the end of a word.
+END_MARKS = (b".", b",", b"!", b"?", b";", b":")
 
 
-class WordTokens(dict):
-    """Packed ids of words, encoded on first sight.
+class WordTokens:
+    """Packed ids of words; those met lately are remembered.
 
-    The tokenizer's patterns never cross white space, so the ids of a text are
-    the ids of its words in order; most words repeat and are encoded once.
+    The tokenizer's patterns never cross white space and it drops case, so the ids
+    of a text are the ids of its lower-cased words in order, and a closing mark after
+    a letter or digit is a piece of its own. Most words repeat and are encoded once.
     """
 
     def __init__(self, path: str):
-        super().__init__()
         self._tokenizer = Tokenizer.from_file(path)
+        self._new: dict[bytes, bytes] = {}
+        self._old: dict[bytes, bytes] = {}
 
-    def __missing__(self, word: bytes) -> bytes:
-        ids = self._tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids
-        packed = self[word] = np.asarray(ids, dtype="<u4").tobytes()
-        return packed
-
-    def learn(self, words: set[bytes]) -> None:
-        """Encode the words not yet known in one call."""
-        new = [w for w in words if w not in self]
-        if not new:
-            return
-        if len(self) + len(new) > REMEMBERED:
-            self.clear()
-            new = list(words)
-        texts = [w.decode("utf-8", "replace") for w in new]
-        for w, e in zip(new, self._tokenizer.encode_batch(texts, add_special_tokens=False)):
-            self[w] = np.asarray(e.ids, dtype="<u4").tobytes()
+    def _encode(self, words: list[bytes]) -> None:
+        texts = [w.decode("utf-8", "replace") for w in words]
+        for w, e in zip(words, self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+            ids = e.ids
+            self._new[w] = struct.pack(f"<{len(ids)}I", *ids)
+
+    def _learn(self, words: set[bytes]) -> None:
+        """Encode the words not remembered, in one call."""
+        unknown, marked = [], []
+        for w in words:
+            known = self._old.get(w)
+            if known is not None:
+                self._new[w] = known
+            elif len(w) > 1 and w[-1:] in END_MARKS and w[-2:-1].isalnum():
+                marked.append(w)
+            else:
+                unknown.append(w)
+        stems = {w[:-1] for w in marked} | {w[-1:] for w in marked}
+        unknown = list(set(unknown) | {s for s in stems if s not in self._new and s not in words})
+        self._encode(unknown)
+        for w in marked:
+            for part in (w[:-1], w[-1:]):
+                if part not in self._new:
+                    self._encode([part])
+            self._new[w] = self._new[w[:-1]] + self._new[w[-1:]]
 
     def pack(self, texts: list[bytes], end_id: int) -> list[bytes]:
         """Ids of each text and the end id, as little-endian unsigned 32-bit integers."""
-        end = np.asarray([end_id], dtype="<u4").tobytes()
-        split = [t.split() for t in texts]
-        self.learn(set().union(*split))
-        return [b"".join(map(self.__getitem__, words)) + end for words in split]
+        end = struct.pack("<I", end_id)
+        # special tokens are written in angle brackets and bars; their case counts
+        split = [(t if b"<|" in t else t.lower()).split() for t in texts]
+        words = set().union(*split)
+        if len(self._new) > REMEMBERED:
+            self._old, self._new = self._new, {}
+        self._learn(words - self._new.keys())
+        return [b"".join(map(self._new.__getitem__, row)) + end for row in split]
 
 
 _open: dict[str, WordTokens] = {}
