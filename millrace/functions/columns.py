@@ -46,7 +46,7 @@ def month_start(df: DataFrame, name: str) -> Column:
     return F.trunc(F.col(name), "MM")
 
 
-DECIMALS = 6  # decimals that count in exact sums unless told otherwise
+DECIMALS = 6  # decimals up to which sums are exact unless told otherwise
 LOW_BITS = 20  # a sum of low parts stays a bigint for 8e12 rows per group
 
 
@@ -58,12 +58,18 @@ def present(c: Column) -> Column:
 def fixed_parts(c: Column, scale: int) -> tuple[Column, Column]:
     """A number as fixed-point units of ``scale`` decimals, split in a high and a low
     integer. Sums of the parts are exact in any order and stay in primitive buffers,
-    which makes them several times faster than decimal sums. A number with more decimals
-    is rounded to ``scale``; one too large for a bigint of units is an error."""
-    units = F.rint(present(c) * F.lit(10.0**scale)).cast("bigint")
+    which makes them several times faster than decimal sums. See ``fits`` for numbers that
+    the units cannot hold."""
+    units = F.rint(present(c) * F.lit(10.0**scale)).try_cast("bigint")
     return F.shiftright(units, LOW_BITS), units.bitwiseAND(F.lit((1 << LOW_BITS) - 1).cast("bigint"))
 
 
+def fits(c: Column, scale: int) -> Column:
+    """True where a number of ``scale`` decimals is held in units without loss."""
+    units = F.rint(present(c) * F.lit(10.0**scale)).try_cast("bigint")
+    return F.coalesce(units.cast("double") / F.lit(10.0**scale) == c, present(c).isNull())
+
+
 def fixed_total(high_sum: Column, low_sum: Column, scale: int) -> Column:
     """The double nearest to the exact total of summed parts."""
     units = high_sum.cast("decimal(20,0)") * F.lit(Decimal(1 << LOW_BITS)) + low_sum.cast("decimal(20,0)")
@@ -71,12 +77,18 @@ def fixed_total(high_sum: Column, low_sum: Column, scale: int) -> Column:
 
 
 def total(c: Column, scale: int | None = DECIMALS) -> Column:
-    """Sum of the present values as double. With a ``scale``, values count to that many
-    decimals and the sum does not depend on the order in which partitions are merged."""
+    """Sum of the present values as double.
+
+    With a ``scale``, a group whose values all fit in units of so many decimals is summed
+    exactly, and the sum does not depend on the order in which partitions are merged. A
+    group with other values (more decimals, very large, infinite) gets the plain sum:
+    nothing is rounded or refused.
+    """
     if scale is None:
         return F.sum(present(c))
     high, low = fixed_parts(c, scale)
-    return fixed_total(F.sum(high), F.sum(low), scale)
+    exact = F.coalesce(F.bool_and(fits(c, scale)), F.lit(True))
+    return F.when(exact, fixed_total(F.sum(high), F.sum(low), scale)).otherwise(F.sum(present(c)))
 
 
 def mean(c: Column, scale: int | None = DECIMALS) -> Column:

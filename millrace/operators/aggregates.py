@@ -6,17 +6,21 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.functions.columns import DECIMALS, mean, month_key, month_start, present, total
 from millrace.operators.quantiles import exact_quantiles
 
 
-def _named(value: str, scale: int | None) -> list[Column]:
-    return [
-        total(F.col(value), scale).alias(f"total_{value}"),
-        mean(F.col(value), scale).alias(f"avg_{value}"),
-        F.count(present(F.col(value))).alias("item_count"),
-    ]
+def _named(df: DataFrame, value: str, scale: int | None) -> list[Column]:
+    kind = df.schema[value].dataType
+    count = F.count(present(F.col(value)) if isinstance(kind, T.FractionalType) else F.col(value))
+    if isinstance(kind, (T.IntegralType, T.DecimalType)):  # decimal sums of these are exact at any size
+        whole = F.sum(F.col(value).cast("decimal(20,0)") if isinstance(kind, T.IntegralType) else F.col(value))
+        sums = [whole.cast("double"), F.try_divide(whole, count).cast("double")]
+    else:
+        sums = [total(F.col(value), scale), mean(F.col(value), scale)]
+    return [sums[0].alias(f"total_{value}"), sums[1].alias(f"avg_{value}"), count.alias("item_count")]
 
 
 def named_agg(
@@ -24,11 +28,11 @@ def named_agg(
 ) -> DataFrame:
     """``total_<value>, avg_<value>, item_count`` per group, largest total first.
 
-    Null keys form groups; missing values count in none of the three. Values count
-    to ``scale`` decimals in sums that do not depend on row order; None gives plain floating
-    sums.
+    Null keys form groups; missing values count in none of the three. Whole numbers,
+    decimals and values of up to ``scale`` decimals are summed exactly, whatever the
+    order of the rows; other values, and all with None, give plain floating sums.
     """
-    out = df.groupBy(*keys).agg(*_named(value, scale))
+    out = df.groupBy(*keys).agg(*_named(df, value, scale))
     return out.orderBy(F.desc(f"total_{value}"), *keys) if order else out
 
 
@@ -46,14 +50,14 @@ def monthly_trend(
     df: DataFrame, date: str = "order_date", value: str = "amount", scale: int | None = DECIMALS
 ) -> DataFrame:
     """Sum, mean and count by month, oldest first."""
-    return by_month(df, date, "order_month", _named(value, scale))
+    return by_month(df, date, "order_month", _named(df, value, scale))
 
 
 def monthly_total(
     df: DataFrame, date: str = "order_date", value: str = "amount", scale: int | None = DECIMALS
 ) -> DataFrame:
     """Only the sum by month, oldest first."""
-    return by_month(df, date, "order_month", _named(value, scale)[:1])
+    return by_month(df, date, "order_month", _named(df, value, scale)[:1])
 
 
 def frequency(df: DataFrame, keys: Sequence[str]) -> DataFrame:

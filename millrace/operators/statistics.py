@@ -46,6 +46,8 @@ def ttest(df: DataFrame, group: str, a: str, b: str, value: str) -> DataFrame:
         if spread > 0:
             t = (ra["mean"] - rb["mean"]) / spread
             p = t_two_sided(t, dof)
+        elif ra["mean"] != rb["mean"]:  # constant groups that differ
+            t, p = math.copysign(math.inf, ra["mean"] - rb["mean"]), 0.0
     row = (a, b, ra["n"], rb["n"], ra["mean"], rb["mean"], t, dof, p)
     return df.sparkSession.createDataFrame([row], TTEST_SCHEMA)
 

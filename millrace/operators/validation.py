@@ -60,7 +60,7 @@ def _error(kind: str, key: str | None, shown: Column, *bound: tuple[str, float |
     msg = MESSAGES[kind]
     if bound:
         number = bound[0][1]
-        msg = msg.format(f"{number:g}", "" if number == 1 else "s")
+        msg = msg.format(repr(int(number) if float(number).is_integer() else number), "" if number == 1 else "s")
     ctx = [F.lit(str(x)) for pair in bound for x in pair]
     return F.struct(
         F.lit(kind).alias("type"),

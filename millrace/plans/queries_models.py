@@ -22,8 +22,8 @@ from millrace.sources.sinks import save_model
 LABEL = "high_value"
 NUMERIC = ["customer_age"]
 CATEGORICAL = ["region", "category", "payment_method"]
-SMALL = {"trees": 10, "depth": 5}
 FACTORS = ["quantity", "unit_price"]
+KEY = "order_id"
 
 
 def features(spark, sf, extra=()):
@@ -34,7 +34,7 @@ def features(spark, sf, extra=()):
 
 def split(spark, sf, extra=()):
     """Train and test side, staged: each is scanned once per tree level."""
-    train, test = stratified_split(stage(features(spark, sf, extra), "features"), LABEL)
+    train, test = stratified_split(stage(features(spark, sf, [*extra, KEY]), "features"), LABEL, key=[KEY])
     return stage(train, "train"), stage(test, "test")
 
 
@@ -99,7 +99,7 @@ f as (select *, floor(exact) as got, row_number() over (order by floor(exact)-ex
 t as (select high_value, n, cast(got+case when rn<=wanted-sum(got) over () then 1 else 0 end as bigint) as k from f)
 select 'test' as side, high_value, k as n from t union all select 'train', high_value, n-k from t""")
 def ml5(spark, sf):
-    train, test = stratified_split(stage(features(spark, sf), "features"), LABEL)
+    train, test = stratified_split(stage(features(spark, sf, [KEY]), "features"), LABEL, key=[KEY])
 
     def sizes(df, side):
         return df.groupBy(LABEL).agg(F.count("*").alias("n")).select(F.lit(side).alias("side"), LABEL, "n")
@@ -110,7 +110,7 @@ def ml5(spark, sf):
 @query("ml6_random_forest")
 def ml6(spark, sf):
     train, test = split(spark, sf)
-    model = modeling.forest_pipeline(train, NUMERIC, CATEGORICAL, LABEL, **SMALL).fit(train)
+    model = modeling.forest_pipeline(train, NUMERIC, CATEGORICAL, LABEL).fit(train)
     return metrics.confusion(modeling.predictions(model, test, LABEL), LABEL, "prediction")
 
 
@@ -154,7 +154,7 @@ def ml8(spark, sf):
 @query("ml9_saved_model")
 def ml9(spark, sf):
     train, test = split(spark, sf)
-    model = modeling.forest_pipeline(train, NUMERIC, CATEGORICAL, LABEL, **SMALL).fit(train)
+    model = modeling.forest_pipeline(train, NUMERIC, CATEGORICAL, LABEL).fit(train)
     again = PipelineModel.load(save_model(model, scratch_path(spark, "model")))
     both = modeling.predictions(model, test, LABEL), modeling.predictions(again, test, LABEL)
     a, b = (metrics.accuracy(p, LABEL, "prediction").first()[0] for p in both)
@@ -181,7 +181,7 @@ def ml11(spark, sf):
         "factors only": (FACTORS, []),
         "all": ([*FACTORS, *NUMERIC], CATEGORICAL),
         "without factors": (NUMERIC, CATEGORICAL),
-    }, **SMALL)
+    })
 
 
 @query("ml12_regression")
@@ -190,7 +190,7 @@ def ml12(spark, sf):
     df = cleaned_sales(spark, sf).withColumn("gross", F.col("quantity") * F.col("unit_price"))
     names = ["quantity", "gross", "customer_age"]
     kept = [r["feature"] for r in drop_collinear(df, names, "amount").where("kept").collect()]
-    train, test = stratified_split(stage(df.select(*names, "category", "amount"), "features"), "category")
+    train, test = stratified_split(stage(df.select(*names, "category", "amount", KEY), "features"), "category", key=[KEY])
     return modeling.compare_regressions(stage(train, "train"), stage(test, "test"), "amount", {
         "all features": (names, ["category"]),
         "without collinear": (kept, ["category"]),
@@ -201,8 +201,8 @@ def ml12(spark, sf):
 def ml13(spark, sf):
     """F1 of a forest on another feature set."""
     df = staged_sales(spark, sf).where(F.col("amount").isNotNull())
-    labeled = modeling.label_above_mean(df, "amount", LABEL).select("quantity", "customer_age", "payment_method", LABEL)
-    train, test = stratified_split(stage(labeled, "features"), LABEL)
+    labeled = modeling.label_above_mean(df, "amount", LABEL).select("quantity", "customer_age", "payment_method", KEY, LABEL)
+    train, test = stratified_split(stage(labeled, "features"), LABEL, key=[KEY])
     train, test = stage(train, "train"), stage(test, "test")
-    model = modeling.forest_pipeline(train, ["quantity", "customer_age"], ["payment_method"], LABEL, **SMALL).fit(train)
+    model = modeling.forest_pipeline(train, ["quantity", "customer_age"], ["payment_method"], LABEL).fit(train)
     return metrics.f1_score(modeling.predictions(model, test, LABEL), LABEL, "prediction")

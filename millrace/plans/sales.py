@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.functions.columns import DECIMALS, fixed_parts, fixed_total, month_start
+from millrace.functions.columns import fixed_parts, fixed_total, month_start
 from millrace.operators.aggregates import by_month
 from millrace.operators.cleaning import Fence, clean
 from millrace.session import stage
@@ -68,6 +68,7 @@ def cleaned_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean(staged_sales(spark, sf_dir), REQUIRED, "amount")[0]
 
 
+CENTS = 2  # amounts are money
 SUMMARY_KEYS = ["region", "category", "payment_method", "order_month"]
 SUMMARY_SETS = {
     "region_category": ["region", "category"],
@@ -83,14 +84,14 @@ def summaries(df: DataFrame) -> tuple[dict[str, DataFrame], Fence]:
     two scans of the fence, the table is read three times in all.
     """
     kept, fence = clean(df, REQUIRED, "amount")
-    high, low = fixed_parts(F.col("amount"), DECIMALS)
+    high, low = fixed_parts(F.col("amount"), CENTS)
     base = stage(
         kept.withColumn("order_month", month_start(kept, "order_date"))
         .groupBy(*SUMMARY_KEYS)
         .agg(F.sum(high).alias("_high"), F.sum(low).alias("_low"), F.count("amount").alias("_n")),
         "summaries",
     )
-    sums = fixed_total(F.sum("_high"), F.sum("_low"), DECIMALS)
+    sums = fixed_total(F.sum("_high"), F.sum("_low"), CENTS)
     aggs = [
         sums.alias("total_amount"),
         F.try_divide(sums, F.sum("_n").cast("double")).alias("avg_amount"),

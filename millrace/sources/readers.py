@@ -13,6 +13,10 @@ from pyspark.sql import types as T
 from millrace.session import stage
 
 CORRUPT = "_corrupt_record"
+#: Header, doubled quotes inside quoted values, and blanks kept, as most tools write CSV.
+CSV_FORMAT = {
+    "header": "true", "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
+}
 
 
 @contextmanager
@@ -39,19 +43,26 @@ def read_csv(
     schema: T.StructType | str | None = None,
     null_values: Sequence[str] = (),
     keep_corrupt: bool = False,
+    multi_line: bool = False,
     **options: str,
 ) -> DataFrame:
     """Lazy CSV scan with header.
 
     The schema is declared; without one the types are inferred, which reads the file
     once more. Rows that do not parse stop the job (as far as the columns in use are
-    concerned) unless ``keep_corrupt`` keeps their text in ``_corrupt_record``. ``null_values`` are further texts that mean missing.
+    concerned) unless ``keep_corrupt`` keeps their text in ``_corrupt_record``.
+    ``null_values`` are further texts that mean missing, also when types are inferred.
+    ``multi_line`` reads values with line breaks; a file is then read by one task. An
+    empty field is null, quoted or not.
     """
     _ensure_readable(spark, path)
-    reader = spark.read.option("header", True).option("enforceSchema", schema is None).options(**options)
+    reader = spark.read.options(**CSV_FORMAT).option("multiLine", multi_line)
+    reader = reader.option("enforceSchema", schema is None).options(**options)
+    if schema is None and null_values:
+        return _inferred(_blank_nulls(reader.option("mode", "FAILFAST").csv(path), null_values))
     if schema is None:
         df = reader.option("inferSchema", True).option("mode", "FAILFAST").csv(path)
-        return _blank_nulls(df, null_values)
+        return df
     if isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
     if keep_corrupt:
@@ -80,6 +91,21 @@ def _blank_nulls(df: DataFrame, null_values: Sequence[str], skip: Sequence[str]
     )
 
 
+def _inferred(texts: DataFrame) -> DataFrame:
+    """Text columns as the first type of a list that all their values have; one pass."""
+    kinds = ("int", "bigint", "double", "date", "timestamp", "boolean")
+    fails = [
+        F.count_if(F.col(f"`{c}`").isNotNull() & F.col(f"`{c}`").try_cast(k).isNull()).alias(f"{i}_{k}")
+        for i, c in enumerate(texts.columns) for k in kinds
+    ]
+    seen = [F.count(F.col(f"`{c}`")).alias(f"{i}_n") for i, c in enumerate(texts.columns)]
+    found = texts.agg(*fails, *seen).first()
+    kind = [
+        next((k for k in kinds if found[f"{i}_n"] and not found[f"{i}_{k}"]), "string") for i in range(len(texts.columns))
+    ]
+    return texts.select(*[F.col(f"`{c}`").cast(k).alias(c) for c, k in zip(texts.columns, kind)])
+
+
 def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Parsed rows, and the text of rows that did not parse.
 

@@ -11,11 +11,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators.validation import reject_records
+from millrace.sources.readers import CSV_FORMAT
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "error") -> None:
-    """CSV files with a header."""
-    df.write.mode(mode).option("header", True).csv(path)
+    """CSV files with a header; quotes inside a value are doubled, blanks around it are kept.
+
+    An empty string and a null are both written as an empty field, which reads as null.
+    """
+    df.write.mode(mode).options(**CSV_FORMAT).csv(path)
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "error") -> None:
@@ -33,16 +37,13 @@ def _cell(value: object, digits: int) -> str:
     return f"{value:.{digits}f}" if isinstance(value, float) else str(value).replace("|", "\\|")
 
 
-def markdown_table(df: DataFrame, order_by: str | None = None, digits: int = 2, max_rows: int = 1000) -> str:
-    """A summary as a Markdown table, sorted ascending. Tables are for small results: more
-    than ``max_rows`` rows is an error, nothing is cut off."""
+def markdown_table(df: DataFrame, order_by: str | None = None, digits: int = 2) -> str:
+    """A summary as a Markdown table, sorted ascending. Every row comes to the driver, so
+    aggregate before making a table."""
     if order_by:
         df = df.orderBy(order_by)
-    rows = df.take(max_rows + 1)
-    if len(rows) > max_rows:
-        raise ValueError(f"more than {max_rows} rows; aggregate before making a table")
     lines = ["| " + " | ".join(df.columns) + " |", "|" + "---|" * len(df.columns)]
-    lines += ["| " + " | ".join(_cell(v, digits) for v in r) + " |" for r in rows]
+    lines += ["| " + " | ".join(_cell(v, digits) for v in r) + " |" for r in df.toLocalIterator()]
     return "\n".join(lines)
 
 

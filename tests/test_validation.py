@@ -70,17 +70,17 @@ SALES = (
 def test_rejects_keep_the_row_and_say_why(rows):
     df = rows(
         "region string, category string, amount double, month string",
-        [("r", "c", 1500.0, ""), ("", "c", 800.0, "2024-01"), ("r", "c", -950.0, "2024-02"), ("r", "c", 0.0, "2024-01"),
-         ("r", "c", 10.0, "2024-01"), ("", "c", -1.0, "")],
+        [("north", "tea", 12.5, "2021-07"), ("south", "tea", -3.25, "2021-08"), ("", "oil", -1.0, ""),
+         ("west", "oil", 77.0, ""), ("", "salt", 4.0, "2021-09")],
     )
     checked = V.validate(df, SALES)
     assert V.good_rows(checked).count() == 1
     bad = [json.loads(x) for x in V.reject_records(checked).toJSON().collect()]
     by = {tuple(sorted(e["type"] for e in b["error"])): b for b in bad}
-    assert by[("greater_than", "string_too_short", "string_too_short")]["row"] == {"region": "", "category": "c", "amount": -1.0, "month": ""}
-    low = [b for b in bad if b["row"]["amount"] == -950.0][0]["error"]
-    assert low == [{"type": "greater_than", "loc": ["amount"], "msg": "Input should be greater than 0", "input": "-950.0", "ctx": {"gt": "0.0"}}]
-    short = [b for b in bad if b["row"]["month"] == "" and b["row"]["region"] == "r"][0]["error"][0]
+    assert by[("greater_than", "string_too_short", "string_too_short")]["row"] == {"region": "", "category": "oil", "amount": -1.0, "month": ""}
+    low = [b for b in bad if b["row"]["amount"] == -3.25][0]["error"]
+    assert low == [{"type": "greater_than", "loc": ["amount"], "msg": "Input should be greater than 0", "input": "-3.25", "ctx": {"gt": "0.0"}}]
+    short = [b for b in bad if b["row"]["month"] == "" and b["row"]["region"] == "west"][0]["error"][0]
     assert short["msg"] == "String should have at least 1 character" and short["ctx"] == {"min_length": "1"}
 
 
