@@ -10,7 +10,7 @@ from millrace.llm import language
 from millrace.llm.exact_dedup import drop_exact
 from millrace.llm.near_dedup import drop_near
 from millrace.llm.packing import pack
-from millrace.llm.registry import table
+from millrace.llm.registry import table, unused
 from millrace.llm.substring_dedup import without_repeats
 from millrace.session import stage
 
@@ -19,12 +19,13 @@ ORACLE_SQL = None  # several stages cannot be expressed in SQL
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a known language; the declared language is ``lang``, the host is ``source``."""
+    keep = unused(docs, "_keep")
     rows = docs.select(
         F.col("doc_id").alias("id"), "text", F.col("lang").alias("declared"), F.lit(None).cast("string").alias("suffix"),
         F.col("source").alias("host"),
     )
-    accepted = language.identify(rows, language.fit(docs)).where("accepted").select(F.col("id").alias("_id")).distinct()
-    return docs.join(accepted, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    accepted = language.identify(rows, language.fit(docs)).where("accepted").select(F.col("id").alias(keep)).distinct()
+    return docs.join(accepted, F.col("doc_id").eqNullSafe(F.col(keep)), "left_semi")
 
 
 def distinct_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

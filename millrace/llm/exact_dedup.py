@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm.registry import unused
 from millrace.session import stage
 
 #: A chunk ends at the first of these letters before a space after 512 characters, after 4096 at the latest.
@@ -76,8 +77,9 @@ def exact_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc
 
 def drop_exact(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """The rows that stay, all columns unchanged; of rows with equal id and text one stays."""
+    keep_id, keep_sha, sha = (unused(docs, n) for n in ("_keep_id", "_keep_sha", "_sha"))
     kept = exact_duplicates(docs, text_col, id_col).where("kept")
-    kept = kept.select(F.col("doc_id").alias("_keep_id"), F.col("text_sha256").alias("_keep_sha"))
-    marked = docs.withColumn("_sha", F.sha2(normal_text(F.col(text_col)), 256))
-    same = F.col(id_col).eqNullSafe(F.col("_keep_id")) & (F.col("_sha") == F.col("_keep_sha"))
-    return marked.join(kept, same, "left_semi").dropDuplicates([id_col, "_sha"]).drop("_sha")
+    kept = kept.select(F.col("doc_id").alias(keep_id), F.col("text_sha256").alias(keep_sha))
+    marked = docs.withColumn(sha, F.sha2(normal_text(F.col(text_col)), 256))
+    same = F.col(id_col).eqNullSafe(F.col(keep_id)) & (F.col(sha) == F.col(keep_sha))
+    return marked.join(kept, same, "left_semi").dropDuplicates([id_col, sha]).drop(sha)

@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.batches import mix, sequence_hashes, slices, text_bytes, word_hashes
 from millrace.llm.components import components
+from millrace.llm.registry import unused
 from millrace.session import stage
 
 WORDS = 5
@@ -265,5 +266,6 @@ def near_duplicates(docs: DataFrame, percent: int = 85, text_col: str = "text",
 
 def drop_near(docs: DataFrame, percent: int = 85, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """The rows whose document stays, all columns unchanged."""
-    kept = near_duplicates(docs, percent, text_col, id_col).where("kept").select(F.col("doc_id").alias("_keep")).distinct()
-    return docs.join(kept, F.col(id_col).eqNullSafe(F.col("_keep")), "left_semi")
+    keep = unused(docs, "_keep")
+    kept = near_duplicates(docs, percent, text_col, id_col).where("kept").select(F.col("doc_id").alias(keep)).distinct()
+    return docs.join(kept, F.col(id_col).eqNullSafe(F.col(keep)), "left_semi")

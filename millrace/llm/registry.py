@@ -24,3 +24,11 @@ def register(name: str, oracle: str | None = None):
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that the table does not have yet, whatever the case of its letters."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
