@@ -78,8 +78,9 @@ def hamming_top_k(codes: DataFrame, queries: DataFrame, k: int = 10, width: int
         probes = waiting.select(
             "query_code", F.explode(F.array(*[F.struct(F.lit(j).alias("j"), _segment(F.col("query_code"), j, width).alias("own")) for j in range(parts)])).alias("s")
         ).select("query_code", "s.*")
-        mask_table = spark.createDataFrame([(m,) for m in masks], "mask int") if len(masks) <= 2000 else _masks(spark, width, radius)
-        probes = probes.join(F.broadcast(mask_table)).select("query_code", "j", F.col("own").bitwiseXOR(F.col("mask")).alias("value"))
+        flips = F.explode(_masks(masks, width, radius)).alias("mask")
+        probes = probes.select("query_code", "j", "own", flips)
+        probes = probes.select("query_code", "j", F.col("own").bitwiseXOR(F.col("mask")).alias("value"))
         found = probes.join(index, ["j", "value"])
         # a code is taken in the round of its nearest segment, at the first such segment
         differ = [F.bit_count(_segment(F.col("query_code").bitwiseXOR(F.col("code")), j, width)) for j in range(parts)]
@@ -108,7 +109,8 @@ def hamming_top_k(codes: DataFrame, queries: DataFrame, k: int = 10, width: int
     return asked.join(ranked, "query_code").select("query_id", "rank", "id", "distance")
 
 
-def _masks(spark, width: int, radius: int) -> DataFrame:
-    """All values of ``width`` bits with ``radius`` bits set."""
-    values = spark.range(1 << width).select(F.col("id").cast("int").alias("mask"))
-    return values.where(F.bit_count("mask") == radius)
+def _masks(masks: list[int], width: int, radius: int) -> Column:
+    """All values of ``width`` bits with ``radius`` bits set, as an array."""
+    if len(masks) <= 2000:
+        return F.lit(masks).cast("array<int>")
+    return F.filter(F.sequence(F.lit(0), F.lit((1 << width) - 1)), lambda v: F.bit_count(v) == radius)
