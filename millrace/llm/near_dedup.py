@@ -33,9 +33,9 @@ from millrace.session import stage
 
 WORDS = 5
 #: Coordinates of the short and the long signature, and by how many standard deviations the matches of a pair
-#: may fall short of the average at the similarity asked for. At 0.85 that makes 44 of 64 and 410 of 512.
-SHORT, SHORT_SLACK = 64, 3.5
-LONG, LONG_SLACK = 512, 3.1
+#: may fall short of the average at the similarity asked for. At 0.85 that makes 19 of 32 and 198 of 256.
+SHORT, SHORT_SLACK = 32, 4.0
+LONG, LONG_SLACK = 256, 3.4
 #: Slots of the filter that keeps most texts without candidates out of a shuffle: its size is fixed.
 SLOTS = 1 << 18
 
