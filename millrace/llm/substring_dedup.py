@@ -1,11 +1,12 @@
-"""Substring dedup by hashing lines and content-defined parts of long lines.
+"""Substring dedup by hashing lines and runs of content-defined parts.
 
 A text is cut into units: its lines, and in lines of more than LONG_LINE words
 parts that end where the hash of two neighbouring words says so, hence at the same
-words wherever a passage stands. The digests of all units are grouped globally; the
-occurrence with the lowest (document, place) stays, and the others are removed if
-they are a whole line of MIN_LINE words or belong to a run of repeated units of
-MIN_RUN words. Removed ranges keep their offsets in the original text.
+words wherever a passage stands. What is compared are passages: whole lines of
+MIN_LINE words and runs of neighbouring units that reach MIN_RUN words. Their digests
+are grouped globally; the occurrence with the lowest (document, place) stays, and
+the others are removed. So whatever is removed stands together, word by word, in an
+earlier place. Removed ranges keep their offsets in the original text.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.batches import LOWER, SPACE, mix, slices, span_hashes, text_bytes, word_spans
+from millrace.llm.batches import LOWER, _power, mix, slices, span_hashes, text_bytes, word_spans
 from millrace.session import stage
 
 LONG_LINE = 25
@@ -25,16 +26,19 @@ MIN_RUN = 16
 PART_WORDS = 5
 
 
-def units(data: np.ndarray, bounds: np.ndarray) -> dict[str, np.ndarray]:
-    """Units of every row: digest, first byte, end byte, words, whether a whole line; and each row's first unit.
+def passages(data: np.ndarray, bounds: np.ndarray) -> dict[str, np.ndarray]:
+    """Units and passages of every row; words are compared after lower-casing A-Z, white space does not count.
 
-    Words are compared after lower-casing A-Z, white space between them does not count.
+    ``start`` and ``end``: bytes of every word; ``word``: each row's first word; ``unit``: first word of every unit.
+    Passages are lines of MIN_LINE words and runs of neighbouring units that just reach MIN_RUN words: ``digest``
+    of their words in order, first word ``at`` and word ``to`` behind the last, ``first`` passage of each row.
     """
     starts, ends = word_spans(data, bounds)
+    rows = np.searchsorted(starts, bounds)
     if not len(starts):
         none = np.zeros(0, np.int64)
-        return {"digest": none.view(np.uint64), "start": none, "end": none, "words": none, "line": none.astype(bool),
-                "first": np.zeros(len(bounds), np.int64)}
+        return {"start": none, "end": none, "word": rows, "unit": none,
+                "digest": none.view(np.uint64), "at": none, "to": none, "first": np.zeros(len(bounds), np.int64)}
     words = span_hashes(LOWER[data], starts, ends)
     row = np.searchsorted(bounds, starts, side="right") - 1
     breaks = np.flatnonzero(data == 10)
@@ -42,60 +46,69 @@ def units(data: np.ndarray, bounds: np.ndarray) -> dict[str, np.ndarray]:
     new_line = np.ones(len(starts), bool)
     new_line[1:] = (line[1:] != line[:-1]) | (row[1:] != row[:-1])
     line_at = np.flatnonzero(new_line)
-    line_words = np.diff(np.append(line_at, len(starts)))
+    line_to = np.append(line_at[1:], len(starts))
+    line_words = line_to - line_at
     in_long = np.repeat(line_words > LONG_LINE, line_words)
     ends_part = np.zeros(len(starts), bool)
     ends_part[:-1] = mix(words[:-1] * np.uint64(3) + words[1:]) % np.uint64(PART_WORDS) == 0
     new_unit = new_line.copy()
     new_unit[1:] |= ends_part[:-1] & in_long[1:]
-    at = np.flatnonzero(new_unit)
-    n = np.diff(np.append(at, len(starts)))
-    place = np.arange(len(starts)) - np.repeat(at, n)
-    terms = mix(words + mix(place.astype(np.uint64)))
-    digest = mix(np.add.reduceat(terms, at) + n.astype(np.uint64))
+    unit_at = np.flatnonzero(new_unit)
+    whole = line_words >= MIN_LINE
+    found = [runs(unit_at, line_to, rows, row), np.stack([line_at[whole], line_to[whole]], 1)]
+    at, to = np.unique(np.concatenate(found), axis=0).T
+    up, down = _power(len(words) + 1)
+    sums = np.zeros(len(words) + 1, dtype=np.uint64)
+    np.cumsum(words * up[:-1], out=sums[1:])
     return {
-        "digest": digest, "start": starts[at], "end": ends[at + n - 1], "words": n, "line": ~in_long[at],
-        "first": np.searchsorted(at, np.searchsorted(starts, bounds)),
+        "start": starts, "end": ends, "word": rows, "unit": unit_at,
+        "digest": mix((sums[to] - sums[at]) * down[at] + (to - at).astype(np.uint64)), "at": at, "to": to,
+        "first": np.searchsorted(at, rows),
     }
 
 
-def removed_ranges(
-    text: np.ndarray, found: dict[str, np.ndarray], repeated: np.ndarray
-) -> list[tuple[int, int]]:
-    """Byte ranges of one text to remove, from the flags of its units.
+def runs(unit_at: np.ndarray, last: np.ndarray, rows: np.ndarray, row: np.ndarray) -> np.ndarray:
+    """(first word, word behind) of the shortest runs of units of one row with MIN_RUN words.
+
+    One starts at every unit, and one ends at every end in ``last``, so that a
+    repeated stretch is covered up to the end of its last line.
+    """
+    unit_to = np.append(unit_at[1:], rows[-1])
+    i = np.searchsorted(unit_to, unit_at + MIN_RUN)
+    to = np.append(unit_to, rows[-1] + 1)[i]
+    forward = to <= rows[row[unit_at] + 1]
+    i = np.searchsorted(unit_at, last - MIN_RUN, side="right") - 1
+    at = unit_at[np.maximum(i, 0)]
+    backward = (i >= 0) & (at >= rows[row[last - 1]])
+    return np.concatenate([np.stack([unit_at[forward], to[forward]], 1), np.stack([at[backward], last[backward]], 1)])
+
+
+def removed_ranges(found: dict[str, np.ndarray], row: int, repeated: np.ndarray, size: int) -> tuple[list[tuple[int, int]], int, int]:
+    """Byte ranges of the text of a row to remove, from the flags of its passages, its units and those removed.
 
     A range takes the white space after it along, so that no empty line is left.
     """
-    out: list[tuple[int, int]] = []
-    count = len(repeated)
-    i = 0
-    while i < count:
-        if not repeated[i]:
-            i += 1
-            continue
-        j = i
-        while j < count and repeated[j]:
-            j += 1
-        long_run = found["words"][i:j].sum() >= MIN_RUN
-        for k in range(i, j):
-            if long_run or (found["line"][k] and found["words"][k] >= MIN_LINE):
-                start, end = int(found["start"][k]), int(found["end"][k])
-                end = int(found["start"][k + 1]) if k + 1 < count else len(text)
-                if out and out[-1][1] == start:
-                    out[-1] = (out[-1][0], end)
-                else:
-                    out.append((start, end))
-        i = j
-    return out
-
-
-def first_in_text(found: dict[str, np.ndarray], row: int) -> tuple[np.ndarray, np.ndarray]:
-    """Digests of the units of a row, and whether each is the first of its digest there."""
-    digests = found["digest"][found["first"][row] : found["first"][row + 1]]
-    _, at = np.unique(digests, return_index=True)
+    a, b = found["word"][row : row + 2]
+    mine = slice(found["first"][row], found["first"][row + 1])
+    edges = np.zeros(b - a + 1, np.int64)
+    np.add.at(edges, found["at"][mine][repeated] - a, 1)
+    np.add.at(edges, found["to"][mine][repeated] - a, -1)
+    gone = np.concatenate([[False], np.cumsum(edges)[:-1] > 0, [False]])
+    turns = np.flatnonzero(gone[1:] != gone[:-1])
+    starts = np.append(found["start"][a:b], size)
+    own_units = found["unit"][np.searchsorted(found["unit"], a) : np.searchsorted(found["unit"], b)]
+    return [(int(starts[s]), int(starts[e])) for s, e in turns.reshape(-1, 2)], len(own_units), int(gone[own_units - a + 1].sum())
+
+
+def first_in_text(found: dict[str, np.ndarray], row: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Digests of the passages of a row, whether each is the first of its digest there, and whether it repeats
+    that first one: a passage that overlaps the first is part of it."""
+    mine = slice(found["first"][row], found["first"][row + 1])
+    digests = found["digest"][mine]
+    _, at, which = np.unique(digests, return_index=True, return_inverse=True)
     new = np.zeros(len(digests), bool)
     new[at] = True
-    return digests, new
+    return digests, new, found["at"][mine] >= found["to"][mine][at[which]]
 
 
 def substring_dedup(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
@@ -128,17 +141,17 @@ def _cleaned(rows: DataFrame) -> DataFrame:
     def cut(batches):
         for batch in batches:
             for part in slices(batch, "text"):
-                found = units(*text_bytes(part.column("text")))
-                digests = [d[new] for d, new in (first_in_text(found, i) for i in range(len(part)))]
+                found = passages(*text_bytes(part.column("text")))
+                digests = [d[new] for d, new, _ in (first_in_text(found, i) for i in range(len(part)))]
                 owner = np.repeat(np.arange(len(part)), [len(d) for d in digests])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate(digests).view(np.int64)), part.column("doc_id").take(pa.array(owner))],
                     names=["digest", "doc_id"],
                 )
 
-    listed = stage(rows.select("doc_id", "text").mapInArrow(cut, f"digest long, doc_id {id_type}"), "units")
+    listed = stage(rows.select("doc_id", "text").mapInArrow(cut, f"digest long, doc_id {id_type}"), "passages")
     firsts = listed.groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("n"))
-    shared = stage(firsts.where("n > 1").select("digest", "first_id"), "repeated-units")
+    shared = stage(firsts.where("n > 1").select("digest", "first_id"), "repeated-passages")
     repeats = listed.join(shared, "digest").where(~F.col("doc_id").eqNullSafe(F.col("first_id")))
     flags = repeats.groupBy("doc_id").agg(F.collect_set("digest").alias("repeats")).withColumnRenamed("doc_id", "_flag_id")
     marked = rows.join(flags, F.col("doc_id").eqNullSafe(F.col("_flag_id")), "left").select("doc_id", "text", "rest", "repeats")
@@ -147,20 +160,18 @@ def _cleaned(rows: DataFrame) -> DataFrame:
         for batch in batches:
             for part in slices(batch, "text"):
                 data, bounds = text_bytes(part.column("text"))
-                found = units(data, bounds)
+                found = passages(data, bounds)
                 texts = part.column("text").to_pylist()
-                out, ranges, removed = [], [], []
+                out, ranges, n_units, removed = [], [], [], []
                 for i, repeats in enumerate(part.column("repeats")):
-                    a, b = found["first"][i], found["first"][i + 1]
-                    own = {k: found[k][a:b] for k in ("words", "line")}
-                    own["start"], own["end"] = found["start"][a:b] - bounds[i], found["end"][a:b] - bounds[i]
-                    digests, new = first_in_text(found, i)
-                    flags = ~new
+                    digests, _, flags = first_in_text(found, i)
                     if repeats.is_valid:
                         flags |= np.isin(digests, repeats.values.to_numpy().view(np.uint64))
                     raw = data[bounds[i] : bounds[i + 1]]
-                    cut_out = removed_ranges(raw, own, flags)
-                    removed.append(int(sum(((own["start"] >= s) & (own["end"] <= e)).sum() for s, e in cut_out)))
+                    cut_out, units, gone = removed_ranges(found, i, flags, int(bounds[i + 1]))
+                    cut_out = [(s - int(bounds[i]), e - int(bounds[i])) for s, e in cut_out]
+                    n_units.append(units)
+                    removed.append(gone)
                     if not cut_out:
                         out.append(texts[i])
                         ranges.append([])
@@ -180,7 +191,7 @@ def _cleaned(rows: DataFrame) -> DataFrame:
                     [
                         part.column("doc_id"), pa.array(out, pa.string()), part.column("rest"),
                         pa.array(ranges, pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64())]))),
-                        pa.array(np.diff(found["first"])), pa.array(removed, pa.int64()),
+                        pa.array(n_units, pa.int64()), pa.array(removed, pa.int64()),
                     ],
                     names=["doc_id", "text", "rest", "removed", "n_units", "n_removed"],
                 )

@@ -222,6 +222,16 @@ def test_substring_dedup(rows, edges, nothing):
     assert substring_dedup.substring_dedup(nothing).count() == 0
 
 
+def test_units_met_in_different_documents_stay(rows):
+    small = [f"common{i}" for i in range(24)]
+    texts = {i: f"{w}\nalone{i}" for i, w in enumerate(small)} | {100: "\n".join(small), 101: "\n".join(small[::-1])}
+    texts |= {102: "x\n" + "\n".join(small) + "\ny", 103: "ha " * 20, 104: ("\n".join(f"v{i}" for i in range(20)) + "\n") * 2}
+    found = {r["doc_id"]: r for r in substring_dedup.substring_dedup(rows("doc_id long, text string", list(texts.items()))).collect()}
+    assert all(found[i]["text"] == texts[i] for i in texts if i not in (102, 104))
+    assert found[102]["text"].split() == ["x", "y"] and found[102]["n_removed"] == 24
+    assert found[104]["text"].split() == texts[104].split()[:20]
+
+
 @pytest.fixture(scope="module")
 def tik():
     ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(RANKS, "rb"))}
