@@ -1,9 +1,11 @@
 """Substring dedup by hashing lines and runs of content-defined parts.
 
-A text is cut into units: its lines, and in lines of more than LONG_LINE words
-parts that end where the hash of two neighbouring words says so, hence at the same
-words wherever a passage stands. What is compared are passages: whole lines of
-MIN_LINE words and runs of neighbouring units that reach MIN_RUN words. Their digests
+A text is cut twice: into its lines, and, whatever its line breaks, into parts that
+end where the hash of two neighbouring words is the lowest of CUT_WINDOW in a row,
+hence at the same words wherever a passage stands and after at most CUT_WINDOW words.
+What is compared are passages: whole lines of MIN_LINE words and runs of neighbouring
+lines or parts that reach MIN_RUN words. So of equal stretches of 39 words, however
+they are wrapped, one passage is always found. Their digests
 are grouped globally; the occurrence with the lowest (document, place) stays, and
 the others are removed. So whatever is removed stands together, word by word, in an
 earlier place. Removed ranges keep their offsets in the original text.
@@ -19,11 +21,10 @@ from pyspark.sql import functions as F
 from millrace.llm.batches import LOWER, _power, mix, slices, span_hashes, text_bytes, word_spans
 from millrace.session import stage
 
-LONG_LINE = 25
 MIN_LINE = 8
 MIN_RUN = 16
-#: One of so many word pairs ends a part.
-PART_WORDS = 5
+#: Of so many word pairs in a row at least one ends a part.
+CUT_WINDOW = 8
 
 
 def passages(data: np.ndarray, bounds: np.ndarray) -> dict[str, np.ndarray]:
@@ -48,14 +49,15 @@ def passages(data: np.ndarray, bounds: np.ndarray) -> dict[str, np.ndarray]:
     line_at = np.flatnonzero(new_line)
     line_to = np.append(line_at[1:], len(starts))
     line_words = line_to - line_at
-    in_long = np.repeat(line_words > LONG_LINE, line_words)
-    ends_part = np.zeros(len(starts), bool)
-    ends_part[:-1] = mix(words[:-1] * np.uint64(3) + words[1:]) % np.uint64(PART_WORDS) == 0
-    new_unit = new_line.copy()
-    new_unit[1:] |= ends_part[:-1] & in_long[1:]
-    unit_at = np.flatnonzero(new_unit)
+    new_part = np.zeros(len(starts), bool)
+    new_part[rows[:-1][rows[:-1] < rows[1:]]] = True
+    new_part[1:] |= part_ends(words, row)
+    part_at = np.flatnonzero(new_part)
+    unit_at = np.flatnonzero(new_part | new_line)
     whole = line_words >= MIN_LINE
-    found = [runs(unit_at, line_to, rows, row), np.stack([line_at[whole], line_to[whole]], 1)]
+    found = [
+        runs(part_at, part_at[:0], rows, row), runs(line_at, line_to, rows, row), np.stack([line_at[whole], line_to[whole]], 1),
+    ]
     at, to = np.unique(np.concatenate(found), axis=0).T
     up, down = _power(len(words) + 1)
     sums = np.zeros(len(words) + 1, dtype=np.uint64)
@@ -67,6 +69,25 @@ def passages(data: np.ndarray, bounds: np.ndarray) -> dict[str, np.ndarray]:
     }
 
 
+def part_ends(words: np.ndarray, row: np.ndarray) -> np.ndarray:
+    """Whether a part ends between each word and the next: at the lowest pair of any CUT_WINDOW in a row of a text.
+
+    Of equal pairs the last counts, so that texts of few distinct pairs are cut as well.
+    """
+    pairs = mix(words[:-1] * np.uint64(3) + words[1:])
+    out = np.zeros(len(pairs), bool)
+    n = len(pairs) - CUT_WINDOW + 1
+    if n < 1:
+        return out
+    lowest, place = pairs[:n].copy(), np.arange(n)
+    for k in range(1, CUT_WINDOW):
+        better = pairs[k : k + n] <= lowest
+        lowest[better] = pairs[k : k + n][better]
+        place[better] = np.flatnonzero(better) + k
+    out[place[row[:n] == row[CUT_WINDOW : CUT_WINDOW + n]]] = True
+    return out
+
+
 def runs(unit_at: np.ndarray, last: np.ndarray, rows: np.ndarray, row: np.ndarray) -> np.ndarray:
     """(first word, word behind) of the shortest runs of units of one row with MIN_RUN words.
 

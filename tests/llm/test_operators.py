@@ -232,6 +232,26 @@ def test_units_met_in_different_documents_stay(rows):
     assert found[104]["text"].split() == texts[104].split()[:20]
 
 
+def test_wrapped_and_repetitive_passages_are_found(rows):
+    rng = np.random.default_rng(11)
+    texts = {}
+    for i in range(300):
+        passage = [f"p{rng.integers(10**9)}" for _ in range(51)]
+        if i % 3 == 1:
+            passage = passage[:2] * 25 + passage[2:3]
+        own = [f"o{rng.integers(10**9)}" for _ in range(60)]
+        wide = int(rng.integers(5, 24))
+        wrapped = "\n".join(" ".join(passage[k : k + wide]) for k in range(0, 51, wide)) if i % 3 else " ".join(passage)
+        texts[i] = " ".join(own[:30] + passage + own[30:]), passage
+        texts[1000 + i] = " ".join(own[::-1][:30]) + " " + wrapped + " end", passage
+    df = rows("doc_id long, text string", [(i, t) for i, (t, _) in texts.items()])
+    found = {r["doc_id"]: r["text"] for r in substring_dedup.substring_dedup(df).collect()}
+    left = [i for i in range(1000, 1300) if " ".join(texts[i][1]) in " ".join(found[i].split())]
+    assert not left
+    cuts = np.flatnonzero(substring_dedup.part_ends(np.arange(500, dtype=np.uint64) ** 2 % 7, np.zeros(500, int)))
+    assert np.diff(cuts).max() <= 8
+
+
 @pytest.fixture(scope="module")
 def tik():
     ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(RANKS, "rb"))}
