@@ -1,12 +1,18 @@
-"""Toxicity by class-conditional Kneser-Ney models of words.
-
-A word is spelled byte by byte from its start. Each class has absolute-discounted
-counts of which byte follows a beginning, and what the discount frees goes to the
-backoff counts that both classes share. So a rare or unseen form of a word is
-judged by the beginnings that were seen, and where a class saw nothing both models
-agree and say nothing. A text's evidence is the difference of its two
-log-likelihoods, divided by its length; a logistic curve, fitted on labelled texts
-that the counts have not seen, turns it into a score.
+"""Toxicity by class-conditional Kneser-Ney models of spelling and of neighbouring words.
+
+Every byte of a word is predicted from the ORDER - 1 symbols before it (the word's
+start and end are symbols), every word, and the end of the text, from the word
+before it. Each class has absolute-discounted counts of these n-grams; what the
+discount frees goes to the next shorter context, whose Kneser-Ney continuation
+counts both classes share. A text's evidence are the differences of its
+log-likelihoods under the two classes, one for spelling and one for neighbours,
+over all its n-grams, seen or not, and divided by its length; a logistic curve,
+fitted on labelled texts that the counts have not seen, turns them into a score.
+
+For an n-gram that was not counted the classes differ by what their contexts free
+alone. So an n-gram adds its context's gain, and a counted one its own difference
+from that. Gains and texts stay tables that meet in joins; nothing is collected but
+the labelled sample of the curve.
 """
 
 from __future__ import annotations
@@ -15,7 +21,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.batches import BYTE_CODES, LOWER, _power, mix, slices, span_hashes, text_bytes, word_spans
@@ -26,168 +32,215 @@ GAPS = np.ones(256, dtype=bool)
 GAPS[128:] = False
 for _first, _last in ((48, 57), (65, 90), (97, 122), (39, 39)):
     GAPS[_first : _last + 1] = False
-LONGEST = 12
+#: Symbols of a spelling n-gram; GAPS bytes that mark a word's start and end, and symbols there are.
+ORDER = 6
+START, END = 0, 1
+SYMBOLS = 166
 DISCOUNT = 0.75
-#: Standard deviations by which a class must differ from the shared counts to replace them, and powers of
-#: the number of words that divide a text's evidence: the labelled texts kept apart decide among these.
-CLEAR = (3.0, 4.0, 6.0, 8.0, 12.0)
+#: Powers of the number of words that divide a text's evidence: the labelled texts kept apart decide among these.
 LENGTH_POWERS = (0.5, 0.75, 1.0)
-#: Documents in which a beginning must occur in the toxic class to be kept.
-LEAST = 2
 #: Labelled rows that the models are fitted on, the lowest by a hash of the id.
 MAX_LABELLED = 40_000
+#: Salts of the identifiers of pairs, of the end of a text and of contexts.
+PAIR, LAST, CONTEXT = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F), np.uint64(0x2545F4914F6CDD1D)
 
 
-def beginnings(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of every beginning (1 to LONGEST bytes) of the given words, and the word of each."""
-    size = np.minimum(ends - starts, LONGEST)
-    word = np.repeat(np.arange(len(starts)), size)
-    step = np.arange(len(word)) - np.repeat(np.cumsum(size) - size, size)
-    at = starts[word] + step
-    up, _ = _power(LONGEST + 1)
-    terms = BYTE_CODES[data[at]] * up[step]
-    sums = np.cumsum(terms, dtype=np.uint64)
-    first = np.cumsum(size) - size
-    before = np.where(first > 0, sums[np.maximum(first - 1, 0)], np.uint64(0))
-    return mix(sums - before[word] + (step + 1).astype(np.uint64)), word
+def word_rows(data: np.ndarray, bounds: np.ndarray) -> dict[str, np.ndarray]:
+    """Words and pairs of rows: distinct (row, id), how often, and for pairs the ids of both words.
 
-
-def distinct_words(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and ends of one example of every distinct word, each word's example, and each row's first word."""
+    ``start`` and ``end`` give one example of every distinct word ``word``; ``n`` counts the words of each row.
+    """
     starts, ends = word_spans(data, bounds, GAPS)
     hashes = span_hashes(data, starts, ends)
-    _, example, which = np.unique(hashes, return_index=True, return_inverse=True)
-    return starts[example], ends[example], which, np.searchsorted(starts, bounds)
-
-
-def document_counts(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(beginning, the beginning one byte shorter, documents) over the distinct words of each row."""
-    starts, ends, which, rows = distinct_words(data, bounds)
-    if not len(which):
-        none = np.zeros(0, np.uint64)
-        return none, none, np.zeros(0, np.int64)
-    owner = np.repeat(np.arange(len(bounds) - 1), np.diff(rows))
-    pairs = np.unique(owner.astype(np.int64) * len(starts) + which)
-    times = np.bincount(pairs % len(starts), minlength=len(starts))
-    hashes, word = beginnings(data, starts, ends)
-    parent = np.concatenate([np.zeros(1, np.uint64), hashes[:-1]])
-    parent[np.concatenate([[True], word[1:] != word[:-1]])] = 0
-    keys, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
-    return keys, parent[first], np.bincount(inverse, weights=times[word]).astype(np.int64)
-
-
-def gains(counts: DataFrame) -> DataFrame:
-    """key, gain, clear: what each telling beginning adds to a text's evidence, and how clearly.
-
-    ``counts``: key, parent, ordinary, toxic (documents, by words). The gain is
-    log P_toxic(byte | before) - log P_ordinary(byte | before), each with absolute
-    discounting; the freed weight goes to the byte's share in both classes
-    together, itself discounted towards an even spread. Beginnings whose classes
-    do not clearly differ, or that too few toxic documents have, take the shared
-    counts in both models, so their gain is zero and they are not listed.
+    first = np.searchsorted(starts, bounds)
+    n = np.diff(first)
+    row = np.repeat(np.arange(len(n)), n)
+    following = np.append(hashes[1:], LAST)
+    following[first[1:][n > 0] - 1] = LAST
+    pairs = mix(hashes * np.uint64(3) + mix(following + PAIR))
+    ids, at = np.unique(np.concatenate([hashes, pairs]), return_inverse=True)
+    both = np.concatenate([row, row]) * len(ids) + at
+    found, example, times = np.unique(both, return_index=True, return_counts=True)
+    is_pair, of = example >= len(hashes), example % max(len(hashes), 1)
+    word, spot = np.unique(hashes, return_index=True)
+    return {
+        "row": found // max(len(ids), 1), "id": ids[found % max(len(ids), 1)], "times": times, "pair": is_pair,
+        "before": hashes[of], "after": following[of], "word": word, "start": starts[spot], "end": ends[spot], "n": n,
+    }
+
+
+def spelling(data: np.ndarray, bounds: np.ndarray) -> dict[str, np.ndarray]:
+    """All n-grams of the given words (rows): key, parent (its context, without the last symbol), lower (without the first),
+    order, word, and whether it is one that the word's bytes are predicted by."""
+    size = np.diff(bounds) + 2
+    ends = np.cumsum(size)
+    symbols = np.full(int(ends[-1]) if len(ends) else 0, START, np.uint8)
+    word = np.repeat(np.arange(len(size)), size)
+    place = np.arange(len(symbols)) - (ends - size)[word]
+    symbols[place == size[word] - 1] = END
+    symbols[(place > 0) & (place < size[word] - 1)] = data
+    up, down = _power(len(symbols) + 1)
+    sums = np.zeros(len(symbols) + 1, np.uint64)
+    np.cumsum(BYTE_CODES[symbols] * up[:-1], out=sums[1:])
+
+    def key(a, b):
+        return mix((sums[b] - sums[a]) * down[a] + (b - a).astype(np.uint64))
+
+    out = []
+    for k in range(1, ORDER + 1):
+        i = np.flatnonzero(place >= max(k - 1, 1))
+        a, b = i - k + 1, i + 1
+        top = (place[a] == 0) | (k == ORDER)
+        out.append((key(a, b), mix(key(a, b - 1) + CONTEXT), key(a + 1, b), np.full(len(i), k, np.int32), word[i], top))
+    return dict(zip(("key", "parent", "lower", "k", "word", "top"), map(np.concatenate, zip(*out))))
+
+
+def shared(grams: DataFrame) -> DataFrame:
+    """lower, share: continuation probability, the same for both classes, of what the longest n-grams end in.
+
+    ``grams``: key, parent, lower, k of every n-gram that occurs. A shorter one counts as often as different
+    symbols stand before it; its discount goes to the next shorter one, the last to an even spread.
+    """
+    known = grams.where("k > 1").groupBy(F.col("lower").alias("key")).agg(F.count(F.lit(1)).alias("c"))
+    known = stage(grams.where(f"k < {ORDER}").join(known, "key").select("key", "parent", "lower", "k", "c"), "continuations")
+    shares = None
+    for k in range(1, ORDER):
+        own = known.where(f"k = {k}")
+        around = own.groupBy("parent").agg(F.sum("c").alias("total"), F.count(F.lit(1)).alias("kinds"))
+        own = own.join(around, "parent")
+        below = F.lit(1 / SYMBOLS)
+        if shares is not None:
+            own, below = own.join(shares.select(F.col("key").alias("lower"), F.col("share").alias("below")), "lower"), F.col("below")
+        level = own.select("key", ((F.col("c") - DISCOUNT + DISCOUNT * F.col("kinds") * below) / F.col("total")).alias("share"))
+        shares = level
+        levels = level if k == 1 else levels.unionByName(level)
+    return stage(levels.withColumnRenamed("key", "lower"), "shares")
+
+
+def gains(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(key, gain) of the counted n-grams and (key, gain) of their contexts.
+
+    ``counts``: key, parent, ordinary, toxic (documents) and share (probability of the shorter n-gram).
     """
-    both = F.col("ordinary") + F.col("toxic")
-    before = counts.groupBy("parent").agg(
-        F.sum("ordinary").alias("all0"), F.sum("toxic").alias("all1"), F.count(F.lit(1)).alias("kinds"),
-        F.sum((F.col("ordinary") > 0).cast("long")).alias("kinds0"), F.sum((F.col("toxic") > 0).cast("long")).alias("kinds1"),
+    around = counts.groupBy("parent").agg(
+        *[F.sum(c).alias(f"all{i}") for i, c in enumerate(("ordinary", "toxic"))],
+        *[F.sum((F.col(c) > 0).cast("long")).alias(f"kinds{i}") for i, c in enumerate(("ordinary", "toxic"))],
     )
-    rows = counts.where(F.col("toxic") >= LEAST).join(before, "parent")
-    total = F.col("all0") + F.col("all1")
-    shared = (F.greatest(both - DISCOUNT, F.lit(0.0)) + DISCOUNT * F.col("kinds") / 64) / total
 
-    def log_p(c: int):
-        n, own, kinds = F.col("toxic" if c else "ordinary"), F.col(f"all{c}"), F.col(f"kinds{c}")
-        p = (F.greatest(n - DISCOUNT, F.lit(0.0)) + DISCOUNT * kinds * shared) / own
-        return F.log(F.when(own > 0, F.greatest(p, F.lit(1e-12))).otherwise(shared))
+    def freed(i: int) -> Column:
+        return F.when(F.col(f"all{i}") > 0, DISCOUNT * F.col(f"kinds{i}") / F.col(f"all{i}")).otherwise(1.0)
 
-    rate = both / total
-    spread = F.sqrt(F.greatest(F.col("all1") * rate * (1 - rate), F.lit(1e-9)))
-    clear = F.abs(F.col("toxic") - F.col("all1") * rate) / spread
-    listed = rows.select("key", (log_p(1) - log_p(0)).alias("gain"), clear.alias("clear"))
-    return listed.where(F.col("clear") >= min(CLEAR))
+    def p(i: int, n: Column) -> Column:
+        own = F.when(F.col(f"all{i}") > 0, F.greatest(n - DISCOUNT, F.lit(0.0)) / F.col(f"all{i}")).otherwise(0.0)
+        return own + freed(i) * F.col("share")
+
+    context = stage(around.withColumn("gain", F.log(freed(1)) - F.log(freed(0))), "contexts")
+    own = F.log(p(1, F.col("toxic"))) - F.log(p(0, F.col("ordinary"))) - F.col("gain")
+    return counts.join(context, "parent").select("key", own.alias("gain")), context.select(F.col("parent").alias("key"), "gain")
 
 
 @dataclass
 class Model:
-    """Gains of the telling beginnings, sorted by key, and the logistic curve."""
+    """Gains of spelling and of pairs, and the logistic curve."""
 
-    keys: np.ndarray
-    gains: np.ndarray  # one column for each way to choose them
+    grams: DataFrame | None = None  # key, gain: of spelling n-grams and contexts
+    pairs: DataFrame | None = None  # id, gain: of pairs, and of words as their contexts
     power: float = 1.0
-    slope: float = 0.0
+    slopes: tuple[float, float] = (0.0, 0.0)
     offset: float = 0.0
-    column: int = 0  # of the gains this model was chosen from
-
-    def sums(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Difference of the log-likelihoods of each row (by the columns of gains), and its number of words."""
-        starts, ends, which, rows = distinct_words(data, bounds)
-        n = np.diff(rows)
-        out = np.zeros((len(n), self.gains.shape[1]))
-        if not len(which) or not len(self.keys):
-            return out, n
-        hashes, word = beginnings(data, starts, ends)
-        at = np.minimum(np.searchsorted(self.keys, hashes), len(self.keys) - 1)
-        hit = self.keys[at] == hashes
-        for j in range(out.shape[1]):
-            per_word = np.bincount(word[hit], weights=self.gains[at[hit], j], minlength=len(starts))
-            total = np.concatenate([[0.0], np.cumsum(per_word[which])])
-            out[:, j] = total[rows[1:]] - total[rows[:-1]]
-        return out, n
-
-    def evidence(self, data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-        """Length-normalised evidence of each row; 0 for rows without words."""
-        sums, n = self.sums(data, bounds)
-        return sums[:, 0] / np.maximum(n, 1) ** self.power
-
-    def choose(self, sums: np.ndarray, n: np.ndarray, toxic: np.ndarray) -> Model:
-        """The column and power whose curve explains the given labels best, with that curve."""
-        best: tuple[float, Model] | None = None
-        for j in range(sums.shape[1]):
-            for power in LENGTH_POWERS:
-                evidence = sums[:, j] / np.maximum(n, 1) ** power
-                slope, offset, loss = logistic_curve(evidence, toxic)
-                if best is None or loss < best[0]:
-                    best = loss, Model(self.keys, self.gains[:, j : j + 1], power, slope, offset, j)
-        return best[1]
-
-    def scores(self, evidence: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.slope * evidence + self.offset, -500, 500)))
-
-
-def logistic_curve(x: np.ndarray, y: np.ndarray) -> tuple[float, float, float]:
-    """Slope, offset and log-loss of the logistic curve through x and labels y, by Newton steps."""
-    scale = float(np.abs(x).max()) or 1.0
-    z = np.stack([x / scale, np.ones(len(x))], 1)
-    w = np.array([0.0, np.log((y.mean() + 1e-6) / (1 - y.mean() + 1e-6))])
+
+
+def logistic_curve(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, float, float]:
+    """Slopes, offset and log-loss of the logistic curve through x (columns) and labels y, by Newton steps."""
+    scale = np.abs(x).max(0)
+    scale[scale == 0] = 1.0
+    z = np.column_stack([x / scale, np.ones(len(x))])
+    w = np.zeros(z.shape[1])
+    w[-1] = np.log((y.mean() + 1e-6) / (1 - y.mean() + 1e-6))
     loss = lambda w: np.logaddexp(0, np.where(y == 1, -1, 1) * (z @ w)).mean() + 1e-6 * (w @ w)
     now = loss(w)
     for _ in range(60):
         p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
-        hessian = (z * (p * (1 - p))[:, None]).T @ z / len(x) + 1e-6 * np.eye(2)
+        hessian = (z * (p * (1 - p))[:, None]).T @ z / len(x) + 1e-6 * np.eye(len(w))
         step = np.linalg.solve(hessian, z.T @ (p - y) / len(x) + 2e-6 * w)
         size = 1.0
         while size > 1e-4 and loss(w - size * step) > now:
             size /= 2
         w = w - size * step
         now = loss(w)
-    return float(w[0] / scale), float(w[1]), float(now)
+    return w[:-1] / scale, float(w[-1]), float(now)
+
+
+def spelled(words: DataFrame, grams: DataFrame) -> DataFrame:
+    """id, spell: gain of the spelling of every word (``words``: id, word)."""
+
+    def spell(batches):
+        for batch in batches:
+            for part in slices(batch, "word"):
+                found = spelling(*text_bytes(part.column("word")))
+                ids = np.asarray(part.column("id"))[found["word"][found["top"]]]
+                for name in ("key", "parent"):
+                    yield pa.RecordBatch.from_pydict({"id": ids, "key": found[name][found["top"]].view(np.int64)})
 
+    listed = words.mapInArrow(spell, "id long, key long").groupBy("id", "key").agg(F.count(F.lit(1)).alias("m"))
+    return listed.join(grams, "key").groupBy("id").agg(F.sum(F.col("m") * F.col("gain")).alias("spell"))
 
-def gathered(listed: DataFrame) -> Model:
-    """The listed gains as arrays; their number is bounded by the sample of labelled rows."""
-    table = listed.toPandas()
-    keys = table["key"].to_numpy(dtype=np.int64).view(np.uint64)
-    order = np.argsort(keys)
-    gain, clear = table["gain"].to_numpy(dtype=float)[order], table["clear"].to_numpy(dtype=float)[order]
-    return Model(keys[order], np.stack([np.where(clear >= c, gain, 0.0) for c in CLEAR], 1))
+
+def evidence(texts: DataFrame, model: Model, keep: str) -> DataFrame:
+    """row, keep, n (words), spell, pair: summed gains of every row of (keep, text)."""
+    kept = texts.schema[keep].dataType.simpleString()
+
+    def words(batches):
+        for batch in batches:
+            for part in slices(batch, "text"):
+                data, bounds = text_bytes(part.column("text"))
+                data = LOWER[data]
+                found = word_rows(data, bounds)
+                yield pa.RecordBatch.from_pydict({
+                    "id": found["word"].view(np.int64),
+                    "word": pa.array([data[a:b].tobytes().decode("utf-8", "replace") for a, b in zip(found["start"], found["end"])], pa.string()),
+                })
+
+    def list_ids(batches):
+        from pyspark import TaskContext
+
+        base = TaskContext.get().partitionId() << 40
+        for batch in batches:
+            for part in slices(batch, "text"):
+                data, bounds = text_bytes(part.column("text"))
+                found = word_rows(LOWER[data], bounds)
+                size = len(part)
+                rows = np.concatenate([np.arange(size), found["row"]])
+                listed = np.arange(len(rows)) >= size  # after one line for each row itself
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(base + rows), part.column(keep).take(pa.array(rows, mask=listed)),
+                        pa.array(np.concatenate([np.zeros(size, np.int64), found["id"].view(np.int64)]), mask=~listed),
+                        pa.array(np.concatenate([found["n"], found["times"]]).astype(np.int64)),
+                    ],
+                    names=["row", keep, "id", "m"],
+                )
+                base += size
+
+    distinct = texts.select("text").mapInArrow(words, "id long, word string").groupBy("id").agg(F.min("word").alias("word"))
+    table = spelled(distinct, model.grams).withColumn("pair", F.lit(0.0)).unionByName(
+        model.pairs.select("id", F.lit(0.0).alias("spell"), F.col("gain").alias("pair"))
+    ).groupBy("id").agg(F.sum("spell").alias("spell"), F.sum("pair").alias("pair"))
+    listed = texts.select(keep, "text").mapInArrow(list_ids, f"row long, {keep} {kept}, id long, m long")
+    weighed = listed.join(table, "id", "left")
+    own = F.col("id").isNull()
+    return weighed.groupBy("row").agg(
+        F.max(F.when(own, F.struct(keep)))[keep].alias(keep), F.sum(F.when(own, F.col("m")).otherwise(0)).alias("n"),
+        *[F.coalesce(F.sum(F.col("m") * F.col(c)), F.lit(0.0)).alias(c) for c in ("spell", "pair")],
+    )
 
 
 def fit(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> Model:
     """Models and curve from labelled texts (``labels``: doc_id, toxic, fold).
 
     Rows of folds below the highest are counted; the highest fold, which these counts
-    have not seen, decides how gains are chosen and sets the curve. The final gains
-    are then counted over all folds in the same way.
+    have not seen, sets the curve. The final gains are then counted over all folds in
+    the same way.
     Rows with null label or id are not used. At most MAX_LABELLED rows are used,
     those whose id hashes lowest, so the model has a bounded size. Without texts of
     both classes every score is the share of the toxic class.
@@ -197,12 +250,10 @@ def fit(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col: str
     )
     sample = usable.orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_LABELLED)
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    texts = stage(texts.join(F.broadcast(sample), "doc_id").select("text", "toxic", "fold"), "labelled")
+    texts = stage(texts.join(F.broadcast(sample), "doc_id").select("doc_id", "text", "toxic", "fold"), "labelled")
     last, positive, rows = texts.agg(F.max("fold"), F.sum("toxic"), F.count(F.lit(1))).first()
-    none = Model(np.zeros(0, np.uint64), np.zeros((0, 1)))
     if not rows or positive in (0, rows):
-        none.offset = 0.0 if not rows else (-30.0 if not positive else 30.0)
-        return none
+        return Model(offset=0.0 if not rows else (-30.0 if not positive else 30.0))
 
     def count(batches):
         for batch in batches:
@@ -212,43 +263,74 @@ def fit(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col: str
                     for held in (False, True):
                         chosen = part.filter(pa.array((toxic == label) & (apart == held)))
                         data, bounds = text_bytes(chosen.column("text"))
-                        keys, parents, n = document_counts(LOWER[data], bounds)
+                        data = LOWER[data]
+                        found = word_rows(data, bounds)
+                        ids, first, n = np.unique(found["id"], return_index=True, return_counts=True)
+                        pair = found["pair"][first]
+                        at = np.minimum(np.searchsorted(found["word"], ids), max(len(found["word"]) - 1, 0))
+                        spans = zip(found["start"][at].tolist(), found["end"][at].tolist(), pair.tolist())
                         yield pa.RecordBatch.from_pydict({
-                            "key": keys.view(np.int64), "parent": parents.view(np.int64), "n": n,
+                            "id": ids.view(np.int64), "n": n, "before": pa.array(found["before"][first].view(np.int64), mask=~pair),
+                            "after": pa.array(found["after"][first].view(np.int64), mask=~pair),
+                            "word": pa.array([None if p else data[a:b].tobytes().decode("utf-8", "replace") for a, b, p in spans], pa.string()),
                             "toxic": np.full(len(n), label, np.int32), "apart": np.full(len(n), held),
                         })
 
-    counted = texts.mapInArrow(count, "key long, parent long, n long, toxic int, apart boolean")
+    counted = texts.mapInArrow(count, "id long, n long, before long, after long, word string, toxic int, apart boolean")
     number = lambda label, when: F.sum(F.when((F.col("toxic") == label) & when, F.col("n")).otherwise(0))
     counts = stage(
-        counted.groupBy("key").agg(
-            F.min("parent").alias("parent"),
+        counted.groupBy("id").agg(
+            F.min("before").alias("before"), F.min("after").alias("after"), F.min("word").alias("word"),
             number(0, ~F.col("apart")).alias("ordinary_seen"), number(1, ~F.col("apart")).alias("toxic_seen"),
             number(0, F.lit(True)).alias("ordinary"), number(1, F.lit(True)).alias("toxic"),
         ),
-        "beginnings",
+        "words",
     )
-    seen = counts.select("key", "parent", F.col("ordinary_seen").alias("ordinary"), F.col("toxic_seen").alias("toxic"))
-    model = gathered(gains(seen.where("ordinary + toxic > 0")))
-
-    def weigh(batches):
+    seen = counts.select("id", "before", "after", "word", F.col("ordinary_seen").alias("ordinary"), F.col("toxic_seen").alias("toxic"))
+    apart = texts.where(F.col("fold") == last).select("text", "toxic")
+    judged = evidence(apart, class_models(seen.where("ordinary + toxic > 0")), "toxic").toPandas()
+    final = class_models(counts)
+    y = judged["toxic"].to_numpy()
+    if not 0 < y.sum() < len(y):  # no curve can be drawn through one class
+        final.slopes, final.offset = (1.0, 1.0), float(np.log(positive / (rows - positive)))
+        return final
+    sums, n = judged[["spell", "pair"]].to_numpy(dtype=float), np.maximum(judged["n"].to_numpy(), 1)
+    found = [(logistic_curve(sums / n[:, None] ** power, y), power) for power in LENGTH_POWERS]
+    (slopes, final.offset, _), final.power = min(found, key=lambda f: f[0][2])
+    final.slopes = tuple(map(float, slopes))
+    return final
+
+
+def class_models(counts: DataFrame) -> Model:
+    """Gains from counted words and pairs (id, before, after, word, ordinary, toxic)."""
+
+    def spell(batches):
         for batch in batches:
-            for part in slices(batch, "text"):
-                data, bounds = text_bytes(part.column("text"))
-                sums, n = model.sums(LOWER[data], bounds)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(list(sums), pa.list_(pa.float64())), pa.array(n.astype(np.int64)), part.column("toxic")],
-                    names=["sums", "n", "toxic"],
-                )
-
-    judged = texts.where(F.col("fold") == last).select("text", "toxic").mapInArrow(weigh, "sums array<double>, n long, toxic int")
-    judged = judged.toPandas()
-    if not 0 < judged["toxic"].sum() < len(judged):  # no curve can be drawn through one class
-        last_resort = gathered(gains(counts.select("key", "parent", "ordinary", "toxic")))
-        return Model(last_resort.keys, last_resort.gains[:, :1], 1.0, 1.0, float(np.log(positive / (rows - positive))))
-    chosen = model.choose(np.stack(judged["sums"].tolist()), judged["n"].to_numpy(), judged["toxic"].to_numpy())
-    final = gathered(gains(counts.select("key", "parent", "ordinary", "toxic")))
-    return Model(final.keys, final.gains[:, chosen.column : chosen.column + 1], chosen.power, chosen.slope, chosen.offset)
+            for part in slices(batch, "word"):
+                found = spelling(*text_bytes(part.column("word")))
+                keys, first, which = np.unique(found["key"], return_index=True, return_inverse=True)
+                total = [np.bincount(which, np.asarray(part.column(c))[found["word"]], len(keys)) for c in ("ordinary", "toxic")]
+                yield pa.RecordBatch.from_pydict({
+                    "key": keys.view(np.int64), "parent": found["parent"][first].view(np.int64),
+                    "lower": found["lower"][first].view(np.int64), "k": found["k"][first], "top": found["top"][first],
+                    "ordinary": total[0].astype(np.int64), "toxic": total[1].astype(np.int64),
+                })
+
+    listed = counts.where("word is not null").select("word", "ordinary", "toxic")
+    grams = stage(
+        listed.mapInArrow(spell, "key long, parent long, lower long, k int, top boolean, ordinary long, toxic long")
+        .groupBy("key").agg(
+            *[F.min(c).alias(c) for c in ("parent", "lower", "k", "top")], F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic")
+        ),
+        "spellings",
+    )
+    own, context = gains(grams.where("top").join(shared(grams), "lower"))
+    spellings = stage(own.unionByName(context).groupBy("key").agg(F.sum("gain").alias("gain")), "spelling-gains")
+    pairs = counts.where("before is not null").select(F.col("id").alias("key"), F.col("before").alias("parent"), "after", "ordinary", "toxic")
+    kinds = pairs.groupBy("after").agg(F.count(F.lit(1)).alias("c"))
+    total = pairs.count()
+    own, context = gains(pairs.join(kinds, "after").withColumn("share", F.col("c") / F.lit(float(max(total, 1)))))
+    return Model(spellings, stage(own.unionByName(context).withColumnRenamed("key", "id"), "pair-gains"))
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
@@ -258,16 +340,11 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", id_col: str = "
     offset alone. Repeated rows and null ids are kept; other columns are not read.
     """
     wanted = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    id_type = wanted.schema["doc_id"].dataType.simpleString()
-
-    def judge(batches):
-        for batch in batches:
-            for part in slices(batch, "text"):
-                data, bounds = text_bytes(part.column("text"))
-                scores = model.scores(model.evidence(LOWER[data], bounds))
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(scores), pa.array((scores >= 0.5).astype(np.int32))],
-                    names=["doc_id", "score", "predicted"],
-                )
-
-    return wanted.mapInArrow(judge, f"doc_id {id_type}, score double, predicted int")
+    curve = F.lit(model.offset)
+    if model.grams is not None:
+        wanted = evidence(wanted, model, "doc_id")
+        length = F.pow(F.greatest(F.col("n"), F.lit(1)).cast("double"), F.lit(model.power))
+        for slope, c in zip(model.slopes, ("spell", "pair")):
+            curve = curve + slope * F.col(c) / length
+    result = 1 / (1 + F.exp(-F.greatest(F.least(curve, F.lit(500.0)), F.lit(-500.0))))
+    return wanted.select("doc_id", result.alias("score")).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))

@@ -333,6 +333,29 @@ def test_toxicity_on_unseen_documents(spark):
     assert held.where("predicted <> toxic").count() <= 2
 
 
+def toxic_recall(spark, make, n=600):
+    """Held-out toxic texts found and false alarms, of texts that make(i, toxic, rng) writes."""
+    rng = np.random.default_rng(8)
+    texts = [(i, make(i, int(i % 4 == 0), rng), int(i % 4 == 0), i % 5) for i in range(n)]
+    df = spark.createDataFrame(texts, "doc_id long, text string, toxic int, fold int")
+    model = toxicity.fit(df, df.where("fold > 0").select("doc_id", "toxic", "fold"))
+    held = toxicity.score(df.where("fold = 0"), model).join(df, "doc_id").select("predicted", "toxic").collect()
+    toxic = [r["predicted"] for r in held if r["toxic"]]
+    return sum(toxic) / len(toxic), sum(r["predicted"] for r in held if not r["toxic"])
+
+
+PLAIN = [f"{a}{b}" for a in ("lo", "mi", "ta", "re") for b in ("na", "ko", "si", "pu", "de")]
+
+
+def test_toxic_expression_of_ordinary_words(spark):
+    def make(i, toxic, rng):
+        # both words stand in every text, side by side only in toxic ones
+        return " ".join([*rng.choice(PLAIN, 30), *(["yy", "gofar", "away", "yy"] if toxic else ["gofar", "yy", "yy", "away"]) * 3])
+
+    recall, alarms = toxic_recall(spark, make)
+    assert recall >= 0.9 and alarms <= 3
+
+
 def test_language(spark, edges, nothing):
     en, fr = "the house and the garden of the man with that dog ", "la maison et le jardin avec les enfants dans une ville "
     texts = [(i, (en if i % 2 else fr) * 4, "en" if i % 2 else "fr") for i in range(40)]
