@@ -356,6 +356,16 @@ def test_toxic_expression_of_ordinary_words(spark):
     assert recall >= 0.9 and alarms <= 3
 
 
+def test_toxic_parts_inside_long_words(spark):
+    def make(i, toxic, rng):
+        glued = "lonamikotasirepu" + ("grubas" if toxic else "talona") + "mina"
+        signs = "\u4ECA\u65E5\u662F\u597D\u7684\u4EBA" + ("\u6B7B\u72D7" if toxic else "\u5929\u6C14")
+        return " ".join(list(rng.choice(PLAIN, 10)) + [glued if i % 3 else signs] * 2)
+
+    recall, alarms = toxic_recall(spark, make)
+    assert recall >= 0.9 and alarms <= 3
+
+
 def test_language(spark, edges, nothing):
     en, fr = "the house and the garden of the man with that dog ", "la maison et le jardin avec les enfants dans une ville "
     texts = [(i, (en if i % 2 else fr) * 4, "en" if i % 2 else "fr") for i in range(40)]
