@@ -39,7 +39,7 @@ SYMBOLS = 166
 DISCOUNT = 0.75
 #: Powers of the number of words that divide a text's evidence: the labelled texts kept apart decide among these.
 LENGTH_POWERS = (0.5, 0.75, 1.0)
-#: Labelled rows that the models are fitted on, the lowest by a hash of the id.
+#: Labelled rows of the highest fold that the curve is drawn through, the lowest by a hash of the id.
 MAX_LABELLED = 40_000
 #: Salts of the identifiers of pairs, of the end of a text and of contexts.
 PAIR, LAST, CONTEXT = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F), np.uint64(0x2545F4914F6CDD1D)
@@ -241,16 +241,15 @@ def fit(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col: str
     Rows of folds below the highest are counted; the highest fold, which these counts
     have not seen, sets the curve. The final gains are then counted over all folds in
     the same way.
-    Rows with null label or id are not used. At most MAX_LABELLED rows are used,
-    those whose id hashes lowest, so the model has a bounded size. Without texts of
-    both classes every score is the share of the toxic class.
+    Rows with null label or id are not used. All others are counted; only the curve, of
+    three numbers, is drawn through at most MAX_LABELLED rows, those whose id hashes
+    lowest. Without texts of both classes every score is the share of the toxic class.
     """
     usable = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(
         F.max(F.col("toxic").cast("int")).alias("toxic"), F.max("fold").alias("fold")
     )
-    sample = usable.orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_LABELLED)
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    texts = stage(texts.join(F.broadcast(sample), "doc_id").select("doc_id", "text", "toxic", "fold"), "labelled")
+    texts = stage(texts.join(usable, "doc_id").select("doc_id", "text", "toxic", "fold"), "labelled")
     last, positive, rows = texts.agg(F.max("fold"), F.sum("toxic"), F.count(F.lit(1))).first()
     if not rows or positive in (0, rows):
         return Model(offset=0.0 if not rows else (-30.0 if not positive else 30.0))
@@ -287,7 +286,8 @@ def fit(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col: str
         "words",
     )
     seen = counts.select("id", "before", "after", "word", F.col("ordinary_seen").alias("ordinary"), F.col("toxic_seen").alias("toxic"))
-    apart = texts.where(F.col("fold") == last).select("text", "toxic")
+    apart = texts.where(F.col("fold") == last).orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_LABELLED)
+    apart = stage(apart.select("text", "toxic"), "curve")
     judged = evidence(apart, class_models(seen.where("ordinary + toxic > 0")), "toxic").toPandas()
     final = class_models(counts)
     y = judged["toxic"].to_numpy()

@@ -356,6 +356,13 @@ def test_toxic_expression_of_ordinary_words(spark):
     assert recall >= 0.9 and alarms <= 3
 
 
+def test_all_labelled_rows_are_counted(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "MAX_LABELLED", 40)
+    insults = [f"{a}{b}{a}x" for a in "cfhjqvwz" for b in "aeiou"]
+    recall, alarms = toxic_recall(spark, lambda i, t, rng: " ".join([*rng.choice(PLAIN, 20), *rng.choice(insults if t else PLAIN, 3)]))
+    assert recall >= 0.9 and alarms <= 3
+
+
 def test_toxic_parts_inside_long_words(spark):
     def make(i, toxic, rng):
         glued = "lonamikotasirepu" + ("grubas" if toxic else "talona") + "mina"
