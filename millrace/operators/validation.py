@@ -33,6 +33,7 @@ MESSAGES = {
     "string_too_short": "String should have at least {} character{}",
     "json_invalid": "Invalid JSON",
     "model_type": "Input should be an object",
+    "list_type": "Input should be a valid list",
 }
 
 
@@ -56,7 +57,7 @@ class Field:
         return self.source or self.name
 
 
-def _error(kind: str, key: str | None, shown: Column, *bound: tuple[str, float | int]) -> Column:
+def error_of(kind: str, key: str | None, shown: Column, *bound: tuple[str, float | int]) -> Column:
     msg = MESSAGES[kind]
     if bound:
         number = bound[0][1]
@@ -83,13 +84,13 @@ def _bound_errors(f: Field, value: Column, shown: Column) -> list[tuple[Column,
     ):
         if bound is not None:
             bad = F.isnan(number) | ~ok(number, F.lit(float(bound)))
-            out.append((bad, _error(kind, f.key, shown, (name, float(bound)))))
+            out.append((bad, error_of(kind, f.key, shown, (name, float(bound)))))
     if f.max_length is not None:
         bad = F.length(value) > f.max_length
-        out.append((bad, _error("string_too_long", f.key, shown, ("max_length", f.max_length))))
+        out.append((bad, error_of("string_too_long", f.key, shown, ("max_length", f.max_length))))
     if f.min_length is not None:
         bad = F.length(value) < f.min_length
-        out.append((bad, _error("string_too_short", f.key, shown, ("min_length", f.min_length))))
+        out.append((bad, error_of("string_too_short", f.key, shown, ("min_length", f.min_length))))
     return out
 
 
@@ -108,14 +109,14 @@ def _typed_field(df: DataFrame, f: Field) -> tuple[Column, Column]:
     checks: list[tuple[Column, Column]] = []
     value = c
     if f.required:
-        checks.append((c.isNull(), _error("missing", f.key, F.lit(None))))
+        checks.append((c.isNull(), error_of("missing", f.key, F.lit(None))))
     if f.kind == "string" and not isinstance(dtype, T.StringType):
-        checks.append((c.isNotNull(), _error("string_type", f.key, c)))
+        checks.append((c.isNotNull(), error_of("string_type", f.key, c)))
         value = F.lit(None).cast("string")
     elif f.kind == "float":
         if isinstance(dtype, T.StringType):
             value = lenient_double(c)
-            checks.append((c.isNotNull() & value.isNull(), _error("float_parsing", f.key, c)))
+            checks.append((c.isNotNull() & value.isNull(), error_of("float_parsing", f.key, c)))
         else:
             value = c.cast("double")
     checks += _bound_errors(f, value, c)
@@ -131,19 +132,19 @@ def _variant_field(v: Column, f: Field) -> tuple[Column, Column]:
     absent = v.isNull()
     checks: list[tuple[Column, Column]] = []
     if f.required:
-        checks.append((absent, _error("missing", f.key, F.lit(None))))
+        checks.append((absent, error_of("missing", f.key, F.lit(None))))
     is_number = jtype.isin("BIGINT", "DOUBLE", "FLOAT") | jtype.startswith("DECIMAL")
     if f.kind == "string":
         value = F.when(is_text, text)
-        checks.append((~absent & ~is_text, _error("string_type", f.key, shown)))
+        checks.append((~absent & ~is_text, error_of("string_type", f.key, shown)))
     elif f.kind == "float":
         value = (
             F.when(is_number, F.try_variant_get(v, "$", "double"))
             .when(is_text, lenient_double(text))
             .when(jtype == "BOOLEAN", F.try_variant_get(v, "$", "boolean").cast("double"))
         )
-        checks.append((is_text & value.isNull(), _error("float_parsing", f.key, shown)))
-        checks.append((~absent & value.isNull(), _error("float_type", f.key, shown)))
+        checks.append((is_text & value.isNull(), error_of("float_parsing", f.key, shown)))
+        checks.append((~absent & value.isNull(), error_of("float_type", f.key, shown)))
     else:
         value = text
     checks += _bound_errors(f, value, shown)
@@ -173,8 +174,8 @@ def validate_json(df: DataFrame, text: str, fields: Sequence[Field], keep: Seque
     states = [(f, *_variant_field(F.try_variant_get("_doc", f"$['{f.key}']", "variant"), f)) for f in fields]
     is_object = F.col("_kind").startswith("OBJECT")
     errors = (
-        F.when(F.col("_doc").isNull(), F.array(_error("json_invalid", None, F.col("row"))))
-        .when(~is_object, F.array(_error("model_type", None, F.col("row"))))
+        F.when(F.col("_doc").isNull(), F.array(error_of("json_invalid", None, F.col("row"))))
+        .when(~is_object, F.array(error_of("model_type", None, F.col("row"))))
         .otherwise(F.array_compact(F.array(*[e for *_, e in states])))
     )
     return parsed.select(

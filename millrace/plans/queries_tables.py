@@ -142,6 +142,16 @@ def src8_uneven(spark, sf):
     return payloads.uneven_arrays(parsed, payloads.HOURLY_ARRAYS, ["event_id"])
 
 
+@query("src8_broken_payloads", """select case event_id%7 when 1 then 'json_invalid' when 2 then 'model_type' else 'list_type' end as fault,
+  count(*) as n from events where event_id%7 in (1,2,3) group by all""")
+def src8_broken(spark, sf):
+    e, v = F.col("event_id"), F.col("value")
+    broken = F.when(e % 7 == 1, F.substring(v, 1, 12)).when(e % 7 == 2, F.lit('{"hourly":null}')).when(e % 7 == 3, F.lit('{"hourly":{"time":"t"}}'))
+    landed = weather_payloads(spark, sf).withColumn("value", F.coalesce(broken, v))
+    rejects = payloads.weather_rows(landed, "value", ["event_id"], strict=False).where("row is null")
+    return rejects.select(F.col("errors")[0]["type"].alias("fault")).groupBy("fault").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("src9_flat_record", "select event_id, cast(json_extract(props,'$.k') as double) as seq from events")
 def src9(spark, sf):
     checked = payloads.flat_record(

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators.validation import Field, validate, validate_json
+from millrace.operators.validation import Field, error_of, validate, validate_json
 
 # The hourly forecast payload and the records made from payloads.
 HOURLY_SCHEMA = (
@@ -74,10 +74,36 @@ def parse_hourly(df: DataFrame, text: str, keep: Sequence[str] = ()) -> DataFram
     return df.select(*keep, F.from_json(text, HOURLY_SCHEMA).alias("_p")).select(*keep, "_p.*")
 
 
+def payload_fault(text: str, arrays: dict[str, str] = HOURLY_ARRAYS) -> Column:
+    """Why a payload cannot be read (an error record), or null. Only an absent key is an empty list; JSON
+    that does not parse, a null text, and a null or any other type for an object or a list are faults."""
+    doc, shown = F.try_parse_json(F.col(text)), F.col(text)
+    fault = F.when(doc.isNull(), error_of("json_invalid", None, shown))
+    fault = fault.when(~F.schema_of_variant(doc).startswith("OBJECT"), error_of("model_type", None, shown))
+    parents = sorted({p.rsplit(".", 1)[0] for p in arrays.values() if "." in p})
+    for path, kind, start in [(p, "model_type", "OBJECT") for p in parents] + [(p, "list_type", "ARRAY") for p in arrays.values()]:
+        found = F.try_variant_get(doc, f"$.{path}", "variant")
+        fault = fault.when(~F.schema_of_variant(found).startswith(start), error_of(kind, path, shown))
+    return fault
+
+
 def weather_rows(df: DataFrame, text: str, keep: Sequence[str] = (), strict: bool = True) -> DataFrame:
-    """Validated weather rows (with ``row`` and ``errors``) of hourly payloads."""
-    rows = zip_arrays(parse_hourly(df, text, keep), HOURLY_ARRAYS, keep, strict)
-    return validate(rows, WEATHER_FIELDS, keep)
+    """Validated weather rows (with ``row`` and ``errors``) of hourly payloads.
+
+    A payload that cannot be read stops the job, or with ``strict=False`` becomes one
+    row without values whose error names the fault and holds the text.
+    """
+    fault = payload_fault(text)
+    if strict:
+        why = F.concat(F.lit("unreadable payload: "), fault["msg"])
+        readable = df.where(F.when(fault.isNull(), True).otherwise(F.raise_error(why).cast("boolean")))
+    else:
+        readable = df.where(fault.isNull())
+    checked = validate(zip_arrays(parse_hourly(readable, text, keep), HOURLY_ARRAYS, keep, strict), WEATHER_FIELDS, keep)
+    if strict:
+        return checked
+    empty = [F.lit(None).cast(checked.schema[c].dataType).alias(c) for c in checked.columns[len(keep) : -1]]
+    return checked.unionByName(df.where(fault.isNotNull()).select(*keep, *empty, F.array(fault).alias("errors")))
 
 
 def flat_record(df: DataFrame, text: str, fields: Sequence[Field], keep: Sequence[str] = ()) -> DataFrame:

@@ -136,6 +136,21 @@ def test_absent_arrays_and_keys(rows):
     assert P.weather_rows(df, "j").count() == 0
 
 
+def test_broken_payloads_are_rejected(rows):
+    arrays = '{"hourly":{"time":%s,"temperature_2m":[],"precipitation_probability":[]}}'
+    broken = ['{"hourly":{"time":["t"', "[1]", '{"hourly":null}', '{"hourly":"x"}', arrays % "null", arrays % '"t"', arrays % "{}", "", None]
+    df = rows("id int, j string", list(enumerate([HOURLY, "{}", '{"hourly":{}}', *broken])))
+    checked = P.weather_rows(df, "j", ["id"], strict=False)
+    assert [r["id"] for r in V.good_rows(checked).collect()] == [0]
+    found = {r["id"]: r["error"][0] for r in V.reject_records(checked, ["id"]).collect() if r["id"]}
+    assert {i: e["input"] for i, e in found.items()} == {i + 3: t for i, t in enumerate(broken)}
+    kinds = ["json_invalid", "model_type", "model_type", "model_type", "list_type", "list_type", "list_type", "json_invalid", "json_invalid"]
+    assert [found[i + 3]["type"] for i in range(len(broken))] == kinds
+    for text in broken:
+        with pytest.raises(Exception, match="unreadable payload"):
+            P.weather_rows(rows("j string", [(text,)]), "j").collect()
+
+
 def test_uneven_arrays(rows):
     uneven = '{"hourly":{"time":["t"],"temperature_2m":[1,2],"precipitation_probability":[3]}}'
     df = rows("j string", [(uneven,), (HOURLY,)])
