@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import re
+
 import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from millrace.llm import language, quality, toxicity
@@ -11,6 +14,7 @@ from millrace.llm.exact_dedup import exact_duplicates
 from millrace.llm.hamming_search import hamming_top_k, sign_codes
 from millrace.llm.near_dedup import near_duplicates
 from millrace.llm.packing import pack
+from millrace.llm.periodic_runs import periodic_runs, run_digest
 from millrace.llm.registry import register, table
 from millrace.llm.substring_dedup import substring_dedup
 from millrace.llm.token_files import token_table
@@ -97,3 +101,33 @@ select query_id, cast(rank as int) as rank, id, cast(distance as int) as distanc
 def op10(spark, sf_dir):
     codes = sign_codes(table(spark, sf_dir, "embeddings"), "embedding", "vec_id")
     return hamming_top_k(codes, codes.where(F.col("id") % 100 == 0))
+
+
+def repeated_tail(text: str, h: int) -> str:
+    """Every word i >= a replaced by word a + (i - a) % p, where h, a hash of the id, sets a and p."""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    n, g = len(words), h // 10
+    if not n:
+        return text
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return " ".join(words[:a] + [words[a + i % p] for i in range(n - a)])
+
+
+def with_repeated_tails(docs):
+    """doc_id and text, where a tenth of the documents, chosen by their ids, has a periodic end."""
+
+    def run(batches):
+        for batch in batches:
+            texts, hashes = batch.column("text").to_pylist(), batch.column("h").to_pylist()
+            edited = [repeated_tail(t or "", h) if h is not None and h % 10 == 0 else t for t, h in zip(texts, hashes)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(edited, pa.string())], names=["doc_id", "text"])
+
+    return docs.select("doc_id", "text", F.crc32(F.col("doc_id").cast("string")).alias("h")).mapInArrow(
+        run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, text string"
+    )
+
+
+@register("op11_periodic_runs")
+def op11(spark, sf_dir):
+    return run_digest(periodic_runs(with_repeated_tails(table(spark, sf_dir, "documents"))))
