@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from millrace.llm import language, quality, toxicity
 from millrace.llm.bpe import round_trip
 from millrace.llm.exact_dedup import exact_duplicates
+from millrace.llm.fingerprints import edited_prints
 from millrace.llm.hamming_search import hamming_top_k, sign_codes
 from millrace.llm.near_dedup import near_duplicates
 from millrace.llm.packing import pack
@@ -18,6 +19,7 @@ from millrace.llm.periodic_runs import periodic_runs, run_digest
 from millrace.llm.registry import register, table
 from millrace.llm.substring_dedup import substring_dedup
 from millrace.llm.token_files import token_table
+from millrace.llm.whitening import fixed_point, whiten
 
 WORD_TOKENIZER = "word_bpe_49k.json"
 BYTE_RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -131,3 +133,18 @@ def with_repeated_tails(docs):
 @register("op11_periodic_runs")
 def op11(spark, sf_dir):
     return run_digest(periodic_runs(with_repeated_tails(table(spark, sf_dir, "documents"))))
+
+
+@register("op12_whitening")
+def op12(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", fixed_point(F.col("embedding"), 64, 1_000_000).alias("x"))
+    rows = whiten(vectors, "x", "vec_id").select("*", F.posexplode(F.arrays_zip("whitened", "explained")).alias("pos", "one"))
+    return rows.select(
+        F.col("id").alias("vec_id"), (F.col("pos") + 1).alias("component"), "n", F.col("deviation").try_cast("long").alias("deviation"),
+        F.col("one.whitened").alias("whitened"), F.col("one.explained").alias("explained"), "identity_error",
+    )
+
+
+@register("op13_fingerprints")
+def op13(spark, sf_dir):
+    return edited_prints(table(spark, sf_dir, "documents"))
