@@ -1,10 +1,12 @@
-"""Exact order statistics and quantiles without gathering a column in one task.
+"""Exact order statistics and quantiles by radix selection.
 
-``percentile`` keeps every distinct value of a group in one buffer. Here a bounded
-digest (``percentile_approx``) only brackets the wanted ranks; one more pass counts what
-lies below each bracket and groups the few values inside it, so the answer is exact.
-Counts of equal values are combined map-side: a value holding a third of the rows is one
-cell. Brackets that would still hold too many values are narrowed by further passes.
+Numbers become 64-bit keys in the same order. One pass counts the rows of each leading 16
+bits; the cell that holds the wanted rank is known from the counts, and the next pass counts
+the following bits of that cell's rows alone. A cell that has only one value left is done,
+so at most four passes settle every rank, whatever the values and however often they repeat.
+
+Counts are combined before the shuffle: a value or a group with a third of the rows is one
+count per task. No task ever sorts more than 65,536 cells for a rank.
 """
 
 from __future__ import annotations
@@ -12,7 +14,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
@@ -20,200 +22,160 @@ from pyspark.sql.window import Window
 from millrace.functions.columns import missing
 from millrace.session import stage
 
-ACCURACY = 10_000  # rank error of a digest is at most n / ACCURACY
-MARGIN = 4 / ACCURACY  # bracket half-width: twice the digest error, and slack for rounding
-WHOLE_RANGE = 20_000  # groups up to this size use [min, max] as their bracket
-GRID = 1_000  # steps of the digest taken inside a bracket when narrowing
-DOUBLE_STEP = 2048  # spacing of doubles near the ends of the bigint range
-CELL_LIMIT = 250_000  # distinct values one task may sort for one rank
+DIGIT = 16  # bits that one pass counts
+CELLS = 1 << DIGIT  # cells that one task may sort for one rank
 
 RankOf = Callable[[Column, int], Column]
 
 
-def _lo(i: int) -> str:
-    return f"_lo{i}"
+def with_order_key(df: DataFrame, number: str, key: str) -> DataFrame:
+    """Add a bigint that is ordered like the numbers and different for different ones.
 
+    For whole numbers it is the number; for doubles the exponent and the fraction of the
+    absolute value as one integer, with the sign of the number. Not defined for NaN.
+    """
+    if isinstance(df.schema[number].dataType, T.IntegralType):
+        return df.withColumn(key, F.col(number).cast("bigint"))
+    size, power, fraction, bits = (f"_{key}_{s}" for s in ("size", "power", "fraction", "bits"))
+    df = df.withColumn(size, F.abs(F.col(number).cast("double")))
+    # the logarithm may be off by a rounding at powers of two; the fraction then leaves [1, 2)
+    df = df.withColumn(power, F.least(F.floor(F.log2(size)), F.lit(1023)).cast("int"))
+    df = df.withColumn(fraction, F.col(size) / F.pow(F.lit(2.0), F.col(power)))
+    small, large = F.col(fraction) < 1, F.col(fraction) >= 2
+    exponent = F.when(small, F.col(power) - 1).when(large, F.col(power) + 1).otherwise(F.col(power))
+    proper = F.when(small, F.col(fraction) * 2).when(large, F.col(fraction) / 2).otherwise(F.col(fraction))
+    normal = (exponent + 1023).cast("bigint") * F.lit(1 << 52) + ((proper - 1) * F.lit(2.0**52)).cast("bigint")
+    below_normal = (F.col(size) * F.lit(2.0**537) * F.lit(2.0**537)).cast("bigint")
+    magnitude = (
+        F.when(F.col(size) == 0, F.lit(0).cast("bigint"))
+        .when(F.col(size) < F.lit(2.0**-1022), below_normal)
+        .when(F.col(size) == F.lit(float("inf")), F.lit(2047 << 52))
+        .otherwise(normal)
+    )
+    df = df.withColumn(bits, magnitude)
+    df = df.withColumn(key, F.when(F.col(number) < 0, -F.col(bits)).otherwise(F.col(bits)))
+    return df.drop(size, power, fraction, bits)
 
-def _hi(i: int) -> str:
-    return f"_hi{i}"
 
+def _counted(rows: DataFrame, by: Sequence[str], digit: Column) -> DataFrame:
+    """Cells (by, _d) with their rows, smallest and greatest value, and the rows up to their end."""
+    cells = rows.groupBy(*by, digit.alias("_d")).agg(
+        F.count("*").alias("_c"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")
+    )
+    upto = Window.partitionBy(*by).orderBy("_d").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return cells.withColumn("_end", F.sum("_c").over(upto))
 
-def _attach(data: DataFrame, by: Sequence[str], brackets: DataFrame | Row, slots: int) -> DataFrame:
-    """Rows with the brackets of their group; literals when there are no groups."""
-    ends = [f(i) for i in range(slots) for f in (_lo, _hi)]
-    if isinstance(brackets, Row):
-        vtype = data.schema["_v"].dataType
-        return data.withColumns({e: F.lit(brackets[e]).cast(vtype) for e in ends})
-    side = brackets.select(*[F.col(b).alias(f"_k_{b}") for b in by], *ends)
-    on = reduce(lambda a, c: a & c, [data[b].eqNullSafe(side[f"_k_{b}"]) for b in by])
-    return data.join(side, on).drop(*[f"_k_{b}" for b in by])
 
+def _settled(cells: DataFrame, by: Sequence[str], below: Column) -> DataFrame:
+    """The cell of each target: its rank in the cell, and the rows below the cell."""
+    start = F.col("_end") - F.col("_c")
+    found = cells.where((F.col("_rank") >= start) & (F.col("_rank") < F.col("_end")))
+    return found.select(
+        *by, "_t", "_n", (F.col("_rank") - start).alias("_rank"), (below + start).alias("_below"), "_c", "_lo", "_hi"
+    )
 
-def _inside(i: int) -> Column:
-    return F.col("_v").between(F.col(_lo(i)), F.col(_hi(i)))
 
+def _open_cells(targets: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Cells with several values that hold targets: their bounds, first key, and bits that the next pass leaves out.
 
-def _keep(df: DataFrame, by: Sequence[str]) -> DataFrame | Row:
-    """Brackets go on as literals (no groups) or as a small staged table."""
-    return stage(df, "brackets") if by else df.first()
+    A cell of at most 65,536 rows is counted value by value, a larger one by its leading bits.
+    """
+    cells = targets.where(F.col("_lo") < F.col("_hi")).select(*by, "_lo", "_hi", "_c").dropDuplicates([*by, "_lo"])
+    cells = with_order_key(with_order_key(cells, "_lo", "_first"), "_hi", "_last")
+    width = F.length(F.bin(F.col("_last") - F.col("_first")))
+    return cells.select(
+        *by, "_lo", "_hi", "_first", F.when(F.col("_c") <= CELLS, 0).otherwise(F.greatest(width - DIGIT, F.lit(0))).alias("_skip")
+    )
 
 
-def _first_brackets(data: DataFrame, by: Sequence[str], probs: Sequence[float]) -> DataFrame:
-    points = [p for q in probs for p in (max(q - MARGIN, 0.0), min(q + MARGIN, 1.0))]
-    digest = data.groupBy(*by).agg(
-        F.count("*").alias("_n"),
-        F.min("_v").alias("_min"),
-        F.max("_v").alias("_max"),
-        F.percentile_approx("_v", points, ACCURACY).alias("_d"),
-    )
-    small = F.col("_n") <= WHOLE_RANGE
-    ends = []
-    for i, q in enumerate(probs):
-        low_end = small | F.lit(q - MARGIN <= 0.0)
-        high_end = small | F.lit(q + MARGIN >= 1.0)
-        lo, hi = _widened(digest, F.col("_d")[2 * i], F.col("_d")[2 * i + 1])
-        ends.append(F.when(low_end, F.col("_min")).otherwise(F.coalesce(lo, "_min")).alias(_lo(i)))
-        ends.append(F.when(high_end, F.col("_max")).otherwise(F.coalesce(hi, "_max")).alias(_hi(i)))
-    return digest.select(*by, "_n", *ends)
-
-
-def _widened(df: DataFrame, lo: Column, hi: Column) -> tuple[Column, Column]:
-    """Digests work in doubles, which round large 64-bit integers: step past that error
-    (null where the step leaves the type, to be replaced by the old end)."""
-    if isinstance(df.schema["_min" if "_min" in df.columns else _lo(0)].dataType, T.LongType):
-        return F.try_subtract(lo, F.lit(DOUBLE_STEP)), F.try_add(hi, F.lit(DOUBLE_STEP))
-    return lo, hi
-
-
-def _narrow(
-    data: DataFrame, by: Sequence[str], brackets: DataFrame | Row, slots: int, rank_of: RankOf
-) -> DataFrame:
-    """Shrink every large bracket to a few grid steps around its rank."""
-    bound = _attach(data, by, brackets, slots)
-    grid = [j / GRID for j in range(GRID + 1)]
-    aggs = [F.count("*").alias("_n")]
-    for i in range(slots):
-        aggs += [
-            F.count_if(F.col("_v") < F.col(_lo(i))).alias(f"_below{i}"),
-            F.count_if(_inside(i)).alias(f"_in{i}"),
-            F.percentile_approx(F.when(_inside(i), F.col("_v")), grid, ACCURACY).alias(f"_d{i}"),
-            F.any_value(_lo(i)).alias(_lo(i)),
-            F.any_value(_hi(i)).alias(_hi(i)),
-        ]
-    out = bound.groupBy(*by).agg(*aggs)
-    cols = [*by, "_n"]
-    for i in range(slots):
-        step = F.floor(
-            (rank_of(F.col("_n"), i) - F.col(f"_below{i}")) / F.col(f"_in{i}") * GRID
-        ).cast("int")
-        big = F.col(f"_in{i}") > WHOLE_RANGE
-        d = F.col(f"_d{i}")
-        lo, hi = _widened(out, F.get(d, step - 3), F.get(d, step + 4))
-        old_lo, old_hi = F.col(_lo(i)), F.col(_hi(i))
-        cols += [
-            F.when(big & (step - 3 > 0), F.greatest(lo, old_lo)).otherwise(old_lo).alias(_lo(i)),
-            F.when(big & (step + 4 < GRID), F.least(hi, old_hi)).otherwise(old_hi).alias(_hi(i)),
-            F.col(f"_in{i}"),
-        ]
-    return out.select(*cols)
+def _inside(data: DataFrame, by: Sequence[str], cells: DataFrame) -> DataFrame:
+    """Rows of the open cells, with the cell's first value, first key and bits to leave out.
+
+    Without groups the bounds are literals, which reach the file scan; with groups they are a
+    staged table with one row per group and cell.
+    """
+    names = ["_from", "_first", "_skip"]
+    if not by:
+        kind = data.schema["_v"].dataType
+        bounds = [(F.lit(r["_lo"]).cast(kind), F.lit(r["_hi"]).cast(kind), r) for r in cells.collect()]
+        within = [F.col("_v").between(lo, hi) for lo, hi, _ in bounds]
+        # a row lies in one cell at most
+        pick = lambda values: F.coalesce(*[F.when(w, v) for w, v in zip(within, values)])
+        return data.where(reduce(lambda a, b: a | b, within)).select(
+            "_v",
+            pick([lo for lo, _, _ in bounds]).alias("_from"),
+            pick([F.lit(r["_first"]).cast("bigint") for _, _, r in bounds]).alias("_first"),
+            pick([F.lit(r["_skip"]).cast("int") for _, _, r in bounds]).alias("_skip"),
+        )
+    side = cells.select(*[F.col(b).alias(f"_k_{b}") for b in by], F.col("_lo").alias("_from"), F.col("_hi").alias("_to"), *names[1:])
+    on = reduce(lambda a, c: a & c, [data[b].eqNullSafe(side[f"_k_{b}"]) for b in by])
+    return data.join(side, on & F.col("_v").between(F.col("_from"), F.col("_to"))).select(*by, "_v", *names)
 
 
-def order_statistics(
-    df: DataFrame,
-    value: str,
-    probs: Sequence[float],
-    rank_of: RankOf,
-    by: Sequence[str] = (),
-    cell_limit: int = CELL_LIMIT,
-) -> DataFrame:
+def order_statistics(df: DataFrame, value: str, slots: int, rank_of: RankOf, by: Sequence[str] = ()) -> DataFrame:
     """Values at given ranks, per group.
 
-    ``probs[i]`` says roughly where slot ``i`` lies; ``rank_of(n, i)`` gives its exact
-    0-based rank among the ``n`` non-missing values. The result has the keys, ``n``, and
-    for each slot the value ``at{i}``, the value one rank up ``next{i}`` (the same at the
-    top end), and the numbers of rows ``below{i}`` and ``equal{i}`` to the value. Null
-    keys form a group of their own.
+    ``rank_of(n, i)`` gives the 0-based rank of slot ``i`` among the ``n`` non-missing
+    values. The result has the keys, ``n``, and for each slot the value ``at{i}``, the value
+    one rank up ``next{i}`` (the same at the top end), and the numbers of rows ``below{i}`` and
+    ``equal{i}`` to the value. Null keys form a group of their own; a group without values has no
+    row. Without groups there is one row, of ``n`` 0 and nulls where there are no values.
     """
-    slots = len(probs)
     by = list(by)
+    spark = df.sparkSession
     v = F.col(value)
-    if isinstance(df.schema[value].dataType, T.DecimalType):
+    if not isinstance(df.schema[value].dataType, T.IntegralType):
         v = v.cast("double")
     data = df.where(~missing(df, value)).select(*by, v.alias("_v"))
-    brackets = _keep(_first_brackets(data, by, probs), by)
-    largest = brackets["_n"] if isinstance(brackets, Row) else brackets.agg(F.max("_n")).first()[0]
-    expected = 0 if (largest or 0) <= WHOLE_RANGE else largest * 2 * (MARGIN + 1 / ACCURACY)
-    while expected > cell_limit:
-        brackets = _keep(_narrow(data, by, brackets, slots, rank_of), by)
-        if isinstance(brackets, Row):
-            held = max(brackets[f"_in{i}"] for i in range(slots))
-        else:
-            held = brackets.agg(F.max(F.greatest(*[F.col(f"_in{i}") for i in range(slots)], F.lit(0)))).first()[0]
-        shrunk = held * 10 / GRID
-        if shrunk >= expected:
-            break  # only ties are left, and ties share a cell
-        expected = shrunk
-
-    bound = _attach(data, by, brackets, slots)
-    any_inside = reduce(lambda a, b: a | b, [_inside(i) for i in range(slots)])
-    cells = bound.groupBy(*by, F.when(any_inside, F.col("_v")).alias("_cell")).agg(
-        F.count("*").alias("_c"),
-        *[F.count_if(F.col("_v") < F.col(_lo(i))).alias(f"_below{i}") for i in range(slots)],
-        *[F.count_if(_inside(i)).alias(f"_in{i}") for i in range(slots)],
-    )
-    # One task per group sorts only the cells inside its brackets, a bounded number.
-    group = Window.partitionBy(*by)
-    upto = group.orderBy(F.col("_cell").asc_nulls_first()).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    ranked = cells.withColumns(
-        {
-            "_n": F.sum("_c").over(group),
-            **{f"_base{i}": F.sum(f"_below{i}").over(group) for i in range(slots)},
-            **{f"_run{i}": F.sum(f"_in{i}").over(upto) for i in range(slots)},
-        }
-    )
+
+    cells = _counted(with_order_key(data, "_v", "_k"), by, F.shiftright("_k", 64 - DIGIT))
+    cells = cells.withColumn("_n", F.sum("_c").over(Window.partitionBy(*by)))
+    ranks = [rank_of(F.col("_n"), i).cast("bigint") for i in range(slots)]
+    wanted = [r for rank in ranks for r in (rank, F.least(rank + 1, F.col("_n") - 1))]
+    targets = cells.select("*", F.posexplode(F.array(*wanted)).alias("_t", "_rank"))
+    targets = _settled(targets, by, F.lit(0).cast("bigint"))
+    done: list[DataFrame] = []
+    while True:
+        # a few rows per group, needed by several readers
+        targets = _kept(targets, by)
+        done.append(targets.where(F.col("_lo") == F.col("_hi")))
+        open_cells = _kept(_open_cells(targets, by), by)
+        if open_cells.isEmpty():
+            break
+        rows = with_order_key(_inside(data, by, open_cells), "_v", "_k")
+        digit = F.call_function("shiftrightunsigned", F.col("_k") - F.col("_first"), F.col("_skip"))
+        cells = _counted(rows, [*by, "_from"], digit)
+        held = targets.where(F.col("_lo") < F.col("_hi")).select(
+            *[F.col(b).alias(f"_k_{b}") for b in by], "_t", "_n", "_rank", "_below", F.col("_lo").alias("_cell")
+        )
+        on = reduce(lambda a, c: a & c, [cells[b].eqNullSafe(held[f"_k_{b}"]) for b in by], cells["_from"] == held["_cell"])
+        targets = _settled(cells.join(held, on), by, F.col("_below"))
+
+    pick = lambda t, c: F.max(F.when(F.col("_t") == t, F.col(c)))
     outs = []
     for i in range(slots):
-        end = F.col(f"_base{i}") + F.col(f"_run{i}")
-        start = end - F.col(f"_in{i}")
-        rank = rank_of(F.col("_n"), i)
-        succ = F.least(rank + 1, F.col("_n") - 1)
-        here = (rank >= start) & (rank < end)
         outs += [
-            F.max(F.when(here, F.col("_cell"))).alias(f"at{i}"),
-            F.max(F.when((succ >= start) & (succ < end), F.col("_cell"))).alias(f"next{i}"),
-            F.max(F.when(here, start)).alias(f"below{i}"),
-            F.max(F.when(here, F.col(f"_in{i}"))).alias(f"equal{i}"),
+            pick(2 * i, "_lo").alias(f"at{i}"), pick(2 * i + 1, "_lo").alias(f"next{i}"),
+            pick(2 * i, "_below").alias(f"below{i}"), pick(2 * i, "_c").alias(f"equal{i}"),
         ]
-    result = ranked.groupBy(*by).agg(F.max("_n").alias("n"), *outs)
-    # A rank outside its bracket would contradict the digest's error bound.
-    lost = F.raise_error(F.lit("order statistic outside its bracket"))
-    return result.withColumns(
-        {
-            f"{name}{i}": F.when(F.col("n") > 0, F.coalesce(F.col(f"{name}{i}"), lost))
-            for i in range(slots)
-            for name in ("at", "next")
-        }
-    )
+    found = reduce(DataFrame.unionByName, done).groupBy(*by)
+    return _kept(found.agg(F.coalesce(F.max("_n"), F.lit(0).cast("bigint")).alias("n"), *outs), by)
 
 
-def exact_quantiles(
-    df: DataFrame,
-    value: str,
-    probs: dict[str, float],
-    by: Sequence[str] = (),
-    cell_limit: int = CELL_LIMIT,
-) -> DataFrame:
+def _kept(small: DataFrame, by: Sequence[str]) -> DataFrame:
+    """A table of a few rows per group: staged, or as literal rows where there is one group."""
+    return stage(small, "targets") if by else small.sparkSession.createDataFrame(small.collect(), small.schema)
+
+
+def exact_quantiles(df: DataFrame, value: str, probs: dict[str, float], by: Sequence[str] = ()) -> DataFrame:
     """Linearly interpolated quantiles, one column per name in ``probs``, and ``n``."""
     ps = list(probs.values())
-    stats = order_statistics(
-        df, value, ps, lambda n, i: F.floor((n - 1) * F.lit(float(ps[i]))), by, cell_limit
-    )
+    stats = order_statistics(df, value, len(ps), lambda n, i: F.floor((n - 1) * F.lit(float(ps[i]))), by)
     cols = []
     for i, name in enumerate(probs):
         pos = (F.col("n") - 1) * F.lit(float(ps[i]))
         frac = pos - F.floor(pos)
         at, nxt = F.col(f"at{i}").cast("double"), F.col(f"next{i}").cast("double")
-        cols.append((at * (1 - frac) + nxt * frac).alias(name))
+        # equal neighbours need no arithmetic, which infinite ones do not allow
+        cols.append(F.when(at == nxt, at).otherwise(at * (1 - frac) + nxt * frac).alias(name))
     return stats.select(*by, "n", *cols)

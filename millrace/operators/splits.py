@@ -77,7 +77,7 @@ def _split(df: DataFrame, label: str, fraction: float, seed: int) -> tuple[DataF
     cuts = order_statistics(
         hashed.where(_per_class(label, take) > 0),
         "_h",
-        [fraction],
+        1,
         lambda n, _: F.least(_per_class(label, take), n) - 1,
         by=[label],
     )
