@@ -1,52 +1,42 @@
 """Correlation, variance inflation and collinear-feature removal.
 
-One aggregation reads the table; everything after works on the k x k matrix.
+One scan gives the co-moments of all pairs of columns; everything after works on the k x k
+matrix. The plan does not grow with the number of columns.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import combinations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from millrace.functions.columns import complete, missing
+from millrace.functions.columns import complete
+from millrace.operators.comoments import comoments
 
 
-def _pair(df: DataFrame, x: str, y: str) -> Column:
-    """Pearson r over rows where both are present; null when either is constant there."""
-    both = ~missing(df, x) & ~missing(df, y)
-    cx, cy = (F.when(both, F.col(c).cast("double")) for c in (x, y))
-    return F.try_divide(F.covar_pop(cx, cy), F.stddev_pop(cx) * F.stddev_pop(cy))
-
+def correlation_long(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The full matrix as ``x, y, r``, each pair over the rows where both are present.
 
-def correlation_row(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """One row with ``r_{i}_{j}`` for every pair i < j, in a single aggregation."""
-    return df.agg(
-        *[_pair(df, columns[i], columns[j]).alias(f"r_{i}_{j}") for i, j in combinations(range(len(columns)), 2)],
-        *[F.stddev_pop(F.when(~missing(df, c), F.col(c).cast("double"))).alias(f"s_{i}") for i, c in enumerate(columns)],
-    )
+    ``r`` is null where one of the two is constant there; so is the diagonal of a constant column.
+    """
+    return _long(df, columns, comoments(df, columns).correlation())
 
 
-def correlation_long(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """The full matrix as ``x, y, r``; the diagonal of a constant column is null."""
-    entries = []
-    for i, x in enumerate(columns):
-        for j, y in enumerate(columns):
-            r = F.when(F.col(f"s_{i}") > 0, 1.0) if i == j else F.col(f"r_{min(i, j)}_{max(i, j)}")
-            entries.append(F.struct(F.lit(x).alias("x"), F.lit(y).alias("y"), r.alias("r")))
-    return correlation_row(df, columns).select(F.inline(F.array(*entries)))
+def _long(df: DataFrame, columns: Sequence[str], corr: np.ndarray) -> DataFrame:
+    rows = [
+        (x, y, None if np.isnan(corr[i, j]) else float(corr[i, j]))
+        for i, x in enumerate(columns)
+        for j, y in enumerate(columns)
+    ]
+    return df.sparkSession.createDataFrame(rows, "x string, y string, r double")
 
 
 def _matrix(df: DataFrame, columns: Sequence[str]) -> np.ndarray:
-    row = correlation_row(df, columns).first()
-    out = np.eye(len(columns))
-    for i, j in combinations(range(len(columns)), 2):
-        r = row[f"r_{i}_{j}"]
-        out[i, j] = out[j, i] = np.nan if r is None else r
-    return out
+    """The correlation matrix; a constant column has 1 on the diagonal only."""
+    corr = comoments(df, columns).correlation()
+    np.fill_diagonal(corr, 1.0)
+    return corr
 
 
 def _vif_of(corr: np.ndarray) -> np.ndarray:
