@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from millrace.functions.columns import DECIMALS, mean
 from millrace.operators.cleaning import drop_missing
-from millrace.operators.metrics import accuracy, r_squared
+from millrace.operators.metrics import accuracy
+from millrace.operators.subsets import Design, r_squared_on
 
 
 def label_above_mean(df: DataFrame, value: str, label: str, scale: int | None = DECIMALS) -> DataFrame:
@@ -136,10 +137,17 @@ def compare_feature_sets(
 def compare_regressions(
     train: DataFrame, test: DataFrame, target: str, sets: dict[str, tuple[Sequence[str], Sequence[str]]]
 ) -> DataFrame:
-    """Test R squared of a linear regression per feature set."""
+    """Test R squared of a linear regression per (numeric, categorical) feature set.
+
+    Each side is scanned once for all sets together. Levels are those of ``train``; others
+    count as the first one. Rows with a missing number or target are left out.
+    """
+    numeric = list(dict.fromkeys(c for n, _ in sets.values() for c in n))
+    categorical = list(dict.fromkeys(c for _, cs in sets.values() for c in cs))
+    design = Design.of(train, target, numeric, categorical)
+    fitted, judged = design.moments(train), design.moments(test)
     rows = []
-    for name, (numeric, categorical) in sets.items():
-        model = linear_pipeline(train, numeric, categorical, target).fit(train)
-        scored = model.transform(test)
-        rows.append((name, r_squared(scored, target, "prediction").first()[0]))
+    for name, (n, cs) in sets.items():
+        columns = [k for c in (*n, *cs) for k in design.parts[c]]
+        rows.append((name, r_squared_on(fitted, judged, columns)))
     return train.sparkSession.createDataFrame(rows, "feature_set string, r2 double")
