@@ -79,7 +79,12 @@ def compare_groups(df: DataFrame, key: str, value: str, scale: int | None = DECI
 
 
 def crosstab(df: DataFrame, a: str, b: str) -> DataFrame:
-    """Contingency counts in long form; rows with a null in either column are left out."""
+    """Contingency counts ``n`` in long form; rows with a null in either column are left out.
+
+    The name ``n`` is taken; ``association.pair_counts`` counts columns of any name.
+    """
+    if "n" in (a.lower(), b.lower()):
+        raise ValueError("a column named n would clash with the counts; use pair_counts")
     return (
         df.where(F.col(a).isNotNull() & F.col(b).isNotNull())
         .groupBy(a, b)

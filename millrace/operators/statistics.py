@@ -10,8 +10,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.columns import missing
 from millrace.functions.distributions import chi2_upper, t_two_sided
-from millrace.operators.aggregates import crosstab
-from millrace.session import stage
+from millrace.operators.association import chi2_of_pairs, cramers_v_matrix
 
 ALPHA = 0.05
 
@@ -53,69 +52,22 @@ def ttest(df: DataFrame, group: str, a: str, b: str, value: str) -> DataFrame:
 
 
 def chi2_statistic(df: DataFrame, a: str, b: str) -> DataFrame:
-    """One row: chi-square statistic of independence, ``dof, n, n_rows, n_cols``.
-
-    Only cells that occur are read. An empty cell adds exactly its expected count, and
-    expected counts add up to ``n``, so the full row-by-column grid is never built.
-    """
-    cells = stage(crosstab(df, a, b), "crosstab")  # one scan of the table; counts from here on
-    rows = cells.groupBy(F.col(a).alias("_a")).agg(F.sum("n").alias("row_n"))
-    cols = cells.groupBy(F.col(b).alias("_b")).agg(F.sum("n").alias("col_n"))
-    margins = rows.agg(
-        F.sum("row_n").alias("n"), F.count("*").alias("n_rows"), F.sum(1.0 / F.col("row_n")).alias("inv_rows")
-    )
-    col_margins = cols.agg(F.count("*").alias("n_cols"), F.sum(1.0 / F.col("col_n")).alias("inv_cols"))
-    n = margins.select("n").scalar()
-    o = F.col("n").cast("double")
-    e = F.col("row_n").cast("double") * F.col("col_n") / n
-    seen = (
-        cells.join(rows, F.col(a) == F.col("_a"))
-        .join(cols, F.col(b) == F.col("_b"))
-        .agg(
-            F.count("*").alias("n_cells"),
-            F.sum((o - e) * (o - e) / e).alias("chi2_seen"),
-            F.sum(e).alias("e_seen"),
-            F.max(F.abs(o - e)).alias("shift"),
-        )
-    )
-    size = F.struct(*[margins.select(c).scalar().alias(c) for c in ("n", "n_rows", "inv_rows")])
-    col_size = F.struct(*[col_margins.select(c).scalar().alias(c) for c in ("n_cols", "inv_cols")])
-    full = seen.select("*", size.alias("r"), col_size.alias("c"))
-    dof = (F.col("r.n_rows") - 1) * (F.col("c.n_cols") - 1)
-    unseen = F.when(
-        F.col("n_cells") < F.col("r.n_rows") * F.col("c.n_cols"), F.col("r.n") - F.col("e_seen")
-    ).otherwise(0.0)
-    # In a 2 x 2 table all four cells are off by the same amount; the continuity
-    # correction takes up to 0.5 of it, and sum(1/e) factors into the margins.
-    reduced = F.col("shift") - F.least(F.lit(0.5), F.col("shift"))
-    corrected = reduced * reduced * F.col("r.n") * F.col("r.inv_rows") * F.col("c.inv_cols")
-    return full.select(
-        F.when(dof == 0, 0.0).when(dof == 1, corrected).otherwise(F.col("chi2_seen") + unseen).alias("chi2"),
-        dof.alias("dof"),
-        F.col("r.n").alias("n"),
-        F.col("r.n_rows").alias("n_rows"),
-        F.col("c.n_cols").alias("n_cols"),
-    )
+    """At most one row: chi-square statistic of independence, ``dof, n, n_rows, n_cols``."""
+    return chi2_of_pairs(df, [(a, b)]).drop("x", "y")
 
 
 def chi2_test(df: DataFrame, a: str, b: str) -> DataFrame:
     """The statistic together with its p-value."""
     r = chi2_statistic(df, a, b).first()
-    if not r["n"]:
+    if r is None:
         raise ValueError(f"no rows with both {a} and {b}")
     row = (r["chi2"], chi2_upper(r["chi2"], r["dof"]), r["dof"], r["n"], r["n_rows"], r["n_cols"])
     return df.sparkSession.createDataFrame([row], CHI2_SCHEMA)
 
 
 def cramers_v(df: DataFrame, a: str, b: str) -> DataFrame:
-    """One row: association of two categorical columns between 0 and 1 (no correction)."""
-    least = F.least(F.col("n_rows"), F.col("n_cols")) - 1
-    return chi2_statistic(df, a, b).select(
-        F.lit(a).alias("x"),
-        F.lit(b).alias("y"),
-        "chi2",
-        F.sqrt(F.try_divide(F.col("chi2"), (F.col("n") * least).cast("double"))).alias("cramers_v"),
-    )
+    """One row: association of two categorical columns between 0 and 1 (no correction); none without rows."""
+    return cramers_v_matrix(df, [a, b]).select("x", "y", "chi2", "cramers_v")
 
 
 def verdict(p: Column, significant: str, not_significant: str, alpha: float = ALPHA) -> Column:
