@@ -34,6 +34,7 @@ MESSAGES = {
     "json_invalid": "Invalid JSON",
     "model_type": "Input should be an object",
     "list_type": "Input should be a valid list",
+    "uneven_arrays": "Parallel arrays should have equal lengths",
 }
 
 

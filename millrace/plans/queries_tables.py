@@ -142,14 +142,28 @@ def src8_uneven(spark, sf):
     return payloads.uneven_arrays(parsed, payloads.HOURLY_ARRAYS, ["event_id"])
 
 
-@query("src8_broken_payloads", """select case event_id%7 when 1 then 'json_invalid' when 2 then 'model_type' else 'list_type' end as fault,
-  count(*) as n from events where event_id%7 in (1,2,3) group by all""")
+@query("src8_merged_positions", """select event_id, cast(i as int) as position, event_id||'-'||i as time_str,
+  event_id%97=5 and i=2 as cut from events, (select unnest([0,1,2]) as i) where event_id%89<>3""")
+def src8_positions(spark, sf):
+    """Every position of every payload; those after the end of an array say which one it is."""
+    parsed = payloads.parse_arrays(weather_payloads(spark, sf), "value", keep=["event_id"])
+    rows = payloads.merged_positions(parsed, {n: n for n in payloads.HOURLY_ARRAYS}, ["event_id"])
+    cut = F.array_contains("absent", "precip_prob") & (F.size("absent") == 1) & F.col("precip_prob").isNull()
+    return rows.select("event_id", "position", F.try_variant_get("time", "$", "string").alias("time_str"), cut.alias("cut"))
+
+
+@query("src8_broken_payloads", """select case when event_id%7=1 then 'json_invalid' when event_id%7=2 then 'model_type'
+  when event_id%7=3 then 'list_type' else 'uneven_arrays' end as fault, count(*) as n,
+  cast(sum(case when event_id%7 not in (1,2,3) then 2 else 0 end) as bigint) as short_sizes
+  from events where event_id%7 in (1,2,3) or (event_id%97=5 and event_id%89<>3) group by 1""")
 def src8_broken(spark, sf):
     e, v = F.col("event_id"), F.col("value")
     broken = F.when(e % 7 == 1, F.substring(v, 1, 12)).when(e % 7 == 2, F.lit('{"hourly":null}')).when(e % 7 == 3, F.lit('{"hourly":{"time":"t"}}'))
     landed = weather_payloads(spark, sf).withColumn("value", F.coalesce(broken, v))
     rejects = payloads.weather_rows(landed, "value", ["event_id"], strict=False).where("row is null")
-    return rejects.select(F.col("errors")[0]["type"].alias("fault")).groupBy("fault").agg(F.count(F.lit(1)).alias("n"))
+    error = F.col("errors")[0]
+    short = F.coalesce(error["ctx"]["precip_prob"].cast("bigint"), F.lit(0).cast("bigint"))
+    return rejects.groupBy(error["type"].alias("fault")).agg(F.count(F.lit(1)).alias("n"), F.sum(short).alias("short_sizes"))
 
 
 @query("src9_flat_record", "select event_id, cast(json_extract(props,'$.k') as double) as seq from events")

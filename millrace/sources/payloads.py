@@ -41,25 +41,43 @@ def _or_empty(path: str) -> Column:
     return F.coalesce(F.col(path), F.array())
 
 
+def _sizes(arrays: dict[str, str]) -> list[Column]:
+    return [F.size(_or_empty(p)) for p in arrays.values()]
+
+
 def _sizes_equal(arrays: dict[str, str]) -> Column:
-    sizes = [F.size(_or_empty(p)) for p in arrays.values()]
+    sizes = _sizes(arrays)
     return reduce(lambda a, b: a & b, [s == sizes[0] for s in sizes[1:]], F.lit(True))
 
 
+def _zipped(arrays: dict[str, str]) -> Column:
+    """Structs of the values at each position, up to the longest array."""
+    return F.arrays_zip(*[_or_empty(p).alias(n) for n, p in arrays.items()])
+
+
 def zip_arrays(df: DataFrame, arrays: dict[str, str], keep: Sequence[str] = (), strict: bool = True) -> DataFrame:
     """One row per position of parallel arrays (name of the new column -> array path).
 
     ``arrays_zip`` would fill short arrays with nulls, so lengths are compared first.
-    Unequal lengths stop the job, or with ``strict=False`` the payload is skipped here
-    and found by ``uneven_arrays``.
+    Unequal lengths stop the job, or with ``strict=False`` the payload is skipped here:
+    ``uneven_arrays`` lists such payloads and ``merged_positions`` keeps their values.
     """
-    zipped = F.arrays_zip(*[_or_empty(p).alias(n) for n, p in arrays.items()])
     if strict:
-        checked = F.when(_sizes_equal(arrays), zipped).otherwise(
-            F.raise_error(F.lit("parallel arrays differ in length"))
-        )
+        stop = F.raise_error(F.lit("parallel arrays differ in length"))
+        checked = F.when(_sizes_equal(arrays), _zipped(arrays)).otherwise(stop)
         return df.select(*keep, F.inline(checked)).toDF(*keep, *arrays)
-    return df.where(_sizes_equal(arrays)).select(*keep, F.inline(zipped)).toDF(*keep, *arrays)
+    return df.where(_sizes_equal(arrays)).select(*keep, F.inline(_zipped(arrays))).toDF(*keep, *arrays)
+
+
+def merged_positions(df: DataFrame, arrays: dict[str, str], keep: Sequence[str] = ()) -> DataFrame:
+    """One row per position up to the longest array: ``keep``, ``position``, the values, and ``absent``.
+
+    ``absent`` names the arrays that end before the position, which tells a missing value from
+    a null in the array; it is empty in whole rows. Nothing is dropped.
+    """
+    sized = df.select(*keep, F.array(*_sizes(arrays)).alias("_sizes"), F.posexplode(_zipped(arrays)).alias("position", "_v"))
+    short = F.array_compact(F.array(*[F.when(F.col("_sizes")[i] <= F.col("position"), F.lit(n)) for i, n in enumerate(arrays)]))
+    return sized.select(*keep, "position", *[F.col(f"_v.{n}").alias(n) for n in arrays], short.alias("absent"))
 
 
 def uneven_arrays(df: DataFrame, arrays: dict[str, str], keep: Sequence[str] = ()) -> DataFrame:
@@ -74,36 +92,57 @@ def parse_hourly(df: DataFrame, text: str, keep: Sequence[str] = ()) -> DataFram
     return df.select(*keep, F.from_json(text, HOURLY_SCHEMA).alias("_p")).select(*keep, "_p.*")
 
 
-def payload_fault(text: str, arrays: dict[str, str] = HOURLY_ARRAYS) -> Column:
-    """Why a payload cannot be read (an error record), or null. Only an absent key is an empty list; JSON
-    that does not parse, a null text, and a null or any other type for an object or a list are faults."""
-    doc, shown = F.try_parse_json(F.col(text)), F.col(text)
-    fault = F.when(doc.isNull(), error_of("json_invalid", None, shown))
-    fault = fault.when(~F.schema_of_variant(doc).startswith("OBJECT"), error_of("model_type", None, shown))
+def parse_arrays(df: DataFrame, text: str, arrays: dict[str, str] = HOURLY_ARRAYS, keep: Sequence[str] = ()) -> DataFrame:
+    """The parallel arrays of each payload by their new names, and why a payload has none.
+
+    The text is parsed once. ``fault`` is an error record or null: JSON that does not parse, a
+    null text, a null or any other type for an object or a list, or arrays of unequal length,
+    whose sizes are in its ``ctx``. Only an absent key is an empty list.
+    """
     parents = sorted({p.rsplit(".", 1)[0] for p in arrays.values() if "." in p})
-    for path, kind, start in [(p, "model_type", "OBJECT") for p in parents] + [(p, "list_type", "ARRAY") for p in arrays.values()]:
-        found = F.try_variant_get(doc, f"$.{path}", "variant")
-        fault = fault.when(~F.schema_of_variant(found).startswith(start), error_of(kind, path, shown))
-    return fault
+    places = [*parents, *arrays.values()]
+    parsed = df.select(*keep, F.col(text).alias("_text"), F.try_parse_json(F.col(text)).alias("_doc"))
+    found = parsed.select(
+        *keep, "_text", F.schema_of_variant("_doc").alias("_type"),
+        *[F.try_variant_get("_doc", f"$.{p}", "variant").alias(f"_at{i}") for i, p in enumerate(places)],
+    )
+    shown = F.col("_text")
+    fault = F.when(F.col("_type").isNull(), error_of("json_invalid", None, shown))
+    fault = fault.when(~F.col("_type").startswith("OBJECT"), error_of("model_type", None, shown))
+    for i, path in enumerate(places):
+        kind, start = ("model_type", "OBJECT") if path in parents else ("list_type", "ARRAY")
+        fault = fault.when(~F.schema_of_variant(f"_at{i}").startswith(start), error_of(kind, path, shown))
+    lists = {n: F.try_variant_get(f"_at{len(parents) + i}", "$", "array<variant>") for i, n in enumerate(arrays)}
+    read = found.select(*keep, "_text", fault.alias("_fault"), *[c.alias(n) for n, c in lists.items()])
+    sizes = F.create_map(*[x for n in arrays for x in (F.lit(n), F.size(_or_empty(n)).cast("string"))])
+    uneven = error_of("uneven_arrays", None, shown).withField("ctx", sizes)
+    own = {n: n for n in arrays}
+    return read.select(*keep, *arrays, F.when(F.col("_fault").isNull() & ~_sizes_equal(own), uneven).otherwise(F.col("_fault")).alias("fault"))
 
 
 def weather_rows(df: DataFrame, text: str, keep: Sequence[str] = (), strict: bool = True) -> DataFrame:
-    """Validated weather rows (with ``row`` and ``errors``) of hourly payloads.
+    """Validated weather rows (with ``row`` and ``errors``) of hourly payloads, in one pass.
 
-    A payload that cannot be read stops the job, or with ``strict=False`` becomes one
-    row without values whose error names the fault and holds the text.
+    A payload that cannot be read, or whose arrays differ in length, stops the job, or with
+    ``strict=False`` becomes one row without values whose error names the fault and holds the
+    text. No payload is lost.
     """
-    fault = payload_fault(text)
-    if strict:
-        why = F.concat(F.lit("unreadable payload: "), fault["msg"])
-        readable = df.where(F.when(fault.isNull(), True).otherwise(F.raise_error(why).cast("boolean")))
-    else:
-        readable = df.where(fault.isNull())
-    checked = validate(zip_arrays(parse_hourly(readable, text, keep), HOURLY_ARRAYS, keep, strict), WEATHER_FIELDS, keep)
+    parsed = parse_arrays(df, text, HOURLY_ARRAYS, keep)
+    names = {n: n for n in HOURLY_ARRAYS}
     if strict:
-        return checked
-    empty = [F.lit(None).cast(checked.schema[c].dataType).alias(c) for c in checked.columns[len(keep) : -1]]
-    return checked.unionByName(df.where(fault.isNotNull()).select(*keep, *empty, F.array(fault).alias("errors")))
+        why = F.when(F.col("fault")["type"] == "uneven_arrays", F.lit("parallel arrays differ in length"))
+        why = why.otherwise(F.concat(F.lit("unreadable payload: "), F.col("fault")["msg"]))
+        parsed = parsed.where(F.when(F.col("fault").isNull(), True).otherwise(F.raise_error(why).cast("boolean")))
+        return validate(zip_arrays(parsed, names, keep), WEATHER_FIELDS, keep)
+    values = _zipped(names)
+    # a payload with a fault has one position without values, which carries the fault
+    nothing = F.array(F.struct(*[F.lit(None).cast("variant").alias(n) for n in names]))
+    positions = F.when(F.col("fault").isNull(), values).otherwise(nothing)
+    rows = parsed.select(*keep, F.col("fault").alias("_fault"), F.inline(positions)).toDF(*keep, "_fault", *names)
+    checked = validate(rows, WEATHER_FIELDS, [*keep, "_fault"])
+    fault = F.col("_fault")
+    errors = F.when(fault.isNull(), F.col("errors")).otherwise(F.array(fault))
+    return checked.withColumns({"row": F.when(fault.isNull(), F.col("row")), "errors": errors}).drop("_fault")
 
 
 def flat_record(df: DataFrame, text: str, fields: Sequence[Field], keep: Sequence[str] = ()) -> DataFrame:

@@ -156,11 +156,28 @@ def test_uneven_arrays(rows):
     df = rows("j string", [(uneven,), (HOURLY,)])
     with pytest.raises(Exception, match="differ in length"):
         P.weather_rows(df, "j").collect()
-    assert P.weather_rows(df, "j", strict=False).count() == 2
+    checked = P.weather_rows(df, "j", strict=False)
+    assert V.good_rows(checked).count() == 1
+    (error,) = [r["error"][0] for r in V.reject_records(checked).collect() if r["row"] is None]
+    assert (error["type"], error["input"], error["ctx"]) == ("uneven_arrays", uneven, {"time": "1", "temp": "2", "precip_prob": "1"})
     parsed = P.parse_hourly(df, "j")
     assert [tuple(r) for r in P.uneven_arrays(parsed, P.HOURLY_ARRAYS).collect()] == [(1, 2, 1)]
 
 
+def test_positions_keep_what_uneven_arrays_hold(rows):
+    uneven = '{"hourly":{"time":["t",null],"temperature_2m":[1,2,3],"precipitation_probability":[]}}'
+    parsed = P.parse_arrays(rows("id int, j string", [(1, uneven), (2, "{}"), (3, HOURLY), (4, "[")]), "j", keep=["id"])
+    assert {r["id"]: r["fault"] and r["fault"]["type"] for r in parsed.collect()} == {1: "uneven_arrays", 2: None, 3: None, 4: "json_invalid"}
+    found = P.merged_positions(parsed, {n: n for n in P.HOURLY_ARRAYS}, ["id"])
+    got = [(r["id"], r["position"], r["absent"]) for r in found.orderBy("id", "position").collect()]
+    assert got == [(1, 0, ["precip_prob"]), (1, 1, ["precip_prob"]), (1, 2, ["time", "precip_prob"]), (3, 0, []), (3, 1, [])]
+
+
+def test_a_payload_is_parsed_once(rows):
+    plan = P.weather_rows(rows("id int, j string", [(1, HOURLY)]), "j", ["id"], strict=False)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("parseJson") + plan.count("parse_json") == 1 and "from_json" not in plan.lower()
+
+
 def test_country_and_address_records(rows):
     code = P.flat_record(rows("j string", [('{"name":"Korea","alpha2Code":"KOR"}',)]), "j", P.COUNTRY_FIELDS)
     assert [e["type"] for e in code.first()["errors"]] == ["string_too_long"]
