@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,7 +14,9 @@ from millrace.operators.aggregates import named_agg
 from millrace.operators.quantiles import exact_quantiles
 from millrace.session import stage
 
-FINE_STEPS = 64  # fine bins per bandwidth in a density
+BOXES = 4  # boxes per bandwidth in a density
+TERMS = 11  # moments kept of each box: distances are at most 1/8, and what follows is below 1e-13 of the kernel
+REACH = 8.2  # bandwidths after which a kernel is below 1e-14 of its height
 
 
 @dataclass(frozen=True)
@@ -71,9 +74,11 @@ def histogram(df: DataFrame, value: str, bins: Bins | None = None) -> DataFrame:
 def density(df: DataFrame, value: str, points: int = 200) -> DataFrame:
     """Gaussian density curve: ``point, x, density`` between the minimum and maximum.
 
-    Rows are first reduced to fine bins that keep count, mean and variance; each bin then
-    adds its kernel, corrected for its inner variance, to every grid point. The work per
-    row does not depend on the grid, and the error is far below what a chart shows.
+    A fast Gauss sum: rows are reduced to boxes of a quarter bandwidth that keep the moments of
+    the distances from their middle, and a box adds its Hermite expansion to the grid points
+    within reach of its kernel. The expansion is exact to some 1e-13 of the kernel, and beyond
+    the reach the kernel is below that. The work is rows + boxes x points in reach: a long
+    empty tail has no boxes, and a far point meets none but its own.
     """
     present = df.where(~missing(df, value)).select(F.col(value).cast("double").alias("_v"))
     s = present.agg(
@@ -82,21 +87,37 @@ def density(df: DataFrame, value: str, points: int = 200) -> DataFrame:
     if not s["sd"]:
         raise ValueError(f"column {value} has no spread")
     h = s["sd"] * s["n"] ** -0.2
-    fine = present.groupBy(F.floor((F.col("_v") - s["lo"]) / F.lit(h / FINE_STEPS)).alias("_b")).agg(
-        F.count("*").alias("_c"), F.avg("_v").alias("_m"), F.var_pop("_v").alias("_s2")
+    scaled = (F.col("_v") - F.lit(s["lo"])) / F.lit(h)
+    box = F.floor(scaled * F.lit(float(BOXES)))
+    away = scaled - (F.col("_b") + 0.5) / F.lit(float(BOXES))
+    powers = [F.lit(1.0)]
+    for _ in range(1, TERMS):
+        powers.append(powers[-1] * F.col("_d"))
+    boxes = present.select(box.alias("_b"), "_v").withColumn("_d", away).groupBy("_b").agg(
+        *[F.sum(p).alias(f"_m{k}") for k, p in enumerate(powers)]
     )
     step = (s["hi"] - s["lo"]) / (points - 1)
-    x = F.lit(s["lo"]) + F.col("point") * F.lit(step)
-    z2 = ((x - F.col("_m")) / F.lit(h)) * ((x - F.col("_m")) / F.lit(h))
-    kernel = F.col("_c") * F.exp(-z2 / 2) * (1 + F.col("_s2") / F.lit(h * h) * (z2 - 1) / 2)
+    middle = (F.col("_b") + 0.5) * F.lit(h / BOXES)  # from the minimum
+    reach = REACH * h
+    first = F.greatest(F.ceil((middle - reach) / F.lit(step)), F.lit(0))
+    last = F.least(F.floor((middle + reach) / F.lit(step)), F.lit(points - 1))
+    near = boxes.where(first <= last).select("*", F.explode(F.sequence(first.cast("int"), last.cast("int"))).alias("point"))
+    near = near.withColumn("_t", (F.col("point") * F.lit(step) - middle) / F.lit(h))
+    # phi(t - d) = phi(t) * sum of He_k(t) d^k / k!, with He_{k+1} = t He_k - k He_{k-1}
+    t = F.col("_t")
+    hermite = [F.lit(1.0), t]
+    for k in range(1, TERMS - 1):
+        hermite.append(t * hermite[k] - F.lit(float(k)) * hermite[k - 1])
+    terms = [F.col(f"_m{k}") * hermite[k] / F.lit(float(math.factorial(k))) for k in range(TERMS)]
+    kernel = F.exp(-t * t / 2) * reduce(lambda a, b: a + b, terms)
+    sums = near.groupBy("point").agg(F.sum(kernel).alias("_k"))
+    grid = df.sparkSession.range(points).select(F.col("id").cast("int").alias("_point"))
     return (
-        fine.select("*", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point"))
-        .groupBy("point")
-        .agg(F.sum(kernel).alias("_k"))
+        grid.join(sums, F.col("point") == F.col("_point"), "left")
         .select(
-            "point",
-            x.alias("x"),
-            (F.col("_k") / F.lit(s["n"] * h * math.sqrt(2.0 * math.pi))).alias("density"),
+            F.col("_point").alias("point"),
+            (F.lit(s["lo"]) + F.col("_point") * F.lit(step)).alias("x"),
+            F.coalesce(F.col("_k") / F.lit(s["n"] * h * math.sqrt(2.0 * math.pi)), F.lit(0.0)).alias("density"),
         )
         .orderBy("point")
     )
