@@ -47,7 +47,7 @@ def month_start(df: DataFrame, name: str) -> Column:
 
 
 DECIMALS = 6  # decimals up to which sums are exact unless told otherwise
-LOW_BITS = 20  # a sum of low parts stays a bigint for 8e12 rows per group
+PART_BITS = 21  # three parts of 21, 21 and 22 bits: their sums stay bigints for 2e12 rows per group
 
 
 def present(c: Column) -> Column:
@@ -55,13 +55,14 @@ def present(c: Column) -> Column:
     return F.nanvl(c, F.lit(None).cast("double"))
 
 
-def fixed_parts(c: Column, scale: int) -> tuple[Column, Column]:
-    """A number as fixed-point units of ``scale`` decimals, split in a high and a low
-    integer. Sums of the parts are exact in any order and stay in primitive buffers,
+def fixed_parts(c: Column, scale: int) -> list[Column]:
+    """A number as fixed-point units of ``scale`` decimals, split in three integers, lowest
+    first. Sums of the parts are exact in any order, cannot overflow, and stay in primitive buffers,
     which makes them several times faster than decimal sums. See ``fits`` for numbers that
     the units cannot hold."""
     units = F.rint(present(c) * F.lit(10.0**scale)).try_cast("bigint")
-    return F.shiftright(units, LOW_BITS), units.bitwiseAND(F.lit((1 << LOW_BITS) - 1).cast("bigint"))
+    part = F.lit((1 << PART_BITS) - 1).cast("bigint")
+    return [units.bitwiseAND(part), F.shiftright(units, PART_BITS).bitwiseAND(part), F.shiftright(units, 2 * PART_BITS)]
 
 
 def fits(c: Column, scale: int) -> Column:
@@ -70,9 +71,10 @@ def fits(c: Column, scale: int) -> Column:
     return F.coalesce(units.cast("double") / F.lit(10.0**scale) == c, present(c).isNull())
 
 
-def fixed_total(high_sum: Column, low_sum: Column, scale: int) -> Column:
+def fixed_total(sums: list[Column], scale: int) -> Column:
     """The double nearest to the exact total of summed parts."""
-    units = high_sum.cast("decimal(20,0)") * F.lit(Decimal(1 << LOW_BITS)) + low_sum.cast("decimal(20,0)")
+    weighted = [s.cast("decimal(20,0)") * F.lit(Decimal(1 << (PART_BITS * i))) for i, s in enumerate(sums)]
+    units = reduce(lambda a, b: a + b, [w.cast("decimal(38,0)") for w in weighted])
     return (units * F.lit(Decimal(1).scaleb(-scale))).cast("double")
 
 
@@ -86,9 +88,9 @@ def total(c: Column, scale: int | None = DECIMALS) -> Column:
     """
     if scale is None:
         return F.sum(present(c))
-    high, low = fixed_parts(c, scale)
     exact = F.coalesce(F.bool_and(fits(c, scale)), F.lit(True))
-    return F.when(exact, fixed_total(F.sum(high), F.sum(low), scale)).otherwise(F.sum(present(c)))
+    sums = [F.sum(p) for p in fixed_parts(c, scale)]
+    return F.when(exact, fixed_total(sums, scale)).otherwise(F.sum(present(c)))
 
 
 def mean(c: Column, scale: int | None = DECIMALS) -> Column:

@@ -118,6 +118,11 @@ def predictions(model: PipelineModel, df: DataFrame, label: str) -> DataFrame:
     return model.transform(df).select(label, F.col("prediction").cast("int").alias("prediction"))
 
 
+def scored(model: PipelineModel, df: DataFrame, name: str) -> DataFrame:
+    """The rows with the predicted class in a column of that name."""
+    return model.transform(df).select(*df.columns, F.col("prediction").cast("int").alias(name))
+
+
 def compare_feature_sets(
     train: DataFrame,
     test: DataFrame,

@@ -11,9 +11,13 @@ count per task. No task ever sorts more than 65,536 cells for a rank.
 
 from __future__ import annotations
 
+import math
+import struct
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -57,100 +61,155 @@ def with_order_key(df: DataFrame, number: str, key: str) -> DataFrame:
     return df.drop(size, power, fraction, bits)
 
 
+def order_key(number: int | float) -> int:
+    """The same key of one number on the driver."""
+    if isinstance(number, int):
+        return number
+    bits = struct.unpack("<q", struct.pack("<d", abs(number)))[0]
+    return -bits if number < 0 else bits
+
+
 def _counted(rows: DataFrame, by: Sequence[str], digit: Column) -> DataFrame:
-    """Cells (by, _d) with their rows, smallest and greatest value, and the rows up to their end."""
-    cells = rows.groupBy(*by, digit.alias("_d")).agg(
+    """Cells (by, _d) with their rows, smallest and greatest value."""
+    return rows.groupBy(*by, digit.alias("_d")).agg(
         F.count("*").alias("_c"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")
     )
+
+
+def _skipped(rows: int, low: int, high: int) -> int:
+    """Low bits that the next pass leaves out: none in a cell of few rows, which is counted value by value."""
+    return 0 if rows <= CELLS else max(0, (high - low).bit_length() - DIGIT)
+
+
+def _values(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
+    """``by`` and the present values as ``_v``: whole numbers as they are, others as doubles."""
+    v = F.col(value)
+    if not isinstance(df.schema[value].dataType, T.IntegralType):
+        v = v.cast("double")
+    return df.where(~missing(df, value)).select(*by, v.alias("_v"))
+
+
+_LEADING = 64 - DIGIT
+
+
+@dataclass
+class _Target:
+    """A rank within a cell of rows that have values from ``low`` to ``high``."""
+
+    rank: int
+    below: int
+    rows: int
+    low: int | float
+    high: int | float
+
+
+def _settle(cells: dict[str, np.ndarray], chosen: np.ndarray, target: _Target) -> None:
+    """Narrow a target down to the one of the ``chosen`` cells, ordered by digit, that holds its rank."""
+    ends = np.cumsum(cells["_c"][chosen])
+    i = int(np.searchsorted(ends, target.rank, side="right"))
+    at, start = chosen[i], int(ends[i - 1]) if i else 0
+    target.rank, target.below, target.rows = target.rank - start, target.below + start, int(cells["_c"][at])
+    target.low, target.high = cells["_lo"][at].item(), cells["_hi"][at].item()
+
+
+def _arrays(cells: DataFrame, order: list[str]) -> dict[str, np.ndarray]:
+    """A bounded number of cells on the driver, sorted."""
+    table = cells.toArrow().sort_by([(c, "ascending") for c in order])
+    return {c: table.column(c).to_numpy() for c in table.column_names}
+
+
+def _select(data: DataFrame, ranks_of: Callable[[int], list[int]]) -> tuple[int, list[_Target]]:
+    """Number of values, and the targets of the ranks wanted, each narrowed to one value.
+
+    At most 65,536 cells per target come to the driver in a pass. The bounds of cells go
+    back as literals, which reach the file scan.
+    """
+    kind = data.schema["_v"].dataType
+    cells = _arrays(_counted(with_order_key(data, "_v", "_k"), [], F.shiftright("_k", _LEADING)), ["_d"])
+    n = int(cells["_c"].sum())
+    targets = [_Target(r, 0, 0, 0, 0) for r in ranks_of(n)]
+    for target in targets if n else ():
+        _settle(cells, np.arange(len(cells["_c"])), target)
+    while n:
+        opened = {t.low: t for t in targets if t.low < t.high}
+        if not opened:
+            break
+        low = {k: F.lit(t.low).cast(kind) for k, t in opened.items()}
+        within = {k: F.col("_v").between(low[k], F.lit(t.high).cast(kind)) for k, t in opened.items()}
+        first = {k: order_key(t.low) for k, t in opened.items()}
+        digit = {
+            k: F.shiftrightunsigned(F.col("_k") - F.lit(first[k]).cast("bigint"), _skipped(t.rows, first[k], order_key(t.high)))
+            for k, t in opened.items()
+        }
+        # a row lies in one cell at most
+        pick = lambda of: F.coalesce(*[F.when(within[k], of[k]) for k in opened])
+        rows = with_order_key(data.where(reduce(lambda a, b: a | b, within.values())), "_v", "_k")
+        cells = _arrays(_counted(rows.withColumn("_from", pick(low)), ["_from"], pick(digit)), ["_from", "_d"])
+        for target in targets:
+            if target.low < target.high:
+                _settle(cells, np.flatnonzero(cells["_from"] == target.low), target)
+    return n, targets
+
+
+def _ended(cells: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Cells with the rows up to their end in the order of their digits."""
     upto = Window.partitionBy(*by).orderBy("_d").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return cells.withColumn("_end", F.sum("_c").over(upto))
 
 
 def _settled(cells: DataFrame, by: Sequence[str], below: Column) -> DataFrame:
-    """The cell of each target: its rank in the cell, and the rows below the cell."""
+    """The cell of each target: its rank in the cell, the rows below the cell, and how its next digit is taken."""
     start = F.col("_end") - F.col("_c")
-    found = cells.where((F.col("_rank") >= start) & (F.col("_rank") < F.col("_end")))
-    return found.select(
+    found = cells.where((F.col("_rank") >= start) & (F.col("_rank") < F.col("_end"))).select(
         *by, "_t", "_n", (F.col("_rank") - start).alias("_rank"), (below + start).alias("_below"), "_c", "_lo", "_hi"
     )
-
-
-def _open_cells(targets: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Cells with several values that hold targets: their bounds, first key, and bits that the next pass leaves out.
-
-    A cell of at most 65,536 rows is counted value by value, a larger one by its leading bits.
-    """
-    cells = targets.where(F.col("_lo") < F.col("_hi")).select(*by, "_lo", "_hi", "_c").dropDuplicates([*by, "_lo"])
-    cells = with_order_key(with_order_key(cells, "_lo", "_first"), "_hi", "_last")
+    found = with_order_key(with_order_key(found, "_lo", "_first"), "_hi", "_last")
     width = F.length(F.bin(F.col("_last") - F.col("_first")))
-    return cells.select(
-        *by, "_lo", "_hi", "_first", F.when(F.col("_c") <= CELLS, 0).otherwise(F.greatest(width - DIGIT, F.lit(0))).alias("_skip")
-    )
+    skip = F.when(F.col("_c") <= CELLS, 0).otherwise(F.greatest(width - DIGIT, F.lit(0)))
+    return found.withColumn("_skip", skip).drop("_last")
 
 
-def _inside(data: DataFrame, by: Sequence[str], cells: DataFrame) -> DataFrame:
-    """Rows of the open cells, with the cell's first value, first key and bits to leave out.
-
-    Without groups the bounds are literals, which reach the file scan; with groups they are a
-    staged table with one row per group and cell.
-    """
-    names = ["_from", "_first", "_skip"]
-    if not by:
-        kind = data.schema["_v"].dataType
-        bounds = [(F.lit(r["_lo"]).cast(kind), F.lit(r["_hi"]).cast(kind), r) for r in cells.collect()]
-        within = [F.col("_v").between(lo, hi) for lo, hi, _ in bounds]
-        # a row lies in one cell at most
-        pick = lambda values: F.coalesce(*[F.when(w, v) for w, v in zip(within, values)])
-        return data.where(reduce(lambda a, b: a | b, within)).select(
-            "_v",
-            pick([lo for lo, _, _ in bounds]).alias("_from"),
-            pick([F.lit(r["_first"]).cast("bigint") for _, _, r in bounds]).alias("_first"),
-            pick([F.lit(r["_skip"]).cast("int") for _, _, r in bounds]).alias("_skip"),
-        )
-    side = cells.select(*[F.col(b).alias(f"_k_{b}") for b in by], F.col("_lo").alias("_from"), F.col("_hi").alias("_to"), *names[1:])
-    on = reduce(lambda a, c: a & c, [data[b].eqNullSafe(side[f"_k_{b}"]) for b in by])
-    return data.join(side, on & F.col("_v").between(F.col("_from"), F.col("_to"))).select(*by, "_v", *names)
-
-
-def order_statistics(df: DataFrame, value: str, slots: int, rank_of: RankOf, by: Sequence[str] = ()) -> DataFrame:
-    """Values at given ranks, per group.
+def _select_by(data: DataFrame, by: list[str], slots: int, rank_of: RankOf) -> DataFrame:
+    """(by, _t, _n, _below, _c, _lo) of the two ranks of each slot in each group, narrowed to one value.
 
-    ``rank_of(n, i)`` gives the 0-based rank of slot ``i`` among the ``n`` non-missing
-    values. The result has the keys, ``n``, and for each slot the value ``at{i}``, the value
-    one rank up ``next{i}`` (the same at the top end), and the numbers of rows ``below{i}`` and
-    ``equal{i}`` to the value. Null keys form a group of their own; a group without values has no
-    row. Without groups there is one row, of ``n`` 0 and nulls where there are no values.
+    All is done on executors: the targets of all groups are a staged table, joined back to the
+    rows by group and range of values.
     """
-    by = list(by)
-    spark = df.sparkSession
-    v = F.col(value)
-    if not isinstance(df.schema[value].dataType, T.IntegralType):
-        v = v.cast("double")
-    data = df.where(~missing(df, value)).select(*by, v.alias("_v"))
-
-    cells = _counted(with_order_key(data, "_v", "_k"), by, F.shiftright("_k", 64 - DIGIT))
+    cells = _ended(_counted(with_order_key(data, "_v", "_k"), by, F.shiftright("_k", _LEADING)), by)
     cells = cells.withColumn("_n", F.sum("_c").over(Window.partitionBy(*by)))
     ranks = [rank_of(F.col("_n"), i).cast("bigint") for i in range(slots)]
     wanted = [r for rank in ranks for r in (rank, F.least(rank + 1, F.col("_n") - 1))]
-    targets = cells.select("*", F.posexplode(F.array(*wanted)).alias("_t", "_rank"))
-    targets = _settled(targets, by, F.lit(0).cast("bigint"))
+    targets = _settled(cells.select("*", F.posexplode(F.array(*wanted)).alias("_t", "_rank")), by, F.lit(0).cast("bigint"))
     done: list[DataFrame] = []
+    renamed = [F.col(b).alias(f"_k_{b}") for b in by]
     while True:
-        # a few rows per group, needed by several readers
-        targets = _kept(targets, by)
-        done.append(targets.where(F.col("_lo") == F.col("_hi")))
-        open_cells = _kept(_open_cells(targets, by), by)
-        if open_cells.isEmpty():
-            break
-        rows = with_order_key(_inside(data, by, open_cells), "_v", "_k")
+        targets = stage(targets, "targets")
+        done.append(targets.where("_lo = _hi"))
+        held = targets.where("_lo < _hi")
+        if held.isEmpty():
+            return reduce(DataFrame.unionByName, done)
+        open_cells = held.select(*renamed, F.col("_lo").alias("_from"), F.col("_hi").alias("_to"), "_first", "_skip").distinct()
+        on = reduce(lambda a, c: a & c, [data[b].eqNullSafe(open_cells[f"_k_{b}"]) for b in by])
+        rows = data.join(open_cells, on & F.col("_v").between(F.col("_from"), F.col("_to"))).select(*by, "_v", "_from", "_first", "_skip")
         digit = F.call_function("shiftrightunsigned", F.col("_k") - F.col("_first"), F.col("_skip"))
-        cells = _counted(rows, [*by, "_from"], digit)
-        held = targets.where(F.col("_lo") < F.col("_hi")).select(
-            *[F.col(b).alias(f"_k_{b}") for b in by], "_t", "_n", "_rank", "_below", F.col("_lo").alias("_cell")
-        )
+        cells = _ended(_counted(with_order_key(rows, "_v", "_k"), [*by, "_from"], digit), [*by, "_from"])
+        held = held.select(*renamed, "_t", "_n", "_rank", "_below", F.col("_lo").alias("_cell"))
         on = reduce(lambda a, c: a & c, [cells[b].eqNullSafe(held[f"_k_{b}"]) for b in by], cells["_from"] == held["_cell"])
         targets = _settled(cells.join(held, on), by, F.col("_below"))
 
+
+def order_statistics(df: DataFrame, value: str, slots: int, rank_of: RankOf, by: Sequence[str]) -> DataFrame:
+    """Values at given ranks, per group.
+
+    ``rank_of(n, i)`` gives the 0-based rank of slot ``i`` among the ``n`` non-missing
+    values. The result has the keys, ``n``, and for each slot the value ``at{i}``, the value
+    one rank up ``next{i}`` (the same at the top end), and the numbers of rows ``below{i}`` and
+    ``equal{i}`` to the value. Null keys form a group of their own; a group without values has no
+    row. Without keys there is one row, of ``n`` 0 and nulls where there are no values.
+    """
+    by = list(by)
+    group = _values(df, value, by)
+    found = _select_by(group if by else group.withColumn("_all", F.lit(0)), by or ["_all"], slots, rank_of)
     pick = lambda t, c: F.max(F.when(F.col("_t") == t, F.col(c)))
     outs = []
     for i in range(slots):
@@ -158,18 +217,18 @@ def order_statistics(df: DataFrame, value: str, slots: int, rank_of: RankOf, by:
             pick(2 * i, "_lo").alias(f"at{i}"), pick(2 * i + 1, "_lo").alias(f"next{i}"),
             pick(2 * i, "_below").alias(f"below{i}"), pick(2 * i, "_c").alias(f"equal{i}"),
         ]
-    found = reduce(DataFrame.unionByName, done).groupBy(*by)
-    return _kept(found.agg(F.coalesce(F.max("_n"), F.lit(0).cast("bigint")).alias("n"), *outs), by)
-
-
-def _kept(small: DataFrame, by: Sequence[str]) -> DataFrame:
-    """A table of a few rows per group: staged, or as literal rows where there is one group."""
-    return stage(small, "targets") if by else small.sparkSession.createDataFrame(small.collect(), small.schema)
+    return found.groupBy(*by).agg(F.coalesce(F.max("_n"), F.lit(0).cast("bigint")).alias("n"), *outs)
 
 
 def exact_quantiles(df: DataFrame, value: str, probs: dict[str, float], by: Sequence[str] = ()) -> DataFrame:
-    """Linearly interpolated quantiles, one column per name in ``probs``, and ``n``."""
+    """Linearly interpolated quantiles, one column per name in ``probs``, and ``n``.
+
+    Without groups there is one row, of ``n`` 0 and nulls where there are no values; its
+    passes run at once, since their bounds are literals of the next one.
+    """
     ps = list(probs.values())
+    if not by:
+        return _one_row(df, value, probs)
     stats = order_statistics(df, value, len(ps), lambda n, i: F.floor((n - 1) * F.lit(float(ps[i]))), by)
     cols = []
     for i, name in enumerate(probs):
@@ -179,3 +238,19 @@ def exact_quantiles(df: DataFrame, value: str, probs: dict[str, float], by: Sequ
         # equal neighbours need no arithmetic, which infinite ones do not allow
         cols.append(F.when(at == nxt, at).otherwise(at * (1 - frac) + nxt * frac).alias(name))
     return stats.select(*by, "n", *cols)
+
+
+def _one_row(df: DataFrame, value: str, probs: dict[str, float]) -> DataFrame:
+    ps = list(probs.values())
+
+    def ranks(n: int) -> list[int]:
+        return [r for p in ps for r in (math.floor((n - 1) * p), min(math.floor((n - 1) * p) + 1, n - 1))]
+
+    n, targets = _select(_values(df, value), ranks)
+    cols = []
+    for i, (name, p) in enumerate(probs.items()):
+        at, after = (float(t.low) for t in targets[2 * i : 2 * i + 2])
+        part = (n - 1) * p - math.floor((n - 1) * p)
+        found = at if at == after else at * (1 - part) + after * part
+        cols.append(F.lit(found if n else None).cast("double").alias(name))
+    return df.sparkSession.range(0, 1, 1, 1).select(F.lit(n).cast("bigint").alias("n"), *cols)

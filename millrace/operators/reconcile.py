@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.columns import beyond_tolerance
+from millrace.functions.columns import beyond_tolerance, quoted
 
 
 def by_key(
@@ -46,3 +46,25 @@ def grand_totals(left: DataFrame, right: DataFrame, value: str, tolerance: float
         F.abs(F.col("left_total") - rt).alias("abs_diff"),
         (~beyond_tolerance(F.col("left_total"), rt, tolerance)).alias("agrees"),
     )
+
+
+def column_agreement(left: DataFrame, right: DataFrame) -> DataFrame:
+    """``column_name, left_rows, right_rows, agrees`` per column: present values of each side, and whether
+    the two hold the same values equally often. Order does not matter, and each side is read once.
+
+    Columns are compared by name; the sums of two hashes per value stand for the values.
+    """
+    names = left.columns
+
+    def sums(df: DataFrame, side: str) -> DataFrame:
+        parts = []
+        for i, c in enumerate(names):
+            v = F.col(quoted(c))
+            hashes = [F.sum(F.when(v.isNotNull(), F.xxhash64(F.lit(seed), v)).cast("decimal(20,0)")) for seed in (1, 2)]
+            parts.append(F.struct(F.lit(i).alias("i"), F.count(v).alias(f"{side}_rows"), F.array(*hashes).alias(f"{side}_sums")))
+        return df.agg(F.array(*parts).alias("p")).select(F.inline("p"))
+
+    both = sums(left, "left").join(sums(right, "right"), "i")
+    name = F.element_at(F.array(*[F.lit(c) for c in names]), F.col("i") + 1)
+    same = (F.col("left_rows") == F.col("right_rows")) & F.col("left_sums").eqNullSafe(F.col("right_sums"))
+    return both.select(name.alias("column_name"), "left_rows", "right_rows", same.alias("agrees"))

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from millrace.functions.columns import mean, missing
 from millrace.operators import aggregates as agg
-from millrace.operators import reconcile
+from millrace.operators import hashtree, reconcile
+from millrace.operators import summary_states as states
 from millrace.operators.cleaning import clean, cleaning_report, drop_missing
 from millrace.operators.correlation import correlation_long
 from millrace.operators.duplicates import drop_duplicates
@@ -15,6 +16,7 @@ from millrace.operators.modeling import label_above_mean
 from millrace.operators.quantiles import exact_quantiles
 from millrace.plans.registry import AVG_SQL, CLEAN_SQL, LABELED_SQL, PRESENT_SQL, SALES_SQL, SUM_SQL, query
 from millrace.plans.sales import REQUIRED, cleaned_sales, sales, staged_sales, summaries, table
+from millrace.session import scratch_path
 
 NAMED = f"{SUM_SQL} as total_amount, {AVG_SQL} as avg_amount, count(amount) as item_count"
 
@@ -77,6 +79,31 @@ def agg3_summaries(spark, sf):
     return out
 
 
+@query("agg3_landed_summaries", f"""with {PRESENT_SQL}
+select region, category, {NAMED} from present group by 1, 2""")
+def agg3_landed(spark, sf):
+    """Three landings, one of them stored twice: the report reads their states only."""
+    path = scratch_path(spark, "states")
+    rows = drop_missing(staged_sales(spark, sf), REQUIRED)
+    for i in (0, 1, 2, 1):
+        landing = rows.where(F.col("order_id") % 3 == i)
+        states.store(states.summary_state(landing, ["region", "category"], "amount"), path, f"day-{i}")
+    return states.finish(states.stored(spark, path), ["region", "category"], "amount")
+
+
+@query("dq6_landed_missing", f"""with {SALES_SQL}, counts as (
+  select 'region' as column_name, count(*) filter (region is null) as missing_count, count(*) as n from sales
+  union all select 'category', count(*) filter (category is null), count(*) from sales
+  union all select 'amount', count(*) filter (amount is null), count(*) from sales)
+select column_name, missing_count, round(missing_count*100.0::double/n,3) as missing_pct from counts""")
+def dq6_landed(spark, sf):
+    path = scratch_path(spark, "missing-states")
+    rows = staged_sales(spark, sf)
+    for i in (0, 1):
+        states.store(states.missing_state(rows.where(F.col("order_id") % 2 == i), REQUIRED), path, f"day-{i}")
+    return states.merged_missing(states.stored(spark, path))
+
+
 @query("agg7_monthly_total", f"""with {CLEAN_SQL}
 select substr(cast(order_date as varchar),1,7) as order_month, {SUM_SQL} as total_amount from cleaned group by 1""")
 def agg7(spark, sf):
@@ -262,3 +289,41 @@ def rec1_total(spark, sf):
     by_region = agg.named_agg(rows, ["region"], order=False).agg(F.round(F.sum("total_amount"), 2).alias("t"))
     all_rows = rows.agg(F.sum(F.col("amount").cast("decimal(18,2)")).cast("double").alias("t"))
     return reconcile.grand_totals(by_region, all_rows, "t")
+
+
+CHANGED_SQL = """changed as (select o_orderkey, o_custkey, o_totalprice + case when o_orderkey%2003=11 then 0.01 else 0 end as o_totalprice,
+  case when o_orderkey%2503=13 then null else o_orderstatus end as o_orderstatus from orders where o_orderkey%3001<>17
+  union all select o_orderkey, o_custkey, o_totalprice, o_orderstatus from orders where o_orderkey%4001=19),
+given as (select o_orderkey, o_custkey, o_totalprice, o_orderstatus from orders)"""
+
+
+def changed_orders(spark, sf):
+    """The orders and a copy with some prices, states, missing and repeated rows changed."""
+    given = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus")
+    key = F.col("o_orderkey")
+    changed = given.where(key % 3001 != 17).withColumns({
+        "o_totalprice": F.col("o_totalprice") + F.when(key % 2003 == 11, 0.01).otherwise(0.0),
+        "o_orderstatus": F.when(key % 2503 != 13, F.col("o_orderstatus")),
+    })
+    return given, changed.unionByName(given.where(key % 4001 == 19))
+
+
+@query("rec1_row_differences", f"""with {CHANGED_SQL},
+sides as (select *, 1 as l, 0 as r from given union all select *, 0, 1 from changed)
+select o_orderkey, o_custkey, o_totalprice, o_orderstatus, cast(sum(l) as bigint) as left_rows, cast(sum(r) as bigint) as right_rows
+from sides group by 1, 2, 3, 4 having sum(l)<>sum(r)""")
+def rec1_differences(spark, sf):
+    return hashtree.row_differences(*changed_orders(spark, sf), ["o_orderkey"])
+
+
+@query("rec1_tables_agree", f"""with {CHANGED_SQL},
+sides as (select *, 1 as l, 0 as r from given union all select *, 0, 1 from changed),
+more as (select sum(l)-sum(r) as d from sides group by o_orderkey, o_custkey, o_totalprice, o_orderstatus)
+select 'changed' as pair, (select count(*) from given) as left_rows, (select count(*) from changed) as right_rows,
+  cast(sum(greatest(d,0)) as bigint) as left_only, cast(sum(greatest(-d,0)) as bigint) as right_only, false as agrees from more
+union all select 'same', count(*), count(*), 0, 0, true from given""")
+def rec1_agree(spark, sf):
+    given, changed = changed_orders(spark, sf)
+    shuffled = given.repartition(7, "o_custkey")
+    found = hashtree.tables_agree(given, changed, ["o_orderkey"]).select(F.lit("changed").alias("pair"), "*")
+    return found.unionByName(hashtree.tables_agree(given, shuffled, ["o_orderkey"]).select(F.lit("same").alias("pair"), "*"))

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.operators import correlation, statistics
+from millrace.operators import association, correlation, statistics
 from millrace.plans.queries_aggregates import NUMERIC, corr_sql
 from millrace.plans.registry import CLEAN_SQL, query
-from millrace.plans.sales import cleaned_sales
+from millrace.plans.sales import cleaned_sales, table
 
 A, B = "NATION_3", "NATION_7"
 
@@ -109,6 +109,61 @@ def st7(spark, sf):
     )
 
 
+CATEGORIES = ["region", "category", "payment_method", "customer_gender", "age_band", "n", "month", "parity", "cheap", "set"]
+CATEGORIES_SQL = f"""{CLEAN_SQL},
+wide as (select region, category, payment_method, customer_gender, customer_age//10 as age_band, order_id%7 as n,
+  month(order_date) as month, case when order_id%3=0 then null else order_id%2 end as parity, quantity<25 as cheap,
+  case when region='NATION_3' then null else order_id%4 end as "set" from cleaned),
+long as (select row_number() over () as r, * from wide)"""
+
+
+def pair_sql(x: str, y: str) -> str:
+    """Chi-square and V of one pair over its full grid; two columns of two values are corrected."""
+    return f"""select '{x}' as x, '{y}' as y, case when (n_rows-1)*(n_cols-1)=1 then corrected else plain end as chi2,
+  cast((n_rows-1)*(n_cols-1) as bigint) as dof, n, least(n_rows,n_cols)-1 as least from (
+  select sum(pow(o-e,2)/e) as plain, sum(pow(abs(o-e)-least(0.5,abs(o-e)),2)/e) as corrected, any_value(n) as n,
+    count(distinct a) as n_rows, count(distinct b) as n_cols from (
+    select a, b, coalesce(o,0) as o, ra*cb::double/n as e, n from
+      (select "{x}" as a, count(*) as ra from wide where "{x}" is not null and "{y}" is not null group by 1)
+      cross join (select "{y}" as b, count(*) as cb from wide where "{x}" is not null and "{y}" is not null group by 1)
+      cross join (select count(*) as n from wide where "{x}" is not null and "{y}" is not null)
+      left join (select "{x}" as a, "{y}" as b, count(*) as o from wide group by 1, 2) using (a, b)))"""
+
+
+@query("st7_cramers_v_matrix", f"with {CATEGORIES_SQL}, v as (" + " union all ".join(
+    pair_sql(x, y) for i, x in enumerate(CATEGORIES) for y in CATEGORIES[i + 1:])
+    + ") select x, y, round(chi2,5) as chi2, dof, n, round(sqrt(chi2/(n*least)),8) as cramers_v from v")
+def st7_matrix(spark, sf):
+    """All pairs of ten columns, one of them named like a count, from one scan."""
+    wide = cleaned_sales(spark, sf).select(
+        "region", "category", "payment_method", "customer_gender", F.expr("customer_age div 10").alias("age_band"),
+        (F.col("order_id") % 7).alias("n"), F.month("order_date").alias("month"),
+        F.when(F.col("order_id") % 3 != 0, F.col("order_id") % 2).alias("parity"), (F.col("quantity") < 25).alias("cheap"),
+        F.when(F.col("region") != "NATION_3", F.col("order_id") % 4).alias("set"),
+    )
+    return association.cramers_v_matrix(wide, CATEGORIES).withColumns(
+        {"chi2": F.round("chi2", 5), "cramers_v": F.round("cramers_v", 8)}
+    )
+
+
+SURVEY = {f"q{i}": (f"l_partkey*{i + 1} % {17 + i} + l_quantity*{i % 5}", 5 + i) for i in range(36)}
+SURVEY_SQL = "select " + ", ".join(
+    f"case when (l_orderkey+l_partkey)%{m}=0 then null else {e} end as {q}" for q, (e, m) in SURVEY.items()) + " from lineitem"
+
+
+@query("agg13_survey_correlation", f"with survey as ({SURVEY_SQL}), r as (select " + ", ".join(
+    f"corr({x},{y}) as {x}_{y}" for i, x in enumerate(SURVEY) for y in list(SURVEY)[i + 1:])
+    + " from survey) select split_part(pair,'_',1) as x, split_part(pair,'_',2) as y, round(r,6) as r from (unpivot r on * into name pair value r)")
+def agg13_survey(spark, sf):
+    """Many columns with values missing in different rows: every pair over the rows with both."""
+    survey = table(spark, sf, "lineitem").selectExpr(
+        *[f"case when (l_orderkey+l_partkey)%{m}=0 then null else {e} end as {q}" for q, (e, m) in SURVEY.items()]
+    )
+    place = F.array(*[F.lit(q) for q in SURVEY])
+    found = correlation.correlation_long(survey, list(SURVEY))
+    return found.where(F.array_position(place, F.col("x")) < F.array_position(place, F.col("y"))).withColumn("r", F.round("r", 6))
+
+
 @query("st8_drop_collinear", f"""with {CLEAN_SQL},
 features as (select quantity, quantity*unit_price as gross, customer_age, amount from cleaned),
 {vif3_sql('quantity', 'gross', 'customer_age')},

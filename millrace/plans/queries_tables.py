@@ -7,16 +7,18 @@ from pyspark.sql import functions as F
 
 from millrace.functions.columns import beyond_tolerance, lenient_double, missing, percent
 from millrace.operators.aggregates import named_agg, with_month
-from millrace.operators.cleaning import drop_missing
+from millrace.operators.cleaning import drop_missing, iqr_fence
 from millrace.operators.modeling import label_above_mean, linear_pipeline
 from millrace.operators.profile import missing_report
+from millrace.operators.reconcile import column_agreement
 from millrace.operators.validation import Field, good_rows, raise_on_error, validate
 from millrace.plans.ingest import enriched_weather
 from millrace.plans.queries_quality import ERRORS_SQL, FIELDS, records
 from millrace.plans.registry import CLEAN_SQL, LABELED_SQL, PRESENT_SQL, SALES_SQL, SUM_SQL, query
 from millrace.plans.sales import REQUIRED, cleaned_sales, sales, staged_sales, table
 from millrace.session import scratch_path
-from millrace.sources import payloads, sinks
+from millrace.sources import clustered, payloads, sinks
+from millrace.sources.multiline import csv_module_rows
 from millrace.sources.readers import csv_table, read_csv, read_parquet, split_corrupt
 
 ORDERS = "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderpriority string"
@@ -38,6 +40,19 @@ def src1(spark, sf):
     return read_csv(spark, path, schema)
 
 
+@query("src1_multiline_csv", r"""select doc_id, nullif(text,'') as text, lang from documents
+union all select item_id, 'x'||chr(10)||'"'||text||'",'||chr(10)||chr(10)||'y', null from benchmark""")
+def src1_multiline(spark, sf):
+    """Texts with line breaks and quotes, read in byte ranges."""
+    path = scratch_path(spark, "multiline-csv")
+    docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
+    items = table(spark, sf, "benchmark").select(
+        F.col("item_id").alias("doc_id"), F.concat(F.lit('x\n"'), "text", F.lit('",\n\ny')).alias("text"), F.lit(None).cast("string").alias("lang")
+    )
+    sinks.write_csv(docs.unionByName(items), path)
+    return read_csv(spark, path, "doc_id bigint, text string, lang string", multi_line=True)
+
+
 @query("src1_csv_inferred", "select c_mktsegment, count(*) as n, max(c_custkey) as top_key from "
        "(select c_mktsegment, cast(c_custkey as int) as c_custkey from customer) group by 1")
 def src1_inferred(spark, sf):
@@ -175,25 +190,34 @@ def src9(spark, sf):
 
 
 @query("src10_two_readers", " union all ".join(
-    f"select '{c}' as column_name, count({c}) as declared_rows, count({c}) as sql_rows, true as agrees from orders"
+    f"select '{c}' as column_name, count({c}) as declared_rows, count({c}) as other_rows, true as agrees from orders"
     for c in ORDER_COLS))
 def src10(spark, sf):
+    """Spark's reader with declared types against records parsed by Python's csv module."""
     path = landed_csv(spark, sf, "orders", ORDER_COLS)
-    declared = read_csv(spark, path, ORDERS)
-    csv_table(spark, path, "orders_as_sql", ORDERS)
-    by_sql = spark.sql("select * from orders_as_sql")
+    other = csv_module_rows(spark, path, ORDER_COLS)
+    schema = read_csv(spark, path, ORDERS).schema
+    typed = other.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    return column_agreement(read_csv(spark, path, ORDERS), typed).withColumnsRenamed({"left_rows": "declared_rows", "right_rows": "other_rows"})
 
-    def digest(df, tag):  # per column: non-null count and a checksum that ignores row order
-        return df.agg(
-            *[F.count(c).alias(f"n_{tag}_{c}") for c in ORDER_COLS],
-            *[F.sum(F.xxhash64(c).cast("decimal(20,0)")).alias(f"h_{tag}_{c}") for c in ORDER_COLS],
-        )
 
-    a, b = digest(declared, "a").first(), digest(by_sql, "b").first()
-    return spark.createDataFrame(
-        [(c, a[f"n_a_{c}"], b[f"n_b_{c}"], a[f"h_a_{c}"] == b[f"h_b_{c}"]) for c in ORDER_COLS],
-        "column_name string, declared_rows bigint, sql_rows bigint, agrees boolean",
-    )
+ANSWERS = {f"a{i}": f"(o_custkey*{i + 3} + o_orderkey) % {i + 7}" for i in range(114)}
+
+
+@query("src10_wide_survey", " union all ".join(
+    f"select '{a}' as column_name, count({a}) as left_rows, count({a}){' - 1' if a == 'a70' else ''} as right_rows, "
+    f"{'false' if a in ('a13', 'a70') else 'true'} as agrees from (select case when {e}<3 then {e} end as {a} from orders)"
+    for a, e in ANSWERS.items()))
+def src10_wide(spark, sf):
+    """114 columns in two readers; the file of the second has one value altered and one emptied."""
+    wide = table(spark, sf, "orders").selectExpr("o_orderkey", *[f"case when {e} < 3 then {e} end as {a}" for a, e in ANSWERS.items()])
+    first, second = scratch_path(spark, "wide"), scratch_path(spark, "wide-altered")
+    one = lambda a: wide.where(F.col(a).isNotNull()).agg(F.min("o_orderkey")).scalar() == F.col("o_orderkey")
+    altered = wide.withColumns({"a13": F.when(one("a13"), F.lit(9)).otherwise(F.col("a13")), "a70": F.when(~one("a70"), F.col("a70"))})
+    sinks.write_csv(wide.drop("o_orderkey"), first)
+    sinks.write_csv(altered.drop("o_orderkey"), second)
+    schema = ", ".join(f"{a} string" for a in ANSWERS)
+    return column_agreement(read_csv(spark, first, schema), csv_module_rows(spark, second, list(ANSWERS)))
 
 
 # -- sinks ----------------------------------------------------------------------------
@@ -271,22 +295,53 @@ def snk6(spark, sf):
     return spark.read.text(path).withColumnRenamed("value", "line")
 
 
-@query("snk7_format_comparison")
+@query("snk7_format_comparison", """select format, true as timed, n as n_rows, format='parquet' as smallest
+  from (select count(*) as n from lineitem), (values ('csv'), ('parquet')) f(format)""")
 def snk7(spark, sf):
-    return sinks.compare_formats(table(spark, sf, "lineitem"), scratch_path(spark, "formats"))
+    """Both formats were timed, hold all rows, and the columnar one is the smaller."""
+    path = scratch_path(spark, "formats")
+    source = table(spark, sf, "lineitem")
+    found = sinks.compare_formats(source, path)
+    counts = {f: spark.read.schema(source.schema).option("header", True).format(f).load(f"{path}/{f}").count() for f in ("csv", "parquet")}
+    n_rows = F.element_at(F.create_map(*[F.lit(x) for pair in counts.items() for x in pair]), F.col("format")).cast("bigint")
+    least = found.agg(F.min("bytes")).scalar()
+    return found.select(
+        "format", ((F.col("write_ms") > 0) & (F.col("read_ms") > 0)).alias("timed"), n_rows.alias("n_rows"),
+        (F.col("bytes") == least).alias("smallest"),
+    )
 
 
-@query("snk5_saved_model")
+@query("snk5_saved_model", f"""with {PRESENT_SQL}
+select category, count(*) as n, true as unbiased, true as same from present group by 1""")
 def snk5(spark, sf):
-    """A fitted regression, saved and loaded: its predictions by category."""
+    """A fitted regression, saved and loaded. With a level for each category, its predictions have the
+    mean of the amounts in every category, and the loaded model gives the same ones."""
     df = drop_missing(staged_sales(spark, sf), REQUIRED)
     model = linear_pipeline(df, ["quantity", "unit_price"], ["category"], "amount").fit(df)
     loaded = PipelineModel.load(sinks.save_model(model, scratch_path(spark, "model")))
-    return loaded.transform(df).groupBy("category").agg(
-        F.count("*").alias("n"), F.round(F.avg("prediction"), 4).alias("mean_prediction")
+    first = model.transform(df).select(*df.columns, F.col("prediction").alias("fitted"))
+    both = loaded.transform(first)
+    off = F.abs(F.avg("prediction") - F.avg("amount"))
+    return both.groupBy("category").agg(
+        F.count("*").alias("n"), (off < F.avg("amount") * 1e-4).alias("unbiased"),
+        F.bool_and(F.col("fitted") == F.col("prediction")).alias("same"),
     )
 
 
+@query("snk2_clustered_fence", f"""with {CLEAN_SQL}
+select region, count(*) as n, {SUM_SQL} as total_amount, true as fewer_files from cleaned group by 1""")
+def snk2_clustered(spark, sf):
+    """The fence over a table clustered by amount: the same rows from the files that overlap it."""
+    rows = drop_missing(staged_sales(spark, sf), REQUIRED)
+    path = scratch_path(spark, "clustered")
+    clustered.write_clustered(rows, path, "amount", max(1, rows.count() // 64))
+    fence = iqr_fence(rows, "amount")
+    kept = clustered.read_clustered(spark, path, "amount", fence.lower, fence.upper)
+    opened, all_files = (len(df.inputFiles()) for df in (kept, spark.read.parquet(path)))
+    total = F.sum(F.col("amount").cast("decimal(18,2)")).cast("double")
+    return kept.groupBy("region").agg(F.count("*").alias("n"), total.alias("total_amount"), F.lit(opened < all_files).alias("fewer_files"))
+
+
 # -- projections ----------------------------------------------------------------------
 
 @query("prj1_column_subset", f"with {SALES_SQL} select customer_age, region, category, payment_method from sales")

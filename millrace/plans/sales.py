@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.functions.columns import fixed_parts, fixed_total, month_start
-from millrace.operators.aggregates import by_month
+from millrace.functions.columns import DECIMALS, month_key, month_start
 from millrace.operators.cleaning import Fence, clean
+from millrace.operators.summary_states import finish, summary_state
 from millrace.session import stage
 
 REQUIRED = ["region", "category", "amount"]
@@ -68,7 +68,6 @@ def cleaned_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean(staged_sales(spark, sf_dir), REQUIRED, "amount")[0]
 
 
-CENTS = 2  # amounts are money
 SUMMARY_KEYS = ["region", "category", "payment_method", "order_month"]
 SUMMARY_SETS = {
     "region_category": ["region", "category"],
@@ -76,30 +75,18 @@ SUMMARY_SETS = {
 }
 
 
-def summaries(df: DataFrame) -> tuple[dict[str, DataFrame], Fence]:
+def summaries(df: DataFrame, scale: int = DECIMALS) -> tuple[dict[str, DataFrame], Fence]:
     """Clean a sales table and aggregate it three ways in one scan.
 
-    The table is grouped once by all keys and the month together. That result is staged and rolled up
-    per summary; exact sums make the totals equal to those of direct grouping. With the
-    two scans of the fence, the table is read three times in all.
+    The table is grouped once by all keys and the month together. The states of these groups
+    are staged and rolled up per summary, so totals equal those of direct grouping: exact where
+    all amounts of a group have up to ``scale`` decimals, plain sums elsewhere. With the scans
+    of the fence the table is read three or four times in all.
     """
     kept, fence = clean(df, REQUIRED, "amount")
-    high, low = fixed_parts(F.col("amount"), CENTS)
-    base = stage(
-        kept.withColumn("order_month", month_start(kept, "order_date"))
-        .groupBy(*SUMMARY_KEYS)
-        .agg(F.sum(high).alias("_high"), F.sum(low).alias("_low"), F.count("amount").alias("_n")),
-        "summaries",
-    )
-    sums = fixed_total(F.sum("_high"), F.sum("_low"), CENTS)
-    aggs = [
-        sums.alias("total_amount"),
-        F.try_divide(sums, F.sum("_n").cast("double")).alias("avg_amount"),
-        F.sum("_n").alias("item_count"),
-    ]
-    out = {
-        name: base.groupBy(*keys).agg(*aggs).orderBy(F.desc("total_amount"), *keys)
-        for name, keys in SUMMARY_SETS.items()
-    }
-    out["monthly_trend"] = by_month(base, "order_month", "order_month", aggs)
+    by_month_start = kept.withColumn("order_month", month_start(kept, "order_date"))
+    base = stage(summary_state(by_month_start, SUMMARY_KEYS, "amount", scale), "summaries")
+    out = {name: finish(base, keys, "amount", scale) for name, keys in SUMMARY_SETS.items()}
+    trend = finish(base, ["order_month"], "amount", scale, order=False)
+    out["monthly_trend"] = trend.withColumn("order_month", month_key(trend, "order_month")).orderBy("order_month")
     return out, fence

@@ -10,7 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.functions.columns import quoted
 from millrace.session import stage
+from millrace.sources.multiline import read_multiline_csv
 
 CORRUPT = "_corrupt_record"
 #: Header, doubled quotes inside quoted values, and blanks kept, as most tools write CSV.
@@ -52,10 +54,13 @@ def read_csv(
     once more. Rows that do not parse stop the job (as far as the columns in use are
     concerned) unless ``keep_corrupt`` keeps their text in ``_corrupt_record``.
     ``null_values`` are further texts that mean missing, also when types are inferred.
-    ``multi_line`` reads values with line breaks; a file is then read by one task. An
-    empty field is null, quoted or not.
+    ``multi_line`` reads values with line breaks: by all cores and in no order with a
+    schema and no other options, else by one task per file. An empty field is null, quoted
+    or not.
     """
     _ensure_readable(spark, path)
+    if multi_line and schema is not None and not options:
+        return _multi_line(spark, path, schema, null_values, keep_corrupt)
     reader = spark.read.options(**CSV_FORMAT).option("multiLine", multi_line)
     reader = reader.option("enforceSchema", schema is None).options(**options)
     if schema is None and null_values:
@@ -78,6 +83,20 @@ def read_csv(
     return reader.schema(schema).csv(path)
 
 
+def _multi_line(
+    spark: SparkSession, path: str, schema: T.StructType | str, null_values: Sequence[str], keep_corrupt: bool
+) -> DataFrame:
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    if keep_corrupt:
+        return _blank_nulls(read_multiline_csv(spark, path, schema, CORRUPT), null_values, skip=(CORRUPT,))
+    if null_values:
+        texts = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
+        df = _blank_nulls(read_multiline_csv(spark, path, texts), null_values)
+        return df.select(*[F.col(quoted(f.name)).cast(f.dataType).alias(f.name) for f in schema.fields])
+    return read_multiline_csv(spark, path, schema)
+
+
 def _blank_nulls(df: DataFrame, null_values: Sequence[str], skip: Sequence[str] = ()) -> DataFrame:
     if not null_values:
         return df

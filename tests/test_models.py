@@ -36,10 +36,8 @@ def test_split_with_copies(spark):
     assert both(df.repartition(5)) == [train, test]
 
 
-def test_split_on_narrowed_brackets(spark, monkeypatch):
-    monkeypatch.setattr(Q, "ACCURACY", 100)
-    monkeypatch.setattr(Q, "MARGIN", 4 / 100)
-    monkeypatch.setattr(Q, "WHOLE_RANGE", 100)
+def test_split_by_several_passes(spark, monkeypatch):
+    monkeypatch.setattr(Q, "CELLS", 4)
     df = spark.range(2000).select("id", (F.col("id") % 2).cast("int").alias("y"))
     train, test = both(df)
     assert len(test) == 400 and len(set(train) | set(test)) == 2000

@@ -61,14 +61,14 @@ def test_large_integers_with_one_frequent_value(spark, tight):
         F.when(F.col("id") % 3 > 0, F.lit(often)).otherwise(F.xxhash64("id")).alias("v")
     )
     values = sorted(r[0] for r in df.collect())
-    got = Q.order_statistics(df, "v", 2, lambda n, i: F.floor(n * F.lit([0.2, 0.7][i]))).first()
+    got = Q.order_statistics(df, "v", 2, lambda n, i: F.floor(n * F.lit([0.2, 0.7][i])), []).first()
     assert (got["at0"], got["at1"]) == (values[600], values[2100])
     assert got["below1"] == values.index(values[2100]) and got["equal1"] == values.count(values[2100])
 
 
 def test_extremes_of_bigint(spark, tight):
     df = spark.createDataFrame([(x,) for x in [-(2**63), 2**63 - 1] * 300], "v bigint")
-    got = Q.order_statistics(df, "v", 2, lambda n, i: F.floor(n * F.lit([0.25, 0.75][i]))).first()
+    got = Q.order_statistics(df, "v", 2, lambda n, i: F.floor(n * F.lit([0.25, 0.75][i])), []).first()
     assert (got["at0"], got["at1"]) == (-(2**63), 2**63 - 1)
 
 
