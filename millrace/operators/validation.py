@@ -194,6 +194,26 @@ def reject_records(checked: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     return checked.where(F.size("errors") > 0).select(*keep, "row", F.col("errors").alias("error"))
 
 
+def reject_documents(checked: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """The rejects as documents: ``row`` an object, and every ``input`` and bound with its own JSON type.
+
+    A row that was text is parsed; text that is no JSON stays text. Numbers are numbers, also
+    inside ``error``, where ``input`` is the value of the field that ``loc`` names.
+    """
+    is_text = isinstance(checked.schema["row"].dataType, T.StringType)
+    rejects = reject_records(checked, keep)
+    as_json = F.col("row") if is_text else F.to_json("row", {"ignoreNullFields": "false"})
+    rejects = rejects.withColumn("_values", F.from_json(as_json, "map<string,variant>"))
+    typed = lambda text: F.coalesce(F.try_parse_json(text), text.cast("variant"))
+    errors = F.transform("error", lambda e: F.struct(
+        e["type"].alias("type"), e["loc"].alias("loc"), e["msg"].alias("msg"),
+        F.coalesce(F.try_element_at(F.col("_values"), F.get(e["loc"], F.lit(0))), e["input"].cast("variant")).alias("input"),
+        F.transform_values(e["ctx"], lambda _, v: typed(v)).alias("ctx"),
+    ))
+    row = typed(F.col("row")) if is_text else F.col("row")
+    return rejects.select(*keep, row.alias("row"), errors.alias("error"))
+
+
 def quarantine(checked: DataFrame, path: str, mode: str = "error") -> None:
     """Write good and bad rows in one pass, partitioned by ``is_valid``."""
     checked.withColumn("is_valid", F.size("errors") == 0).write.partitionBy("is_valid").mode(mode).parquet(path)

@@ -27,7 +27,7 @@ RECORDS_SQL = """records as (select event_id,
   case when event_id%40=3 then '' else event_type end as kind,
   case when event_id%50=4 then null when event_id%60=5 then -value when event_id%70=6 then 0.0 else value end as amount,
   case when event_id%30=7 then 150.0 when event_id%80=9 then -1.0 else cast(event_id%101 as double) end as pct,
-  case when event_id%45=8 then 'KOR' else 'KR' end as code from events)"""
+  case when event_id%45=8 then 'NLD' else 'NL' end as code from events)"""
 ERRORS_SQL = RECORDS_SQL + """, problems as (
   select event_id, 'kind' as field, 'string_too_short' as error_type, kind as input from records where length(kind)<1
   union all select event_id, 'amount', 'missing', null from records where amount is null
@@ -46,7 +46,7 @@ def records(spark, sf):
         F.when(at(50, 4), F.lit(None)).when(at(60, 5), -F.col("value")).when(at(70, 6), 0.0)
         .otherwise(F.col("value")).alias("amount"),
         F.when(at(30, 7), 150.0).when(at(80, 9), -1.0).otherwise((F.col("event_id") % 101).cast("double")).alias("pct"),
-        F.when(at(45, 8), "KOR").otherwise("KR").alias("code"),
+        F.when(at(45, 8), "NLD").otherwise("NL").alias("code"),
     )
 
 
@@ -131,10 +131,10 @@ def dq2_json(spark, sf):
     )
 
 
-@query("dq3_fail_fast_record", "select n_name as name, 'KR' as alpha2_code from nation where n_nationkey=0")
+@query("dq3_fail_fast_record", "select n_name as name, 'NL' as alpha2_code from nation where n_nationkey=0")
 def dq3(spark, sf):
     landed = table(spark, sf, "nation").where("n_nationkey = 0").select(
-        F.to_json(F.struct(F.col("n_name").alias("name"), F.lit("KR").alias("alpha2Code"))).alias("value")
+        F.to_json(F.struct(F.col("n_name").alias("name"), F.lit("NL").alias("alpha2Code"))).alias("value")
     )
     return val.require_valid(flat_record(landed, "value", COUNTRY_FIELDS))
 

@@ -246,11 +246,14 @@ def snk3(spark, sf):
         "row struct<kind:string,amount:double,pct:double,code:string>, "
         "error array<struct<type:string,loc:array<string>,msg:string,input:string,ctx:map<string,string>>>"
     )
+    # numbers are written as numbers, whose text says nothing about their type
+    number = F.get("e.loc", F.lit(0)).isin("amount", "pct")
+    shown = F.when(number, F.col("e.input").cast("double").cast("string")).otherwise(F.col("e.input"))
     return (
         spark.read.schema(schema).json(path)
         .select("row.*", F.explode("error").alias("e"))
         .groupBy("kind", "amount", "pct", "code", F.col("e.loc")[0].alias("field"),
-                 F.col("e.type").alias("error_type"), F.col("e.input").alias("input"))
+                 F.col("e.type").alias("error_type"), shown.alias("input"))
         .agg(F.count("*").alias("n"))
     )
 
@@ -355,12 +358,12 @@ def prj2(spark, sf):
 
 
 @query("prj3_attach_reference", f"""with {WEATHER_SQL} select event_id, time_str, temp, precip_prob,
-  (select n_name from nation where n_nationkey=0) as country, '8.8.8.8' as ip from hours where precip_prob<=100""")
+  (select n_name from nation where n_nationkey=0) as country, '192.0.2.44' as ip from hours where precip_prob<=100""")
 def prj3(spark, sf):
     nation = table(spark, sf, "nation").where("n_nationkey = 0")
-    country = nation.select(F.to_json(F.struct(F.col("n_name").alias("name"), F.lit("KR").alias("alpha2Code"))).alias("value"))
+    country = nation.select(F.to_json(F.struct(F.col("n_name").alias("name"), F.lit("NL").alias("alpha2Code"))).alias("value"))
     ip = nation.select(F.to_json(F.struct(
-        F.lit("8.8.8.8").alias("query"), F.col("n_name").alias("country"), F.lit("c").alias("city"), F.lit("i").alias("isp")
+        F.lit("192.0.2.44").alias("query"), F.col("n_name").alias("country"), F.lit("c").alias("city"), F.lit("i").alias("isp")
     )).alias("value"))
     return enriched_weather(weather_payloads(spark, sf), country, ip, "value", ["event_id"], strict=False)
 

@@ -10,7 +10,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.operators.validation import reject_records
+from millrace.operators.validation import reject_documents
 from millrace.sources.readers import CSV_FORMAT
 
 
@@ -27,8 +27,8 @@ def write_parquet(df: DataFrame, path: str, mode: str = "error") -> None:
 
 
 def write_rejects(checked: DataFrame, path: str, mode: str = "error") -> None:
-    """Reject report as JSON lines; a directory without rows when nothing was rejected."""
-    reject_records(checked).write.mode(mode).option("ignoreNullFields", False).json(path)
+    """Reject report as JSON lines, values with their own JSON types; a directory without rows when nothing was rejected."""
+    reject_documents(checked).write.mode(mode).option("ignoreNullFields", False).json(path)
 
 
 def _cell(value: object, digits: int) -> str:

@@ -31,6 +31,7 @@ def test_cleaning_report(sales):
 
 
 def test_fence_arithmetic():
+    # Published quartiles and the fence that belongs to them.
     f = C.Fence.from_quartiles(757318.5, 3928969.0)
     assert round(f.lower, 1) == -4000157.2 and round(f.upper, 1) == 8686444.8
 

@@ -44,6 +44,7 @@ def test_split_by_several_passes(spark, monkeypatch):
 
 
 def test_allocation():
+    # Published class sizes and the sizes of their split.
     assert allocate({0: 639490, 1: 337650}, 0.2) == {0: 127898, 1: 67530}
     assert allocate({"a": 1, "b": 1, "c": 1}, 0.5) == {"a": 1, "b": 1, "c": 0}
 

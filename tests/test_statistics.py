@@ -12,6 +12,7 @@ from millrace.operators import statistics as S
 
 
 def test_published_p_values():
+    # Published statistics, degrees of freedom and probabilities.
     assert D.t_two_sided(0.6486, 239178 + 115354 - 2) == pytest.approx(0.51662, abs=1e-4)
     assert D.chi2_upper(74.9093, 49) == pytest.approx(0.010021, abs=1e-5)
 
