@@ -81,7 +81,8 @@ def hamming_top_k(codes: DataFrame, queries: DataFrame, k: int = 10, width: int
         flips = F.explode(_masks(masks, width, radius)).alias("mask")
         probes = probes.select("query_code", "j", "own", flips)
         probes = probes.select("query_code", "j", F.col("own").bitwiseXOR(F.col("mask")).alias("value"))
-        found = probes.join(index, ["j", "value"])
+        # Spark does not foresee how many probes a query makes, so it must not broadcast them
+        found = probes.hint("merge").join(index, ["j", "value"])
         # a code is taken in the round of its nearest segment, at the first such segment
         differ = [F.bit_count(_segment(F.col("query_code").bitwiseXOR(F.col("code")), j, width)) for j in range(parts)]
         nearest = F.least(*differ)
