@@ -25,9 +25,10 @@ from pyspark.sql import functions as F
 
 from millrace.llm.batches import byte_rows, slices
 
-#: Moves kept before the machine starts anew, and pieces remembered per worker.
-MAX_MOVES = 400_000
-MAX_PIECES = 500_000
+#: Moves, and checked pairs of tokens, kept before the machine starts anew: some 30 MB each.
+MAX_MOVES = MAX_PAIRS = 150_000
+#: Bytes of one generation of remembered pieces in a worker, and of an entry besides its text; two are kept.
+PIECE_BYTES, ENTRY_BYTES = 24 << 20, 250
 #: Positions after which settled tokens are emitted.
 FLUSH = 4096
 NEVER = 1 << 62
@@ -164,7 +165,7 @@ class Transducer:
         for byte in piece:
             step = moves.get(state << 8 | byte)
             if step is None:
-                if len(moves) >= MAX_MOVES:
+                if len(moves) >= MAX_MOVES or len(self._pairs) >= MAX_PAIRS:
                     here = self._states[state]
                     self._forget()
                     self._pairs.clear()
@@ -199,8 +200,13 @@ class PieceTokens:
 
     def __init__(self, transducer: Transducer):
         self._transducer = transducer
+        self.forget()
+
+    def forget(self) -> None:
+        """Empty the memory: a worker outlives its task."""
         self._new: dict[str, bytes] = {}
         self._old: dict[str, bytes] = {}
+        self._held = 0
 
     def pack(self, pieces: list[str]) -> bytes:
         new = self._new
@@ -215,9 +221,10 @@ class PieceTokens:
                     ids = self._transducer.encode(piece.encode())
                     packed = struct.pack(f"<{len(ids)}I", *ids)
                 new[piece] = packed
+                self._held += 4 * len(piece) + len(packed) + ENTRY_BYTES
         out = b"".join(map(new.__getitem__, pieces))
-        if len(new) >= MAX_PIECES:
-            self._old, self._new = new, {}
+        if self._held >= PIECE_BYTES:
+            self._old, self._new, self._held = new, {}, 0
         return out
 
 
@@ -308,9 +315,17 @@ class ByteBpe:
         """Ids of a text as little-endian unsigned 32-bit integers."""
         return self._pieces.pack(self._pattern.findall(text))
 
+    def forget(self) -> None:
+        self._pieces.forget()
+
     def decode_bytes(self, packed: bytes) -> bytes:
         return b"".join(map(self._bytes.__getitem__, np.frombuffer(packed, "<u4").tolist()))
 
+    def decode(self, packed: bytes, chunk_ids: int = 1 << 14) -> str:
+        """The text of packed ids, decoded as a stream of chunks."""
+        step = 4 * chunk_ids
+        return "".join(self.decode_stream(packed[i : i + step] for i in range(0, len(packed), step)))
+
     def decode_stream(self, chunks):
         """Text pieces of packed ids that arrive in chunks; characters are never cut."""
         machine = Utf8Machine()
@@ -346,6 +361,7 @@ def encode_documents(
             for rows in slices(batch, "text"):
                 ids = [codec.encode(t.decode("utf-8", "replace")) for t in byte_rows(rows.column("text"))]
                 yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array(ids, pa.binary())], ["doc_id", "ids"])
+        codec.forget()
 
     return wanted.mapInArrow(encode, f"doc_id {id_type}, ids binary")
 
@@ -359,13 +375,9 @@ def decode_documents(encoded: DataFrame, ranks_path: str, pattern: str, chunk_id
 
     def decode(batches):
         codec = byte_bpe(ranks_path, pattern)
-        step = 4 * chunk_ids
         for batch in batches:
             for rows in slices(batch, "ids", 1 << 22):
-                texts = [
-                    "".join(codec.decode_stream(ids[i : i + step] for i in range(0, len(ids), step)))
-                    for ids in byte_rows(rows.column("ids"))
-                ]
+                texts = [codec.decode(ids, chunk_ids) for ids in byte_rows(rows.column("ids"))]
                 yield pa.RecordBatch.from_arrays(
                     [rows.column("doc_id"), rows.column("ids"), pa.array(texts, pa.string())], ["doc_id", "ids", "text"]
                 )
@@ -375,7 +387,20 @@ def decode_documents(encoded: DataFrame, ranks_path: str, pattern: str, chunk_id
 
 def round_trip(docs: DataFrame, ranks_path: str, pattern: str, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """Encode every text and decode it again: doc_id, n_tokens and digests of ids and of the decoded bytes."""
-    decoded = decode_documents(encode_documents(docs, ranks_path, pattern, text_col, id_col), ranks_path, pattern)
+    wanted = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    id_type = wanted.schema["doc_id"].dataType.simpleString()
+
+    def run(batches):
+        # both ways in one worker: one rank table and one machine
+        codec = byte_bpe(ranks_path, pattern)
+        for batch in batches:
+            for rows in slices(batch, "text"):
+                ids = [codec.encode(t.decode("utf-8", "replace")) for t in byte_rows(rows.column("text"))]
+                columns = [rows.column("doc_id"), pa.array(ids, pa.binary()), pa.array(map(codec.decode, ids), pa.string())]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "ids", "text"])
+        codec.forget()
+
+    decoded = wanted.mapInArrow(run, f"doc_id {id_type}, ids binary, text string")
     return decoded.select(
         "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"),
