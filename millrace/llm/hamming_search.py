@@ -70,25 +70,27 @@ def hamming_top_k(codes: DataFrame, queries: DataFrame, k: int = 10, width: int
     segments = F.array(*[F.struct(F.lit(j).alias("j"), _segment(F.col("code"), j, width).alias("value")) for j in range(parts)])
     index = stage(distinct.select("code", "first_id", "held", F.explode(segments).alias("s")).select("*", "s.*").drop("s"), "index")
 
-    waiting = stage(asked.select("query_code").distinct(), "waiting")
+    # a query's bound is the distance of its k-th code so far: no farther code can be among the nearest
+    waiting = stage(asked.select("query_code").distinct().withColumn("bound", F.lit(BITS)), "waiting")
     best: DataFrame | None = None
     done: list[DataFrame] = []
     for radius in range(width + 1):
         masks = [sum(1 << b for b in bits) for bits in combinations(range(width), radius)]
         probes = waiting.select(
-            "query_code", F.explode(F.array(*[F.struct(F.lit(j).alias("j"), _segment(F.col("query_code"), j, width).alias("own")) for j in range(parts)])).alias("s")
-        ).select("query_code", "s.*")
+            "query_code", "bound", F.explode(F.array(*[F.struct(F.lit(j).alias("j"), _segment(F.col("query_code"), j, width).alias("own")) for j in range(parts)])).alias("s")
+        ).select("query_code", "bound", "s.*")
         flips = F.explode(_masks(masks, width, radius)).alias("mask")
-        probes = probes.select("query_code", "j", "own", flips)
-        probes = probes.select("query_code", "j", F.col("own").bitwiseXOR(F.col("mask")).alias("value"))
+        probes = probes.select("query_code", "bound", "j", "own", flips)
+        probes = probes.select("query_code", "bound", "j", F.col("own").bitwiseXOR(F.col("mask")).alias("value"))
         # Spark does not foresee how many probes a query makes, so it must not broadcast them
         found = probes.hint("merge").join(index, ["j", "value"])
         # a code is taken in the round of its nearest segment, at the first such segment
         differ = [F.bit_count(_segment(F.col("query_code").bitwiseXOR(F.col("code")), j, width)) for j in range(parts)]
         nearest = F.least(*differ)
         first = F.coalesce(*[F.when(d == nearest, F.lit(j)) for j, d in enumerate(differ)])
-        found = found.where((nearest == radius) & (F.col("j") == first)).select(
-            "query_code", "code", "first_id", "held", F.bit_count(F.col("query_code").bitwiseXOR(F.col("code"))).alias("distance")
+        away = F.bit_count(F.col("query_code").bitwiseXOR(F.col("code")))
+        found = found.where((away <= F.col("bound")) & (nearest == radius) & (F.col("j") == first)).select(
+            "query_code", "code", "first_id", "held", away.alias("distance")
         )
         if best is not None:
             found = best.join(waiting, "query_code", "left_semi").unionByName(found)
@@ -97,7 +99,10 @@ def hamming_top_k(codes: DataFrame, queries: DataFrame, k: int = 10, width: int
         finished = best.where(F.col("distance") <= covered).groupBy("query_code").agg(F.sum("held").alias("n"))
         finished = finished.where((F.col("n") >= reach) | F.lit(radius == width)).select("query_code")
         done.append(best.join(finished, "query_code", "left_semi"))
-        waiting = stage(waiting.join(finished, "query_code", "left_anti"), "waiting")
+        kth = F.when(F.count(F.lit(1)) >= k, F.max("distance")).otherwise(F.lit(BITS))
+        bounds = best.groupBy("query_code").agg(kth.alias("bound"))
+        open_ = waiting.select("query_code").join(finished, "query_code", "left_anti").join(bounds, "query_code", "left")
+        waiting = stage(open_.select("query_code", F.coalesce("bound", F.lit(BITS)).alias("bound")), "waiting")
         if waiting.isEmpty():
             break
     codes_found = done[0]
