@@ -25,10 +25,10 @@ from pyspark.sql import functions as F
 
 from millrace.llm.batches import byte_rows, slices
 
-#: Moves, and checked pairs of tokens, kept before the machine starts anew: some 30 MB each.
-MAX_MOVES = MAX_PAIRS = 150_000
+#: Moves, and checked pairs of tokens, kept before the machine starts anew: some 70 MB each.
+MAX_MOVES = MAX_PAIRS = 350_000
 #: Bytes of one generation of remembered pieces in a worker, and of an entry besides its text; two are kept.
-PIECE_BYTES, ENTRY_BYTES = 24 << 20, 250
+PIECE_BYTES, ENTRY_BYTES = 72 << 20, 250
 #: Positions after which settled tokens are emitted.
 FLUSH = 4096
 NEVER = 1 << 62
