@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from multiprocessing.pool import ThreadPool
 
+import numpy as np
+import pandas as pd
+from pyspark import SparkContext, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame
@@ -15,6 +19,10 @@ from millrace.functions.columns import DECIMALS, mean
 from millrace.operators.cleaning import drop_missing
 from millrace.operators.metrics import accuracy
 from millrace.operators.subsets import Design, r_squared_on
+from millrace.session import spread, stage
+
+#: Distinct rows that the trees grown at one time read together; a tree takes 150 to 200 bytes of executors for each.
+ROWS_AT_ONCE = 16_000_000
 
 
 def label_above_mean(df: DataFrame, value: str, label: str, scale: int | None = DECIMALS) -> DataFrame:
@@ -84,6 +92,70 @@ def feature_stages(
     return [*stages, VectorAssembler(inputCols=inputs, outputCol="features")]
 
 
+def bootstrap_counts(seeds: pd.Series, n: pd.Series, trees: int) -> pd.Series:
+    """How often each of ``trees`` bootstrap samples holds a row that occurs ``n`` times: Poisson(n),
+    the sum of the Poisson(1) draws of its copies. A row's draws depend on its own seed alone."""
+    draws = [np.random.Generator(np.random.Philox(key=int(s) % (1 << 64))).poisson(k, trees) for s, k in zip(seeds, n)]
+    return pd.Series([d.astype(np.int64) for d in draws])
+
+
+class CountedForest(RandomForestClassifier):
+    """Random forest grown over the distinct rows of (features, label) and their counts.
+
+    Spark's forest draws a bootstrap count for every row and tree and walks all trees with every
+    row, level by level. Equal rows always go the same way, so here they are counted first and each
+    tree draws their number at once, from the same distribution. Trees are Spark's own, each grown
+    over its weighted rows; several at a time, so that small tables use all cores too. Nothing is
+    left out: a table without equal rows has every row among the distinct ones.
+    """
+
+    def _bags(self, dataset: DataFrame) -> DataFrame:
+        """features, label, and per tree the number of times its sample holds the row."""
+        trees, label = self.getNumTrees(), self.getLabelCol()
+        counted = dataset.groupBy("features", label).agg(F.count(F.lit(1)).alias("n"))
+        draw = F.pandas_udf(lambda seeds, n: bootstrap_counts(seeds, n, trees), "array<bigint>")
+        drawn = counted.withColumn("drawn", draw(F.xxhash64(F.lit(self.getSeed()), "features", label), "n"))
+        return stage(drawn.select("features", label, "n", *[F.col("drawn")[i].alias(f"n{i}") for i in range(trees)]), "bags")
+
+    def _fit(self, dataset: DataFrame) -> RandomForestClassificationModel:
+        spark, trees, label = dataset.sparkSession, self.getNumTrees(), self.getLabelCol()
+        bags, names = self._bags(dataset), [f"n{i}" for i in range(trees)]
+        found = bags.agg(F.count(F.lit(1)).alias("rows"), F.max(label).alias("top"), *[F.sum(c).alias(c) for c in ["n", *names]]).first()
+        if not found["rows"]:
+            raise ValueError("no rows to grow a forest on")
+        classes = max(int(found["top"] or 0) + 1, 2)
+        # the sample of a tree may miss a class: all trees know the classes of the table
+        known = F.col(label).cast("double").alias(label, metadata={"ml_attr": {"type": "nominal", "num_vals": classes}})
+
+        def grow(i: int) -> RandomForestClassificationModel:
+            name = names[i] if found[names[i]] else "n"  # a sample of a few rows can be empty
+            size, least = found[name], self.getMinInstancesPerNode()
+            tree = RandomForestClassifier(
+                labelCol=label, weightCol="n", numTrees=1, bootstrap=False, featureSubsetStrategy="sqrt" if trees > 1 else "all",
+                maxDepth=self.getMaxDepth() if size >= 2 * least else 0, seed=self.getSeed() + i,
+                # counts are whole numbers: half a row less keeps rounding out of the comparison
+                minInstancesPerNode=1, minWeightFractionPerNode=min((least - 0.5) / size, 0.4999),
+            )
+            return tree.fit(bags.where(F.col(name) > 0).select("features", known, F.col(name).cast("double").alias("n")))
+
+        at_once = min(trees, spark.sparkContext.defaultParallelism, ROWS_AT_ONCE // found["rows"])
+        with ThreadPool(max(1, at_once)) as pool:
+            grown = pool.map(inheritable_thread_target(spark)(grow), range(trees), chunksize=1)
+        forest = self._copyValues(together(grown, classes))
+        forest._transfer_params_to_java()
+        return forest
+
+
+def together(grown: Sequence[RandomForestClassificationModel], classes: int) -> RandomForestClassificationModel:
+    """One forest of the trees of forests of one tree."""
+    sc = SparkContext.getOrCreate()
+    ml, first = sc._jvm.org.apache.spark.ml.classification, grown[0]._java_obj
+    trees = sc._gateway.new_array(ml.DecisionTreeClassificationModel, len(grown))
+    for i, model in enumerate(grown):
+        trees[i] = model._java_obj.trees()[0]
+    return RandomForestClassificationModel(ml.RandomForestClassificationModel(first.uid(), trees, first.numFeatures(), classes))
+
+
 def forest_pipeline(
     train: DataFrame,
     numeric: Sequence[str],
@@ -96,7 +168,7 @@ def forest_pipeline(
     null_category: str | None = None,
 ) -> Pipeline:
     """Unfitted pipeline: preprocessing and a random forest of bounded size."""
-    forest = RandomForestClassifier(
+    forest = CountedForest(
         labelCol=label,
         featuresCol="features",
         numTrees=trees,
@@ -115,12 +187,12 @@ def linear_pipeline(train: DataFrame, numeric: Sequence[str], categorical: Seque
 
 def predictions(model: PipelineModel, df: DataFrame, label: str) -> DataFrame:
     """Label and predicted class."""
-    return model.transform(df).select(label, F.col("prediction").cast("int").alias("prediction"))
+    return model.transform(spread(df)).select(label, F.col("prediction").cast("int").alias("prediction"))
 
 
 def scored(model: PipelineModel, df: DataFrame, name: str) -> DataFrame:
     """The rows with the predicted class in a column of that name."""
-    return model.transform(df).select(*df.columns, F.col("prediction").cast("int").alias(name))
+    return model.transform(spread(df)).select(*df.columns, F.col("prediction").cast("int").alias(name))
 
 
 def compare_feature_sets(

@@ -16,7 +16,7 @@ from millrace.operators.splits import stratified_split
 from millrace.operators.subsets import all_subsets
 from millrace.plans.registry import CLEAN_SQL, LABELED_SQL, SALES_SQL, query
 from millrace.plans.sales import REQUIRED, cleaned_sales, sales, staged_sales
-from millrace.session import scratch_path, stage
+from millrace.session import scratch_path, spread, stage
 from millrace.sources.sinks import save_model
 
 LABEL = "high_value"
@@ -35,7 +35,7 @@ def features(spark, sf, extra=()):
 def split(spark, sf, extra=()):
     """Train and test side, staged: each is scanned once per tree level."""
     train, test = stratified_split(stage(features(spark, sf, [*extra, KEY]), "features"), LABEL, key=[KEY])
-    return stage(train, "train"), stage(test, "test")
+    return stage(spread(train), "train"), stage(spread(test), "test")
 
 
 @query("ml1_features_and_label", f"""with {LABELED_SQL}
@@ -241,7 +241,7 @@ def ml13(spark, sf):
     df = staged_sales(spark, sf).where(F.col("amount").isNotNull())
     labeled = modeling.label_above_mean(df, "amount", LABEL).select("quantity", "customer_age", "payment_method", KEY, LABEL)
     train, test = stratified_split(stage(labeled, "features"), LABEL, key=[KEY])
-    train, test = stage(train, "train"), stage(test, "test")
+    train, test = stage(spread(train), "train"), stage(spread(test), "test")
     model = modeling.forest_pipeline(train, ["quantity", "customer_age"], ["payment_method"], LABEL).fit(train)
     f1 = metrics.f1_score(modeling.predictions(model, test, LABEL), LABEL, "prediction")
     return f1.select(F.col("f1").between(0, 1).alias("within_bounds"), (F.col("f1") > 0).alias("finds_some"))

@@ -145,3 +145,36 @@ def test_scores(rows):
     assert M.positive_ratio(df, "y").first()[0] == 0.6
     reg = rows("y double, p double", [(1.0, 1.0), (2.0, 2.5), (3.0, 3.0)])
     assert M.r_squared(reg, "y", "p").first()[0] == pytest.approx(1 - 0.25 / 2)
+
+
+def test_forest_counts_equal_rows(spark, leaky):
+    """Trees are grown over distinct rows; copies count as often as they occur, and give the same sizes of leaves."""
+    few = leaky.select((F.col("x") % 5).alias("x"), "y").unionAll(leaky.select((F.col("x") % 5).alias("x"), "y"))
+    features = B.feature_stages(few, ["x"], [])
+    forest = B.forest_pipeline(few, ["x"], [], "y", trees=6, depth=3, min_leaf=20).getStages()[-1]
+    bags = forest._bags(Pipeline(stages=features).fit(few).transform(few))
+    names = [f"n{i}" for i in range(6)]
+    row = bags.agg(F.count("*").alias("rows"), F.sum("n").alias("n"), *[F.sum(c).alias(c) for c in names]).first()
+    assert row["rows"] <= 20 and row["n"] == 3000
+    assert all(abs(row[c] - 3000) < 6 * 3000**0.5 for c in names) and len({row[c] for c in names}) > 1
+    model = B.forest_pipeline(few, ["x"], [], "y", trees=6, depth=3, min_leaf=20).fit(few)
+    assert model.stages[-1].getNumTrees == 6 and model.stages[-1].numClasses == 2
+    stump = B.forest_pipeline(few, ["x"], [], "y", trees=1, min_leaf=1700).fit(few).stages[-1]
+    assert stump.totalNumNodes == 1 < model.stages[-1].totalNumNodes / 6  # no split leaves 1700 on both sides
+
+
+def test_bootstrap_counts_do_not_depend_on_neighbours():
+    import pandas as pd
+
+    both = B.bootstrap_counts(pd.Series([5, -7]), pd.Series([1000, 2]), 400)
+    alone = B.bootstrap_counts(pd.Series([-7]), pd.Series([2]), 400)
+    assert both[1].tolist() == alone[0].tolist()
+    assert abs(both[0].mean() - 1000) < 10 and 700 < both[0].var() < 1300
+
+
+def test_one_file_is_dealt_over_all_cores(spark, tmp_path):
+    from millrace.session import spread
+
+    spark.range(1000).coalesce(1).write.parquet(str(tmp_path / "one"))
+    few = spark.read.parquet(str(tmp_path / "one"))
+    assert spread(few).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
