@@ -33,3 +33,19 @@ def test_a_full_memory_changes_nothing(monkeypatch):
         texts = [" ".join(f"word{rng.integers(60)}." for _ in range(rng.integers(0, 30))) for _ in range(4)]
         assert encoder.pack([t.encode() for t in texts], 2) == expected(texts)
     assert len(encoder._new) + len(encoder._old) < 250
+
+
+def test_words_are_encoded_together():
+    """New words share calls of the tokenizer, also with zero bytes, runs of marks and special tokens among them."""
+    texts = [f"word{i}x{i * 7919 % 1000}{m}" for i in range(300) for m in ("", "$$$", "?!", "é.", "\x00", "<|endoftext|>", "'")]
+    memory = T.WordTokens(WORDS)
+    inner, calls = memory._tokenizer, []
+
+    class Counting:
+        def encode_batch_fast(self, given, **options):
+            calls.append(len(given))
+            return inner.encode_batch_fast(given, **options)
+
+    memory._tokenizer = Counting()
+    assert memory.pack([" ".join(texts).encode()], 2) == expected([" ".join(texts)])
+    assert sum(calls) < len(texts) / 2
