@@ -52,7 +52,9 @@ def column_agreement(left: DataFrame, right: DataFrame) -> DataFrame:
     """``column_name, left_rows, right_rows, agrees`` per column: present values of each side, and whether
     the two hold the same values equally often. Order does not matter, and each side is read once.
 
-    Columns are compared by name; the sums of two hashes per value stand for the values.
+    Columns are compared by name; the sums of two hashes per value stand for the values. The two
+    halves of a hash, as signed 32-bit numbers, have sums of their own: bigints hold those of 4
+    billion values without overflow, and are added much faster than decimals.
     """
     names = left.columns
 
@@ -60,8 +62,9 @@ def column_agreement(left: DataFrame, right: DataFrame) -> DataFrame:
         parts = []
         for i, c in enumerate(names):
             v = F.col(quoted(c))
-            hashes = [F.sum(F.when(v.isNotNull(), F.xxhash64(F.lit(seed), v)).cast("decimal(20,0)")) for seed in (1, 2)]
-            parts.append(F.struct(F.lit(i).alias("i"), F.count(v).alias(f"{side}_rows"), F.array(*hashes).alias(f"{side}_sums")))
+            hashes = [F.when(v.isNotNull(), F.xxhash64(F.lit(seed), v)) for seed in (1, 2)]
+            halves = [F.sum(half) for h in hashes for half in (F.shiftright(h, 32), F.shiftright(F.shiftleft(h, 32), 32))]
+            parts.append(F.struct(F.lit(i).alias("i"), F.count(v).alias(f"{side}_rows"), F.array(*halves).alias(f"{side}_sums")))
         return df.agg(F.array(*parts).alias("p")).select(F.inline("p"))
 
     both = sums(left, "left").join(sums(right, "right"), "i")

@@ -216,9 +216,10 @@ def csv_module_rows(spark: SparkSession, path: str, columns: Sequence[str], sepa
             for row in rows:
                 if len(row) != len(columns):
                     raise ValueError(f"{len(row)} fields in place of {len(columns)}: {row[:5]}")
-            values = zip(*rows) if rows else [[] for _ in columns]
+            values = [pa.array(column, pa.string()) for column in (zip(*rows) if rows else [()] * len(columns))]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([v or None for v in column], pa.string()) for column in values], names=[f"c{i}" for i in range(len(columns))]
+                [pc.if_else(pc.equal(column, ""), pa.scalar(None, pa.string()), column) for column in values],
+                names=[f"c{i}" for i in range(len(columns))],
             )
 
     body = records(spark, path, separator).where("not first").select(F.regexp_replace("text", r"\r\z", "").alias("text")).where("text <> ''")
