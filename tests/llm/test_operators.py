@@ -123,6 +123,29 @@ def test_near_edges(edges, nothing):
     assert sorted(r["doc_id"] for r in near_dedup.drop_near(edges).collect()) == [1, 2, 3, 4, 6, 7]
 
 
+def test_near_copies_that_are_not_linked_rarely_meet(rows, monkeypatch):
+    """Own words at the same three places: 134 of 158 shingles in common, just less than 85 %."""
+    made = {}
+
+    def counted(df, name):
+        out = stage(df, name)
+        made[name] = out.count()
+        return out
+
+    monkeypatch.setattr(near_dedup, "stage", counted)
+    texts = {}
+    for i in range(60):
+        words = [f"w{k}" for k in range(150)]
+        for k in (1, 50, 100):
+            words[k] = f"own{i}x{k}"
+        texts[i] = " ".join(words)
+    long = [f"v{k}" for k in range(104)]  # 85 of 100 shingles: linked
+    texts |= {100: " ".join(long), 101: " ".join(long[:89]), 102: " ".join(long[:88])}
+    found = near_dedup.near_duplicates(rows("doc_id long, text string", list(texts.items()))).collect()
+    assert {r["doc_id"]: r["component_id"] for r in found} == brute_components(texts, 85)[0]
+    assert made["across"] <= len(texts)
+
+
 def word_ids(texts):
     encoded = Tokenizer.from_file(WORDS).encode_batch([t or "" for t in texts], add_special_tokens=False)
     return [np.array(e.ids + [2], "<u4") for e in encoded]
