@@ -34,23 +34,27 @@ class InvertedIndex:
     """BM25 postings over the token ids of a block of documents."""
 
     def __init__(self, docs: list[np.ndarray]):
-        terms, owners, counts = [], [], []
-        for i, ids in enumerate(docs):
-            t, c = np.unique(ids, return_counts=True)
-            terms.append(t)
-            owners.append(np.full(len(t), i, dtype=np.int32))
-            counts.append(c)
-        self._bounds = np.concatenate([[0], np.cumsum([len(t) for t in terms])])
-        flat = np.concatenate(terms) if terms else np.zeros(0, np.uint32)
-        doc, tf = np.concatenate(owners), np.concatenate(counts).astype(np.float32)
-        _, self._term, df = np.unique(flat, return_inverse=True, return_counts=True)
+        sizes = np.array([len(d) for d in docs])
+        keys = np.repeat(np.arange(len(docs), dtype=np.uint64) << np.uint64(32), sizes) | np.concatenate(docs).astype(np.uint64)
+        keys.sort()
+        first = np.ones(len(keys), dtype=bool)
+        first[1:] = keys[1:] != keys[:-1]
+        at = np.flatnonzero(first)
+        tf = np.diff(np.append(at, len(keys))).astype(np.float32)
+        keys = keys[at]
+        doc, flat = (keys >> np.uint64(32)).astype(np.int32), (keys & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        self._bounds = np.searchsorted(doc, np.arange(len(docs) + 1))
+        used = np.bincount(flat)  # ids are places in a vocabulary
+        df = used[used > 0]
+        self._term = (np.cumsum(used > 0) - 1)[flat]
         self._idf = np.log1p((len(docs) - df + 0.5) / (df + 0.5)).astype(np.float32)
         self._df = df
-        size = np.array([len(d) for d in docs], dtype=np.float32)
+        size = sizes.astype(np.float32)
         norm = K1 * (1 - B + B * size / max(size.mean(), 1))
         weight = self._idf[self._term] * tf * (K1 + 1) / (tf + norm[doc])
         self._gain = weight
-        order = np.argsort(self._term, kind="stable")
+        # 16 bits are sorted by their digits
+        order = np.argsort(self._term.astype(np.uint16) if len(df) <= 1 << 16 else self._term, kind="stable")
         self._posted, self._weight = doc[order], weight[order]
         self._lists = np.concatenate([[0], np.cumsum(df)])
         self._n = len(docs)
@@ -70,7 +74,10 @@ class InvertedIndex:
             at = slice(self._lists[t], self._lists[t + 1])
             scores[self._posted[at]] += self._weight[at]
         found = np.flatnonzero((scores > 0) & unused)
-        return found[np.lexsort((found, -scores[found]))]
+        # scores are positive, so their bits are in order, too; the place decides among equal ones
+        keys = (~scores[found].view(np.uint32)).astype(np.uint64) << np.uint64(32) | found.astype(np.uint64)
+        keys.sort()
+        return (keys & np.uint64(0xFFFFFFFF)).astype(np.int64)
 
 
 def fill_windows(docs: list[np.ndarray], window: int, used: int) -> Iterator[tuple[int, int, int]]:

@@ -188,6 +188,25 @@ def test_neighbours_share_words():
     assert 4 not in index.neighbours(0, np.ones(5, bool)) and 1 not in index.neighbours(0, np.ones(5, bool))
 
 
+def test_index_counts_and_orders_like_plain_bm25():
+    rng = np.random.default_rng(5)
+    docs = [rng.integers(0, 30, rng.integers(0, 12)).astype("<u4") for _ in range(50)] + [np.array([2], "<u4")] * 3
+    index, n, mean = packing.InvertedIndex(docs), len(docs), np.mean([len(d) for d in docs])
+    df = {t: sum(t in d for d in docs) for t in range(30)}
+
+    def score(seed, i):
+        norm = packing.K1 * (1 - packing.B + packing.B * len(docs[i]) / mean)
+        tf = lambda t: int((docs[i] == t).sum())
+        return sum(np.log1p((n - df[t] + 0.5) / (df[t] + 0.5)) * tf(t) * (packing.K1 + 1) / (tf(t) + norm) for t in set(docs[seed].tolist()))
+
+    for seed in range(n):
+        found = index.neighbours(seed, np.ones(n, bool)).tolist()
+        scores = [score(seed, i) for i in range(n)]
+        assert sorted(found) == [i for i in range(n) if scores[i] > 0]
+        assert all(scores[a] > scores[b] - 1e-4 for a, b in zip(found, found[1:]))
+        assert all(a < b for a, b in zip(found, found[1:]) if docs[a].tolist() == docs[b].tolist())
+
+
 def test_token_files(spark, edges, nothing):
     folder = scratch_path(spark, "tokens")
     found = sorted(map(tuple, token_files.token_table(edges, WORDS, folder=folder).collect()))
