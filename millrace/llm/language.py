@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from millrace.llm.batches import LOWER, mix, slices, text_bytes
+from millrace.llm.batches import LOWER, SMALL_SLICE, mix, slices, text_bytes
 from millrace.session import stage
 
 OTHER = "other"
@@ -79,7 +79,7 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col:
 
     def count(batches):
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SMALL_SLICE):
                 names = np.asarray(part.column("lang").to_pylist())
                 bucket, row = trigrams(*text_bytes(part.column("text")))
                 for lang in np.unique(names):
@@ -132,7 +132,7 @@ def identify(rows: DataFrame, model: TrigramModel, at_least: float = 0.5) -> Dat
 
     def weigh(batches):
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SMALL_SLICE):
                 mean, n = model.likelihoods(*text_bytes(part.column("text")))
                 weight = mean * np.minimum(n, EFFECTIVE)[:, None]
                 yield pa.RecordBatch.from_arrays(

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.batches import mix, sequence_hashes, slices, text_bytes, word_hashes
+from millrace.llm.batches import SMALL_SLICE, mix, sequence_hashes, slices, text_bytes, word_hashes
 from millrace.llm.components import components
 from millrace.llm.registry import unused
 from millrace.session import stage
@@ -92,7 +92,7 @@ def sketches(docs: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SMALL_SLICE):
                 sets = shingle_sets(*text_bytes(part.column("text")))
                 salt = np.uint64(0xA5A5A5A5A5A5A5A5)
                 digests = [
@@ -117,7 +117,7 @@ def full_sets(docs: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SMALL_SLICE):
                 sets = shingle_sets(*text_bytes(part.column("text")))
                 bounds = np.concatenate([[0], np.cumsum([len(s) for s in sets])])
                 flat = np.concatenate([np.zeros(0, np.uint64), *sets]).view(np.int64)

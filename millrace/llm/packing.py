@@ -35,18 +35,24 @@ class InvertedIndex:
 
     def __init__(self, docs: list[np.ndarray]):
         sizes = np.array([len(d) for d in docs])
-        keys = np.repeat(np.arange(len(docs), dtype=np.uint64) << np.uint64(32), sizes) | np.concatenate(docs).astype(np.uint64)
+        largest = max((int(d.max()) for d in docs if len(d)), default=0)
+        # document and id in one number, of 32 bits where both fit in 16
+        kind, bits = (np.uint32, 16) if max(len(docs) - 1, largest) >> 16 == 0 else (np.uint64, 32)
+        keys = np.repeat(np.arange(len(docs), dtype=kind) << kind(bits), sizes)
+        keys |= np.concatenate(docs)
         keys.sort()
         first = np.ones(len(keys), dtype=bool)
-        first[1:] = keys[1:] != keys[:-1]
-        at = np.flatnonzero(first)
-        tf = np.diff(np.append(at, len(keys))).astype(np.float32)
+        np.not_equal(keys[1:], keys[:-1], out=first[1:])
+        at = np.flatnonzero(first).astype(np.int32 if len(keys) >> 31 == 0 else np.int64)
+        tf = np.diff(at, append=at.dtype.type(len(keys))).astype(np.float32)
         keys = keys[at]
-        doc, flat = (keys >> np.uint64(32)).astype(np.int32), (keys & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        del first, at  # a block is some million ids: what is not needed any more goes
+        doc, flat = (keys >> kind(bits)).astype(np.int32), keys & kind((1 << bits) - 1)
+        del keys
         self._bounds = np.searchsorted(doc, np.arange(len(docs) + 1))
-        used = np.bincount(flat)  # ids are places in a vocabulary
+        used = np.bincount(flat.astype(np.int64))  # ids are places in a vocabulary
         df = used[used > 0]
-        self._term = (np.cumsum(used > 0) - 1)[flat]
+        self._term = (np.cumsum(used > 0) - 1).astype(np.int32)[flat]
         self._idf = np.log1p((len(docs) - df + 0.5) / (df + 0.5)).astype(np.float32)
         self._df = df
         size = sizes.astype(np.float32)

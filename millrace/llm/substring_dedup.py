@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.batches import LOWER, _power, mix, slices, span_hashes, text_bytes, word_spans
+from millrace.llm.batches import LOWER, SMALL_SLICE, _power, mix, slices, span_hashes, text_bytes, word_spans
 from millrace.session import stage
 
 MIN_LINE = 8
@@ -161,7 +161,7 @@ def _cleaned(rows: DataFrame) -> DataFrame:
 
     def cut(batches):
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SMALL_SLICE):
                 found = passages(*text_bytes(part.column("text")))
                 digests = [d[new] for d, new, _ in (first_in_text(found, i) for i in range(len(part)))]
                 owner = np.repeat(np.arange(len(part)), [len(d) for d in digests])
@@ -179,7 +179,7 @@ def _cleaned(rows: DataFrame) -> DataFrame:
 
     def clean(batches):
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SMALL_SLICE):
                 data, bounds = text_bytes(part.column("text"))
                 found = passages(data, bounds)
                 texts = part.column("text").to_pylist()
