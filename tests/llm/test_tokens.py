@@ -49,3 +49,29 @@ def test_words_are_encoded_together():
     memory._tokenizer = Counting()
     assert memory.pack([" ".join(texts).encode()], 2) == expected([" ".join(texts)])
     assert sum(calls) < len(texts) / 2
+
+
+def test_latin_words_skip_the_steps_before_the_model():
+    """Words of Latin letters go to the model alone; what looks like them but is not does not."""
+    letters = [f"{a}{b}{c}" for a in "abÉßſ" for b in ("", "ÿÀ", "Łx", "Ğı") for c in ("q", "é", "Ž")]
+    others = ["İx", "x×y", "µa", "aª", "éa", "Σας", "ab'c", "a.b", "x\x00", "日x", "Ÿ", "aĿ", "aͅ"]
+    memory = T.WordTokens(WORDS)
+    inner, given = memory._tokenizer, []
+
+    class Counting:
+        def encode_batch_fast(self, texts, **options):
+            given.extend(texts)
+            return inner.encode_batch_fast(texts, **options)
+
+    memory._tokenizer = Counting()
+    text = " ".join(w + end for w in letters for end in ("", ".", "?!", "'"))
+    assert memory.pack([text.encode()], 2) == expected([text])
+    assert sorted(" ".join(given).replace("\x00", "").split()) == ["'", ".", "?!"]
+    mixed = [" ".join(w + end for w in letters[i::4] + others for end in ("", ".", "'s", "'<|")) + " <|endoftext|>" for i in range(4)]
+    assert memory.pack([t.encode() for t in mixed], 2) == expected(mixed)
+
+
+def test_every_letter_is_encoded_as_by_the_tokenizer():
+    """All characters of the first blocks, in and at both ends of words."""
+    texts = [" ".join(f"{c} a{c} {c}a. A{c}b {c}'s É{c}ÿ" for c in map(chr, range(i, i + 64))) for i in range(1, 0x700, 64)]
+    assert T.WordTokens(WORDS).pack([t.encode() for t in texts], 2) == expected(texts)
