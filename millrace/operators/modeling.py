@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from functools import reduce
 from multiprocessing.pool import ThreadPool
 
 import numpy as np
@@ -16,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import DECIMALS, mean
+from millrace.operators import forests
 from millrace.operators.cleaning import drop_missing
 from millrace.operators.metrics import accuracy
 from millrace.operators.subsets import Design, r_squared_on
@@ -23,6 +26,8 @@ from millrace.session import spread, stage
 
 #: Distinct rows that the trees grown at one time read together; a tree takes 150 to 200 bytes of executors for each.
 ROWS_AT_ONCE = 16_000_000
+#: Memory that a task may take for the cells of a table and the sample of a tree: some 36 million cells of one word.
+TASK_BYTES = 1 << 30
 
 
 def label_above_mean(df: DataFrame, value: str, label: str, scale: int | None = DECIMALS) -> DataFrame:
@@ -100,29 +105,62 @@ def bootstrap_counts(seeds: pd.Series, n: pd.Series, trees: int) -> pd.Series:
 
 
 class CountedForest(RandomForestClassifier):
-    """Random forest grown over the distinct rows of (features, label) and their counts.
-
-    Spark's forest draws a bootstrap count for every row and tree and walks all trees with every
-    row, level by level. Equal rows always go the same way, so here they are counted first and each
-    tree draws their number at once, from the same distribution. Trees are Spark's own, each grown
-    over its weighted rows; several at a time, so that small tables use all cores too. Nothing is
-    left out: a table without equal rows has every row among the distinct ones.
+    """Random forest grown over counted cells: rows that lie in the same bins of every feature, with the same label.
+
+    Spark's forest draws a bootstrap count for every row and tree and walks all trees with every row, level
+    by level. Here the features of the table are cut into bins once, as Spark does, equal rows are counted, each
+    tree draws the number of a cell's rows at once, from the same distribution, and is grown by one task over all cells
+    (``forests``). Cells that do not fit a task's memory are left to Spark's own trees, each grown over the distinct rows of
+    (features, label), weighted. Nothing is left out: a table without equal rows has every row among the cells.
+    A column of counts, where the rows are counted already, is given as ``weightCol``.
     """
 
+    def _count(self) -> Column:
+        return F.col(self.getWeightCol()) if self.isSet("weightCol") else F.lit(1)
+
+    def _fit(self, dataset: DataFrame) -> RandomForestClassificationModel:
+        cells = forests.cells_of(dataset, self.getFeaturesCol(), self.getLabelCol(), self._count(), self.getMaxBins())
+        if cells is None:
+            raise ValueError("no rows to grow a forest on")
+        forest = self._copyValues(self._grown(cells) if cells.task_bytes <= TASK_BYTES else self._by_levels(dataset))
+        forest._transfer_params_to_java()
+        return forest
+
+    def _grown(self, cells: forests.Cells) -> RandomForestClassificationModel:
+        """The trees dealt over all cores, each grown by one task."""
+        blobs, layout, trees = cells.blobs, cells.layout, self.getNumTrees()
+        spark = blobs.sparkSession
+        per_node = math.ceil(math.sqrt(layout.features)) if trees > 1 else layout.features
+        growth = forests.Growth(self.getMaxDepth(), self.getMinInstancesPerNode(), per_node)
+
+        def grow(numbers: np.ndarray) -> DataFrame:
+            task = forests.grow_trees(layout, numbers.tolist(), self.getSeed(), growth)
+            return stage(blobs.coalesce(1).mapInArrow(task, forests.NODE), "trees")
+
+        def load(numbers: np.ndarray) -> RandomForestClassificationModel:
+            path = forests.saved_forest(spark, nodes, numbers.tolist(), layout.features, layout.classes)
+            return RandomForestClassificationModel.load(path)
+
+        tasks = min(trees, spark.sparkContext.defaultParallelism)
+        with ThreadPool(tasks) as pool:
+            grown = pool.map(inheritable_thread_target(spark)(grow), np.array_split(np.arange(trees), tasks), chunksize=1)
+        nodes = reduce(DataFrame.unionByName, grown)
+        pieces = min(trees, 1 + nodes.count() // forests.NODES_AT_ONCE)
+        return together([load(numbers) for numbers in np.array_split(np.arange(trees), pieces)], layout.classes)
+
     def _bags(self, dataset: DataFrame) -> DataFrame:
         """features, label, and per tree the number of times its sample holds the row."""
         trees, label = self.getNumTrees(), self.getLabelCol()
-        counted = dataset.groupBy("features", label).agg(F.count(F.lit(1)).alias("n"))
+        counted = dataset.groupBy("features", label).agg(F.sum(self._count()).cast("bigint").alias("n"))
         draw = F.pandas_udf(lambda seeds, n: bootstrap_counts(seeds, n, trees), "array<bigint>")
         drawn = counted.withColumn("drawn", draw(F.xxhash64(F.lit(self.getSeed()), "features", label), "n"))
         return stage(drawn.select("features", label, "n", *[F.col("drawn")[i].alias(f"n{i}") for i in range(trees)]), "bags")
 
-    def _fit(self, dataset: DataFrame) -> RandomForestClassificationModel:
+    def _by_levels(self, dataset: DataFrame) -> RandomForestClassificationModel:
+        """Spark's own trees, several at a time, over distinct weighted rows."""
         spark, trees, label = dataset.sparkSession, self.getNumTrees(), self.getLabelCol()
         bags, names = self._bags(dataset), [f"n{i}" for i in range(trees)]
         found = bags.agg(F.count(F.lit(1)).alias("rows"), F.max(label).alias("top"), *[F.sum(c).alias(c) for c in ["n", *names]]).first()
-        if not found["rows"]:
-            raise ValueError("no rows to grow a forest on")
         classes = max(int(found["top"] or 0) + 1, 2)
         # the sample of a tree may miss a class: all trees know the classes of the table
         known = F.col(label).cast("double").alias(label, metadata={"ml_attr": {"type": "nominal", "num_vals": classes}})
@@ -141,18 +179,17 @@ class CountedForest(RandomForestClassifier):
         at_once = min(trees, spark.sparkContext.defaultParallelism, ROWS_AT_ONCE // found["rows"])
         with ThreadPool(max(1, at_once)) as pool:
             grown = pool.map(inheritable_thread_target(spark)(grow), range(trees), chunksize=1)
-        forest = self._copyValues(together(grown, classes))
-        forest._transfer_params_to_java()
-        return forest
+        return together(grown, classes)
 
 
 def together(grown: Sequence[RandomForestClassificationModel], classes: int) -> RandomForestClassificationModel:
-    """One forest of the trees of forests of one tree."""
+    """One forest of the trees of several."""
     sc = SparkContext.getOrCreate()
     ml, first = sc._jvm.org.apache.spark.ml.classification, grown[0]._java_obj
-    trees = sc._gateway.new_array(ml.DecisionTreeClassificationModel, len(grown))
-    for i, model in enumerate(grown):
-        trees[i] = model._java_obj.trees()[0]
+    all_trees = [tree for model in grown for tree in model._java_obj.trees()]
+    trees = sc._gateway.new_array(ml.DecisionTreeClassificationModel, len(all_trees))
+    for i, tree in enumerate(all_trees):
+        trees[i] = tree
     return RandomForestClassificationModel(ml.RandomForestClassificationModel(first.uid(), trees, first.numFeatures(), classes))
 
 
