@@ -11,7 +11,7 @@ from __future__ import annotations
 import json
 import pickle
 import time
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -505,29 +505,60 @@ def _pruned(at_level, split_of, gain_of, child_of, splits: Splits) -> pa.RecordB
     return pa.RecordBatch.from_arrays([pa.StructArray.from_arrays(list(parts.values()), list(parts))], names=["nodeData"])
 
 
-def drawn_sample(layout: Layout, words: list[np.ndarray], n: np.ndarray, rng: np.random.Generator) -> Sample:
-    """A bootstrap sample: Poisson(n) copies of a cell that holds n rows, the sum of Poisson(1) copies of each."""
+class Bootstrap:
+    """Poisson(n) copies of a cell that holds n rows, the sum of Poisson(1) copies of each.
+
+    Small means are drawn by inversion: a uniform number is looked up among the running sums of the probabilities,
+    from a first guess by its leading 8 bits.
+    """
+
+    SMALL, WIDTH = 32, 160  # beyond 160 the probability for a mean of 32 is below the steps of a double
+
+    def __init__(self, rng: np.random.Generator):
+        self.rng, k = rng, np.arange(self.WIDTH)
+        logs = np.concatenate([[0.0], np.cumsum(np.log(k[1:]))])
+        means = np.arange(1, self.SMALL + 1)[:, None]
+        sums = np.concatenate([np.ones((1, self.WIDTH)), np.cumsum(np.exp(k * np.log(means) - means - logs), axis=1)])
+        sums[:, -1] = np.inf
+        self.sums = sums.ravel()
+        self.guess = np.concatenate([np.searchsorted(row, np.arange(256) / 256, side="right") for row in sums])
+
+    def __call__(self, n: np.ndarray) -> np.ndarray:
+        u, mean = self.rng.random(len(n)), np.minimum(n, self.SMALL).astype(np.intp)
+        row = mean * self.WIDTH
+        k = self.guess.take(mean * 256 + (u * 256).astype(np.intp))
+        beyond = np.flatnonzero(u >= self.sums.take(row + k))
+        while len(beyond):
+            k[beyond] += 1
+            beyond = beyond[u[beyond] >= self.sums.take(row[beyond] + k[beyond])]
+        large = np.flatnonzero(n > self.SMALL)
+        k[large] = self.rng.poisson(n[large])
+        return k.astype(np.uint64)
+
+
+def drawn_sample(layout: Layout, words: list[np.ndarray], n: np.ndarray, draw: Callable[[np.ndarray], np.ndarray]) -> Sample:
+    """A sample that holds each cell as often as drawn."""
     room = Layout(layout.groups, layout.classes, layout.features)
     top = 2 * int(n.max()) + 64  # no draw comes near it
     word, low = room.put(top + 1)
     full = mask(top + 1)
     parts: list[list[np.ndarray]] = []
     for empty_is_all in (False, True):  # a sample of a few rows can be empty
-        for a in range(0, len(n), 1 << 20):
-            here = n[a : a + (1 << 20)]
-            drawn = here.astype(np.uint64) if empty_is_all else rng.poisson(here).astype(np.uint64)
+        for a in range(0, len(n), STEP):
+            here = n[a : a + STEP]
+            drawn = here.astype(np.uint64) if empty_is_all else draw(here)
             if int(drawn.max()) > top:
                 raise OverflowError("a draw does not fit its field")
             held = drawn > 0
-            part = [w[a : a + (1 << 20)][held] for w in words]
+            part = [w[a : a + STEP][held] for w in words]
             if word == len(part):
                 part.append(np.zeros(len(part[0]), np.uint64))
             part[word] |= drawn[held] << np.uint64(low)
             parts.append(part)
         if sum(len(p[0]) for p in parts):
             break
-    together = [np.concatenate(x) for x in zip(*parts)]
-    return Sample(layout, together, len(together[0]), (word, low, full))
+    joined = [np.concatenate(x) for x in zip(*parts)]
+    return Sample(layout, joined, len(joined[0]), (word, low, full))
 
 
 def grow_trees(layout: Layout, numbers: Sequence[int], seed: int, growth: Growth):
@@ -547,12 +578,72 @@ def grow_trees(layout: Layout, numbers: Sequence[int], seed: int, growth: Growth
         splits = Splits(layout)
         for i in numbers:
             rng = np.random.Generator(np.random.Philox(key=(seed + i) % (1 << 64)))
-            tree = grow(drawn_sample(layout, words, n, rng), splits, rng, growth)
+            tree = grow(drawn_sample(layout, words, n, Bootstrap(rng)), splits, rng, growth)
             yield pa.RecordBatch.from_arrays([pa.array(np.full(tree.num_rows, i), pa.int32()), tree.column(0)], names=["treeID", "nodeData"])
 
     return grown
 
 
+# scores
+
+
+@dataclass
+class Walk:
+    """The nodes of all trees one after another; a leaf is its own child. Rows that are not below a threshold, NaN too, go right."""
+
+    roots: np.ndarray
+    feature: np.ndarray
+    threshold: np.ndarray
+    child: np.ndarray  # right and left child of each node
+    votes: np.ndarray
+    levels: list[int]
+
+    @classmethod
+    def of(cls, nodes: DataFrame) -> "Walk":
+        table = nodes.select(
+            "treeID", "nodeData.id", "nodeData.impurityStats", "nodeData.leftChild", "nodeData.rightChild", "nodeData.split.featureIndex",
+            F.try_element_at("nodeData.split.leftCategoriesOrThreshold", F.lit(1)).alias("threshold"),
+        ).toArrow().sort_by([("treeID", "ascending"), ("id", "ascending")]).combine_chunks()
+        number = {c: table.column(c).to_numpy() for c in ("treeID", "id", "leftChild", "rightChild", "featureIndex", "threshold")}
+        roots = np.flatnonzero(number["id"] == 0)
+        start = roots[np.cumsum(number["id"] == 0) - 1]
+        leaf, own = number["leftChild"] < 0, np.arange(len(start))
+        child = [np.where(leaf, own, start + number[c]) for c in ("rightChild", "leftChild")]
+        counts = np.array(table.column("impurityStats").chunk(0).flatten()).reshape(len(start), -1)
+        levels = []
+        for root, end in zip(roots, [*roots[1:], len(start)]):
+            here, deep = np.array([root]), 0
+            while len(here := here[~leaf[here]]):
+                here, deep = np.concatenate([child[0][here], child[1][here]]), deep + 1
+            levels.append(deep)
+        return cls(
+            roots, np.where(leaf, 0, number["featureIndex"]).astype(np.int64), np.where(leaf, 0.0, number["threshold"]),
+            np.stack(child, axis=1).ravel(), counts / counts.sum(1, keepdims=True), levels,
+        )
+
+    def classes(self, rows: np.ndarray) -> np.ndarray:
+        """The class of the most votes, the first of equal ones, added up tree by tree as Spark's forest does."""
+        flat, base = rows.ravel(), np.arange(len(rows)) * rows.shape[1]
+        votes = np.zeros((len(rows), self.votes.shape[1]))
+        for root, levels in zip(self.roots, self.levels):
+            at = np.full(len(rows), root)
+            for _ in range(levels):
+                left = flat.take(base + self.feature.take(at)) <= self.threshold.take(at)
+                at = self.child.take(2 * at + left)
+            votes += self.votes.take(at, axis=0)
+        return votes.argmax(1)
+
+    def column(self, features: str) -> Column:
+        """The class of a vector of features."""
+
+        def score(lists: pa.Array) -> pa.Array:
+            flat = lists.flatten().to_numpy(zero_copy_only=False)
+            rows = flat.reshape(len(lists), len(flat) // max(len(lists), 1))
+            return pa.array(self.classes(rows), pa.int32())
+
+        return F.arrow_udf(score, "int")(vector_to_array(features))
+
+
 # Spark's model of them
 
 

@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 from millrace.session import stage
 
 
-def accuracy(df: DataFrame, label: str, prediction: str) -> DataFrame:
-    """Share of rows predicted right."""
-    return df.agg(F.try_divide(F.count_if(F.col(label) == F.col(prediction)), F.count("*")).alias("accuracy"))
+def accuracy(df: DataFrame, label: str, prediction: str, count: str | None = None) -> DataFrame:
+    """Share of rows predicted right; ``count`` names how many rows a row stands for."""
+    n = F.lit(1) if count is None else F.col(count)
+    right = F.coalesce(F.sum(F.when(F.col(label) == F.col(prediction), n)), F.lit(0))
+    return df.agg(F.try_divide(right, F.sum(n)).alias("accuracy"))
 
 
 def positive_ratio(df: DataFrame, label: str) -> DataFrame:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
 from multiprocessing.pool import ThreadPool
 
@@ -28,6 +28,8 @@ from millrace.session import spread, stage
 ROWS_AT_ONCE = 16_000_000
 #: Memory that a task may take for the cells of a table and the sample of a tree: some 36 million cells of one word.
 TASK_BYTES = 1 << 30
+#: How many rows a counted row stands for.
+ROWS = "_rows"
 
 
 def label_above_mean(df: DataFrame, value: str, label: str, scale: int | None = DECIMALS) -> DataFrame:
@@ -122,12 +124,17 @@ class CountedForest(RandomForestClassifier):
         cells = forests.cells_of(dataset, self.getFeaturesCol(), self.getLabelCol(), self._count(), self.getMaxBins())
         if cells is None:
             raise ValueError("no rows to grow a forest on")
-        forest = self._copyValues(self._grown(cells) if cells.task_bytes <= TASK_BYTES else self._by_levels(dataset))
+        if cells.task_bytes > TASK_BYTES:
+            forest, walk = self._by_levels(dataset), None
+        else:
+            forest, walk = self._grown(cells)
+        forest = self._copyValues(forest)
         forest._transfer_params_to_java()
+        forest.walk = walk
         return forest
 
-    def _grown(self, cells: forests.Cells) -> RandomForestClassificationModel:
-        """The trees dealt over all cores, each grown by one task."""
+    def _grown(self, cells: forests.Cells) -> tuple[RandomForestClassificationModel, forests.Walk]:
+        """The trees dealt over all cores, each grown by one task: Spark's model of them, and what scores the same in NumPy."""
         blobs, layout, trees = cells.blobs, cells.layout, self.getNumTrees()
         spark = blobs.sparkSession
         per_node = math.ceil(math.sqrt(layout.features)) if trees > 1 else layout.features
@@ -146,7 +153,7 @@ class CountedForest(RandomForestClassifier):
             grown = pool.map(inheritable_thread_target(spark)(grow), np.array_split(np.arange(trees), tasks), chunksize=1)
         nodes = reduce(DataFrame.unionByName, grown)
         pieces = min(trees, 1 + nodes.count() // forests.NODES_AT_ONCE)
-        return together([load(numbers) for numbers in np.array_split(np.arange(trees), pieces)], layout.classes)
+        return together([load(numbers) for numbers in np.array_split(np.arange(trees), pieces)], layout.classes), forests.Walk.of(nodes)
 
     def _bags(self, dataset: DataFrame) -> DataFrame:
         """features, label, and per tree the number of times its sample holds the row."""
@@ -222,14 +229,36 @@ def linear_pipeline(train: DataFrame, numeric: Sequence[str], categorical: Seque
     return Pipeline(stages=[*feature_stages(train, numeric, categorical), model])
 
 
-def predictions(model: PipelineModel, df: DataFrame, label: str) -> DataFrame:
-    """Label and predicted class."""
-    return model.transform(spread(df)).select(label, F.col("prediction").cast("int").alias("prediction"))
+def _classified(model: PipelineModel, df: DataFrame) -> DataFrame:
+    """The rows with a column ``prediction``. A forest just grown walks many rows through a tree at a time, others score
+    row by row; the classes are the same."""
+    last = model.stages[-1]
+    walk = getattr(last, "walk", None)
+    if walk is None or last.isDefined("thresholds"):
+        return model.transform(df)
+    return PipelineModel(model.stages[:-1]).transform(df).withColumn("prediction", walk.column(last.getFeaturesCol()))
+
+
+def predictions(model: PipelineModel, df: DataFrame, label: str, *more: str) -> DataFrame:
+    """Label and predicted class, and further columns."""
+    return _classified(model, spread(df)).select(label, F.col("prediction").cast("int").alias("prediction"), *more)
 
 
 def scored(model: PipelineModel, df: DataFrame, name: str) -> DataFrame:
     """The rows with the predicted class in a column of that name."""
-    return model.transform(spread(df)).select(*df.columns, F.col("prediction").cast("int").alias(name))
+    return _classified(model, spread(df)).select(*df.columns, F.col("prediction").cast("int").alias(name))
+
+
+def alike_counted(df: DataFrame, sets: Sequence[Sequence[str]]) -> Iterator[DataFrame]:
+    """For each set of columns the rows of these, with a column of counts. Where at least half of the rows repeat others,
+    alike rows are counted and staged; else every row is its own and counts 1."""
+    sizes = [F.approx_count_distinct(F.xxhash64(*[F.col(c) for c in columns])).alias(f"d{i}") for i, columns in enumerate(sets)]
+    found = df.agg(F.count(F.lit(1)).alias("rows"), *sizes).first()
+    for i, columns in enumerate(sets):
+        if 2 * found[f"d{i}"] <= found["rows"]:
+            yield stage(df.groupBy(*columns).agg(F.count(F.lit(1)).alias(ROWS)), "alike")
+        else:
+            yield df.select(*columns, F.lit(1).cast("bigint").alias(ROWS))
 
 
 def compare_feature_sets(
@@ -240,11 +269,15 @@ def compare_feature_sets(
     **forest: int,
 ) -> DataFrame:
     """Test accuracy of one forest per (numeric, categorical) feature set. A set that
-    scores far above the others points to leakage."""
+    scores far above the others points to leakage. Rows alike in a set are encoded and scored once."""
     rows = []
-    for name, (numeric, categorical) in sets.items():
-        model = forest_pipeline(train, numeric, categorical, label, **forest).fit(train)
-        rows.append((name, accuracy(predictions(model, test, label), label, "prediction").first()[0]))
+    wanted = [[*dict.fromkeys([*numeric, *categorical, label])] for numeric, categorical in sets.values()]
+    sides = zip(alike_counted(train, wanted), alike_counted(test, wanted))
+    for (name, (numeric, categorical)), (fitted, judged) in zip(sets.items(), sides):
+        pipeline = forest_pipeline(train, numeric, categorical, label, **forest)
+        pipeline.getStages()[-1].setWeightCol(ROWS)
+        scored = predictions(pipeline.fit(fitted), judged, label, ROWS)
+        rows.append((name, accuracy(scored, label, "prediction", ROWS).first()[0]))
     return train.sparkSession.createDataFrame(rows, "feature_set string, accuracy double")
 
 

@@ -36,12 +36,8 @@ def words_of(cells):
 def tree_of(spark, cells, growth):
     """One tree over all rows, each as often as it occurs, as Spark's model."""
     words, n = words_of(cells)
-
-    class Same:
-        random = np.random.default_rng(1).random
-        poisson = staticmethod(lambda counts: counts)
-
-    batch = forests.grow(forests.drawn_sample(cells.layout, words, n, Same), forests.Splits(cells.layout), Same, growth)
+    sample = forests.drawn_sample(cells.layout, words, n, lambda counts: counts.astype(np.uint64))
+    batch = forests.grow(sample, forests.Splits(cells.layout), np.random.default_rng(1), growth)
     nodes = spark.createDataFrame([(0, r["nodeData"]) for r in batch.to_pylist()], forests.NODE)
     return RandomForestClassificationModel.load(forests.saved_forest(spark, nodes, [0], cells.layout.features, cells.layout.classes))
 
@@ -130,3 +126,28 @@ def test_without_room_in_a_task_trees_grow_by_levels(spark, mixed, monkeypatch):
     assert inside.getNumTrees == outside.getNumTrees == 3
     wrong = [m.transform(df).where("prediction != y").count() for m in (inside, outside)]
     assert abs(wrong[0] - wrong[1]) < 0.05 * 6000
+
+
+def test_scores_are_those_of_spark(spark, mixed):
+    """Rows beyond the trained ones, with levels not seen there, too."""
+    model = modeling.forest_pipeline(mixed, ["a", "r"], ["c"], "y", trees=9, depth=6, min_leaf=20).fit(mixed)
+    rows = mixed.withColumn("a", F.col("a") * 1.5 - 4).withColumn("c", F.when(F.col("id") % 9 > 0, F.col("c") + 1))
+    assert model.stages[-1].walk is not None
+    both = modeling.scored(model, model.transform(rows).select("a", "r", "c", F.col("prediction").alias("theirs")), "ours")
+    assert both.where("ours = theirs").count() == both.count() == 6000
+    assert both.select("ours").distinct().count() == 2
+
+
+def test_alike_rows_are_counted(spark, mixed):
+    few, all_ = modeling.alike_counted(mixed, [["c", "y"], ["id", "y"]])
+    assert few.count() <= 8 and all_.count() == 6000
+    assert [df.agg(F.sum(modeling.ROWS)).first()[0] for df in (few, all_)] == [6000, 6000]
+
+
+def test_bootstrap_draws_are_poisson():
+    draw = forests.Bootstrap(np.random.default_rng(3))
+    for mean in (1, 2, 7, 32, 33, 5000):
+        got = draw(np.full(200_000, mean)).astype(float)
+        assert abs(got.mean() - mean) < 5 * (mean / 200_000) ** 0.5 and 0.97 < got.var() / mean < 1.03
+    ones = np.bincount(draw(np.full(200_000, 1)).astype(int), minlength=4)[:4] / 200_000
+    assert np.abs(ones - np.exp(-1) / np.array([1, 1, 2, 6])).max() < 0.005
