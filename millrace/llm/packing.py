@@ -39,7 +39,7 @@ class InvertedIndex:
         # document and id in one number, of 32 bits where both fit in 16
         kind, bits = (np.uint32, 16) if max(len(docs) - 1, largest) >> 16 == 0 else (np.uint64, 32)
         keys = np.repeat(np.arange(len(docs), dtype=kind) << kind(bits), sizes)
-        keys |= np.concatenate(docs)
+        np.bitwise_or(keys, np.concatenate(docs), out=keys, casting="unsafe")  # signed ids, too: they fit
         keys.sort()
         first = np.ones(len(keys), dtype=bool)
         np.not_equal(keys[1:], keys[:-1], out=first[1:])
